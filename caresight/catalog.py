@@ -85,3 +85,48 @@ def _priority(j: onc.OncologyJob) -> DataFrame:
 
 
 _onc_query("priority_label", _priority)
+
+
+# ------------------------------------------------------------------ alert report
+
+from caresight.oracle.alerts import SQL as ALERT_SQL  # noqa: E402
+from caresight.plans.alerts import AlertReport  # noqa: E402
+
+
+def _alerts(spark: SparkSession, sf_dir: str) -> AlertReport:
+    return AlertReport(Inputs(spark, sf_dir))
+
+
+def _alert_query(name: str, build: Callable[[AlertReport], DataFrame]) -> None:
+    register(name, ALERT_SQL.get(name))(lambda spark, sf_dir: build(_alerts(spark, sf_dir)))
+
+
+_alert_query("provider_roster", lambda r: r.doc_sub_info)
+_alert_query("alerts_in_window", lambda r: r.alerts)
+_alert_query("alert_actions", lambda r: r.actions)
+_alert_query("no_action_exclusion", lambda r: r.no_action_pairs)
+_alert_query("alerts_kept", lambda r: r.kept)
+_alert_query("first_read_per_user", lambda r: r.first_reads)
+_alert_query("response_buckets", lambda r: r.action_timings.select(
+    "AlertId", "NpiId", "BenId", "UserId", "IsDoctor", "DateReceived", "DateAction", "HoursLapsed",
+    "Less24", "OneToThreeBD", "MoreThreeBD"))
+_alert_query("best_bucket_alert", lambda r: __import__("caresight.operators.windows", fromlist=["x"]).best_flags(
+    r.read_timings, ["AlertId", "NpiId"], AlertReport.FLAGS))
+_alert_query("best_bucket_patient", lambda r: __import__("caresight.operators.windows", fromlist=["x"]).best_flags(
+    r.action_timings, ["BenId", "NpiId"], AlertReport.FLAGS))
+_alert_query("bucket_totals", lambda r: r.bucket_totals[2])
+_alert_query("engagement_counts", lambda r: r.statistics.select(
+    "NpiId", "AlertsReceived", "PatientsReceived", "AlertsRead", "PatientsRead", "AlertsNotRead",
+    "PatientsNotRead", "AlertsWActions", "AlertsWNoActions", "PatientsWActions", "PatientsWNoActions"))
+_alert_query("alerts_not_read", lambda r: r.alerts_not_read)
+_alert_query("not_read_as_written", lambda r: r.not_read_as_written)
+_alert_query("alert_statistics", lambda r: r.statistics)
+_alert_query("consultant_maps", lambda r: r.tin_map.select(F.lit("tin").alias("kind"), "*").unionByName(
+    r.npi_map.select(F.lit("npi").alias("kind"), "*")))
+_alert_query("provider_entity_lookup", lambda r: r.entity_map)
+_alert_query("straddle_snapshot", lambda r: r.straddle)
+_alert_query("quality_pivot", lambda r: r.bsa_table)
+_alert_query("positional_pivot", lambda r: r.bsa_metrics.withColumn("Rn", F.col("Rn").cast("long")))
+_alert_query("alert_report", lambda r: r.report)
+_alert_query("response_share", lambda r: r.response_share)
+_alert_query("engagement_vs_quality", lambda r: r.engagement_vs_quality)

@@ -32,7 +32,7 @@ def boundary_diff(unit: str, start: ColumnOrName, end: ColumnOrName) -> Column:
     if unit == "DAY":
         return F.datediff(F.to_date(e), F.to_date(s))
     if unit in ("HOUR", "MINUTE", "SECOND"):
-        return F.timestampdiff(unit, F.date_trunc(unit, s), F.date_trunc(unit, e))
+        return F.timestamp_diff(unit, F.date_trunc(unit, s), F.date_trunc(unit, e))
     raise ValueError(f"unsupported unit {unit}")
 
 
@@ -122,11 +122,12 @@ def bit(cond: Column) -> Column:
 def float_label(x: ColumnOrName, null_text: str = "N/A") -> Column:
     """CONVERT(VARCHAR, float): at most 6 significant digits, no padding zeros,
     three-digit exponents in scientific form; ``null_text`` when NULL."""
-    s = F.format_string("%.6g", _c(x).cast("double"))
+    v = _c(x).cast("double")
+    s = F.format_string("%.6g", v)
     s = F.regexp_replace(s, r"(\.[0-9]*?)0+(e|$)", "$1$2")
     s = F.regexp_replace(s, r"\.(e|$)", "$1")
     s = F.regexp_replace(s, r"e([+-])([0-9]{2})$", "e$10$2")
-    return F.coalesce(s, F.lit(null_text))
+    return F.when(v.isNull(), F.lit(null_text)).otherwise(s)
 
 
 def hundredths(count: ColumnOrName, total: ColumnOrName) -> Column:
