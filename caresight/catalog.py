@@ -130,3 +130,60 @@ _alert_query("positional_pivot", lambda r: r.bsa_metrics.withColumn("Rn", F.col(
 _alert_query("alert_report", lambda r: r.report)
 _alert_query("response_share", lambda r: r.response_share)
 _alert_query("engagement_vs_quality", lambda r: r.engagement_vs_quality)
+
+
+# ------------------------------------------------------------------ action completion
+
+from caresight.oracle.actions import SQL as ACTION_SQL  # noqa: E402
+from caresight.plans import actions as act  # noqa: E402
+from caresight.operators.filters import in_window, optional_in  # noqa: E402
+from caresight.functions.scalars import bit, flag_off  # noqa: E402
+
+_BASE = dict(login=2)
+_FILTERED = dict(login=5, payer="AUTOMOBILE;BUILDING;MACHINERY", category="URGENT;HIGH;LOW",
+                 npi_type="AMERICA;EUROPE;ASIA;AFRICA")
+_SELECTED = dict(login=3, selected=[1, 4, 7],
+                 practice="GERMANY;FRANCE;CHINA;BRAZIL;CANADA;JAPAN;INDIA;KENYA")
+
+
+def _act(spark: SparkSession, sf_dir: str, **params) -> act.ActionCompletion:
+    return act.ActionCompletion(Inputs(spark, sf_dir), act.ActionParams(**params))
+
+
+def _act_query(name: str, build: Callable[[act.ActionCompletion], DataFrame], params=None) -> None:
+    p = params or _BASE
+    register(name, ACTION_SQL.get(name))(lambda spark, sf_dir: build(_act(spark, sf_dir, **p)))
+
+
+_act_query("action_completion", lambda a: a.result)
+_act_query("action_completion_filtered", lambda a: a.result, _FILTERED)
+_act_query("action_completion_selected", lambda a: a.result, _SELECTED)
+_act_query("eligible_patients", lambda a: a.eligible)
+_act_query("completed_by_status", lambda a: a.completed.select(
+    "Status", "Id", F.col("ActionsCount").cast("long").alias("ActionsCount"),
+    F.col("TotalActions").cast("long").alias("TotalActions")))
+_act_query("grand_total_window", lambda a: a.completed.select(
+    "Status", "Id", F.col("ActionsCount").cast("long").alias("ActionsCount"),
+    F.col("TotalActions").cast("long").alias("TotalActions")), _FILTERED)
+_act_query("total_available", lambda a: a.tracking.sparkSession.range(1).select(
+    a.total_available.cast("long").alias("total_available")))
+_act_query("aggregated_by_status", lambda a: a.aggregated_by_status)
+_act_query("total_row", lambda a: a.aggregated_with_total)
+_act_query("two_level_count", lambda a: a.status_row_count)
+_act_query("count_by_category_status", lambda a: a.counts_by_category_status)
+_act_query("rank_latest_ties", lambda a: a.open_latest.select(
+    "CTBeneficiaryID", "CTBeneficiaryCategoryID", "Id", "CreatedDate"))
+_act_query("percent_of_total", lambda a: a.result.where(~F.col("category").startswith("Total")).select(
+    "category", "total_action", "total_act_percentage"))
+_act_query("resolve_role", lambda a: act.role_tiers(a.inp["ct_user_roles"], a.inp["ct_roles"]))
+_act_query("role_scope", lambda a: a.tracking.where(
+    act.role_scope(F.col("CreatedBy"), a.role, a.p.login, [])).select("Id", "CreatedBy"))
+_act_query("exists_chain", lambda a: a.patients.select("ID"), dict(login=0))
+_act_query("optional_multi_filter", lambda a: optional_in(
+    a.inp["patients"], "Insurance", "AUTOMOBILE;BUILDING;MACHINERY".split(";")).select("ID", "Insurance"))
+_act_query("default_date_range", lambda a: a.tracking.sparkSession.range(1).select(
+    a.start.alias("start_date"), a.end.alias("end_date")))
+_act_query("nullable_flag", lambda a: a.tracking.where(flag_off("IsCustomActionTaken")).select("Id"))
+_act_query("date_window_variants", lambda a: a.tracking.select(
+    "Id", *[bit(in_window("CreatedDate", "1996-03-01", "1998-06-30", m)).alias(m)
+            for m in ("date_le", "date_between", "ts_next_day", "ts_at_most_next_day")]))

@@ -76,6 +76,6 @@ def exists_chain(rows: DataFrame, row_keys: Sequence[str], chain: Sequence[tuple
     link, _ = chain[0]
     for t, on in chain[1:]:
         link = link.join(t, list(on), "inner")
-    keys = link.select(*chain_keys).distinct()
-    cond = [F.col(r) == keys[c] for r, c in zip(row_keys, chain_keys)]
+    keys = link.select(*[F.col(c).alias(f"_chain{i}") for i, c in enumerate(chain_keys)]).distinct()
+    cond = [rows[r] == F.col(f"_chain{i}") for i, r in enumerate(row_keys)]
     return rows.join(keys, cond, "left_semi")

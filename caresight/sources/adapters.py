@@ -182,8 +182,6 @@ from {npis}""",
     "tracking": """
 select o_orderkey as Id, o_custkey as CTBeneficiaryID,
        o_custkey * 10 + cast(substr(o_orderpriority, 1, 1) as int) as CTBeneficiaryCategoryID,
-       cast(substr(o_orderpriority, 1, 1) as int) as CategoryId,
-       substr(o_orderpriority, 3) as CategoryCode,
        case o_orderstatus when 'O' then 1 when 'F' then 2 else 3 end as StatusId,
        o_orderdate as CreatedDate, o_orderdate as UploadDate,
        o_orderkey % 10 as CreatedBy,
@@ -192,8 +190,12 @@ select o_orderkey as Id, o_custkey as CTBeneficiaryID,
        case when o_orderkey % 5 = 0 then 0 else 1 end as IsReqforHistory,
        case when o_orderkey % 13 = 0 then cast(null as bigint) else o_orderkey % 4 end as ActionId
 from {orders}""",
-    "bene_category": """select distinct CTBeneficiaryCategoryID as Id, CategoryId from {tracking}""",
-    "category": """select distinct CategoryId as Id, CategoryCode from {tracking}""",
+    "bene_category": """
+select distinct o_custkey * 10 + cast(substr(o_orderpriority, 1, 1) as int) as Id,
+       cast(substr(o_orderpriority, 1, 1) as int) as CategoryId from {orders}""",
+    "category": """
+select distinct cast(substr(o_orderpriority, 1, 1) as int) as Id, substr(o_orderpriority, 3) as CategoryCode
+from {orders}""",
     "ct_status": """
 select Id, Status, StatusCategory
 from (values (1, 'OPEN', 'OPEN'), (2, 'COMPLETED', 'CLOSED'), (3, 'DECLINED', 'CLOSED')) as t(Id, Status, StatusCategory)""",
