@@ -166,13 +166,24 @@ class AlertReport:
         timely = F.coalesce(F.col("_is_no"), F.lit(False)) & timely_no_action(F.col("DateReceived"), F.col("CreatedDate"))
         per_alert = acts.groupBy("AlertId").agg(F.count(F.lit(1)).alias("_n"), count_if(timely).alias("_t"))
         a = self.alerts.join(per_alert, "AlertId", "left")
-        per_pair = a.groupBy("BenId", "NpiId").agg(
-            F.sum(F.greatest(F.coalesce("_n", F.lit(0)), F.lit(1))).alias("TotalActionsPerPatient"),
-            F.sum(F.coalesce("_t", F.lit(0))).alias("TotalNoActionTakenActions"))
+        per_pair = self._pair_totals(a)
         return (per_pair.where(F.col("BenId").isNotNull()
                                & (F.col("TotalActionsPerPatient") == F.col("TotalNoActionTakenActions")))
                 .select("NpiId", "BenId"))
 
+    @staticmethod
+    def _pair_totals(a: DataFrame) -> DataFrame:
+        return a.groupBy("BenId", "NpiId").agg(
+            F.sum(F.greatest(F.coalesce("_n", F.lit(0)), F.lit(1))).alias("TotalActionsPerPatient"),
+            F.sum(F.coalesce("_t", F.lit(0))).alias("TotalNoActionTakenActions"))
+
+    @cached_property
+    def action_totals(self) -> DataFrame:
+        """COUNT(*) of alerts LEFT JOIN actions per (BenId, NpiId): an alert without
+        actions counts once. Computed per alert first, so no alert x action rows."""
+        per_alert = self.all_actions.groupBy("AlertId").agg(F.count(F.lit(1)).alias("_n"), F.lit(0).alias("_t"))
+        return self._pair_totals(self.alerts.join(per_alert, "AlertId", "left"))
+
     @cached_property
     def kept(self) -> DataFrame:
         """Alerts minus the no-action pairs; staged (a dozen metrics read it)."""
@@ -347,8 +358,15 @@ class AlertReport:
             (c("PatientsReadLess24") + c("PatientsReadOneToThreeBD")).alias("PatientsReadUnder3BD"),
             "PatientsReadLess24", "PatientsReadOneToThreeBD", "PatientsReadMoreThreeBD",
             *[float_label(c(f"Q{q}{m}Ptg")).alias(f"Q{q}{m}Ptg") for q in range(1, 5) for m in ("Readm", "PDV")])
+        self._report_base = out
         return out.where(c("ProviderConsultant").isin(*self.consultants)).orderBy(c("PatientsReceived").desc())
 
+    @cached_property
+    def report_base(self) -> DataFrame:
+        """The report rows before the consultant filter (every provider's consultant)."""
+        self.report  # builds the shared plan
+        return self._report_base
+
     # ------------------------------------------------------------ README questions
     @cached_property
     def response_share(self) -> DataFrame:

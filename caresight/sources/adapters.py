@@ -313,6 +313,8 @@ def with_clause(*names: str) -> str:
 
     for n in names:
         visit(n)
+    if not order:
+        return ""
     parts = []
     for n in order:
         text = _REF.sub(lambda m: m.group(1), ADAPTERS[n])
