@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +38,11 @@ def _pinned_ranges(df: DataFrame, order: Sequence[Column], n: int | None) -> Dat
                 .sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_RID, F.monotonically_increasing_id()))
-    return ranged.checkpoint(eager=True)
+    # Persist first so that writing the checkpoint does not recompute the input.
+    ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    pinned = ranged.checkpoint(eager=True)
+    ranged.unpersist()
+    return pinned
 
 
 def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "seq",

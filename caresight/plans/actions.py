@@ -20,6 +20,7 @@ from caresight.operators.aggregates import percent_of_total, two_level_count, wi
 from caresight.operators.filters import optional_in
 from caresight.operators.joins import exists_chain
 from caresight.operators.windows import latest_with_ties
+from caresight.sources.tables import stage
 
 TOTAL_AVAILABLE = "Total Actions Available"
 TOTAL_COMPLETED = "Total Actions Completed"
@@ -138,8 +139,9 @@ class ActionCompletion:
     def eligible(self) -> DataFrame:
         pts = self.patients
         t = self.tracking.where((F.col("IsReqforHistory") == 1) & (self._day_of("CreatedDate") <= self.end))
-        return (t.join(pts, t["CTBeneficiaryID"] == pts["ID"], "left_semi")
-                .select("CTBeneficiaryID").distinct())
+        # read by the completed, available and aggregated branches
+        return stage(t.join(pts, t["CTBeneficiaryID"] == pts["ID"], "left_semi")
+                     .select("CTBeneficiaryID").distinct())
 
     # ---------------------------------------------------------------- completed
     def _scoped(self, df: DataFrame) -> DataFrame:
@@ -170,7 +172,7 @@ class ActionCompletion:
         j = s.join(t, s["Id"] == t["StatusId"], "inner" if cats else "left")
         if cats:
             j = j.where(F.col("CategoryCode").isin(*cats))
-        return j.groupBy("Status", "Id").agg(F.sum("total").alias("ActionsCount"))
+        return stage(j.groupBy("Status", "Id").agg(F.sum("total").alias("ActionsCount")))
 
     @cached_property
     def completed(self) -> DataFrame:

@@ -132,7 +132,7 @@ class AlertReport:
         a = a.withColumn("DateReceived", utc_to_eastern("CreatedDate"))
         a = a.where(in_window("DateReceived", self.lower, self.upper, "ts_next_day"))
         excl = self.inp["exclusions"].where(F.col("BenId").isNotNull())
-        return not_in(a, "BenId", excl, "BenId").select("AlertId", "NpiId", "BenId", "DateReceived")
+        return stage(not_in(a, "BenId", excl, "BenId").select("AlertId", "NpiId", "BenId", "DateReceived"))
 
     @cached_property
     def no_action_ids(self) -> DataFrame:
@@ -144,8 +144,8 @@ class AlertReport:
         logs = logs.join(self.alerts.select("AlertId"), "AlertId", "left_semi")
         logs = anti(logs, self.staff, logs["UserId"] == self.staff["userId"])
         logs = logs.join(self.users.select(F.col("UserId").alias("_u")), F.col("UserId") == F.col("_u"), "left_semi")
-        return logs.select("AlertActionLogId", "AlertActionId", "AlertId", "UserId",
-                           utc_to_eastern("CreatedDate").alias("CreatedDate"))
+        return stage(logs.select("AlertActionLogId", "AlertActionId", "AlertId", "UserId",
+                                 utc_to_eastern("CreatedDate").alias("CreatedDate")))
 
     @cached_property
     def actions(self) -> DataFrame:

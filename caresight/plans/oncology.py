@@ -30,7 +30,7 @@ from caresight.operators.filters import any_in_set, classify, filter_code_set, f
 from caresight.operators.scans import asof_join, global_sequence, nearest_within
 from caresight.operators.windows import priority_label
 from caresight.sources.adapters import TEST_CANCER_CODES
-from caresight.sources.tables import extract_claims
+from caresight.sources.tables import extract_claims, stage
 
 CONSULT, SIMULATION, RADIATION = "1-Consultation", "2-Simulation", "4-Radiation"
 CODE = "clm_line_hcpcs_cd"
@@ -245,7 +245,8 @@ class OncologyJob:
 
     @cached_property
     def filtered(self) -> DataFrame:
-        return filtered(self.combined)
+        # read by the course numbering and both as-of scans
+        return stage(filtered(self.combined))
 
     @cached_property
     def grouped(self) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "caresight", driver_memory: str = "16g") -> SparkSession:
+                  app: str = "caresight", driver_memory: str | None = None) -> SparkSession:
     """Session tuned for the report jobs.
 
     AQE stays on: it coalesces small shuffle partitions, splits skewed join partitions and
@@ -21,7 +21,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", driver_memory)
+        .config("spark.driver.memory", driver_memory or os.environ.get("CARESIGHT_DRIVER_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -10,10 +10,10 @@ Placeholders ``{name}`` refer to base tables or to other adapters.
 """
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from caresight.sources.tables import TABLES, read_table
@@ -268,25 +268,60 @@ def deps(name: str) -> list[str]:
 _LANDED: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def _landing_root(spark: SparkSession) -> str:
+    """Shared folder for landed adapter tables: next to the cluster's checkpoint folder."""
+    from caresight.session import ensure_checkpoint_dir
+    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.dirname(ensure_checkpoint_dir(spark))
+    return base.rstrip("/") + "/caresight-landed"
+
+
+def _fingerprint(sf_dir: str, name: str) -> str:
+    """Changes when the adapter text or any source file it reads changes."""
+    h = hashlib.sha1()
+    stack = [name]
+    seen: set[str] = set()
+    while stack:
+        n = stack.pop()
+        if n in seen:
+            continue
+        seen.add(n)
+        if n in TABLES:
+            p = sf_path(sf_dir, n)
+            st = os.stat(p) if os.path.exists(p) else None
+            h.update(f"{os.path.abspath(p)}:{st.st_size if st else 0}:{st.st_mtime_ns if st else 0}".encode())
+        else:
+            h.update(ADAPTERS[n].encode())
+            stack.extend(deps(n))
+    return h.hexdigest()[:16]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hpath)
+
+
 def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The adapter as a Spark DataFrame (base tables come from ``sf_dir``).
 
-    Adapters stand in for source tables, so each is persisted once per session and then
-    behaves like a landed table: the optimizer sees a leaf relation instead of inlining
-    the adapter's computed columns into every job that reads them.
+    Adapters stand in for source tables, so each one is landed once as Parquet in the
+    shared folder (keyed by a fingerprint of its SQL and source files) and read back:
+    jobs then scan plain files, exactly as they would scan the real tables.
     """
     if name in TABLES:
         return read_table(spark, sf_dir, name)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     if key not in _LANDED:
-        args = {d: adapter(spark, sf_dir, d) for d in deps(name)}
-        _LANDED[key] = spark.sql(ADAPTERS[name], **args).persist(StorageLevel.MEMORY_AND_DISK)
+        path = f"{_landing_root(spark)}/{name}-{_fingerprint(sf_dir, name)}"
+        if not _exists(spark, path):
+            args = {d: adapter(spark, sf_dir, d) for d in deps(name)}
+            spark.sql(ADAPTERS[name], **args).write.mode("overwrite").parquet(path)
+        _LANDED[key] = spark.read.parquet(path)
     return _LANDED[key]
 
 
 def release_adapters() -> None:
-    for df in _LANDED.values():
-        df.unpersist()
     _LANDED.clear()
 
 

@@ -33,12 +33,22 @@ def extract_claims(df: DataFrame, since: str | None = None, cols: Iterable[str]
     return out.withColumn(code_col, F.trim(F.col(code_col)))
 
 
+_STAGED: list[DataFrame] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Keep an intermediate that several branches read (memory, spilling to disk).
-    The caller unpersists when the report is written."""
+    """Keep an intermediate that several branches of one report read (memory, spilling to
+    disk). Lost blocks are recomputed from lineage. ``release_staged()`` frees them once
+    the report has been written."""
+    _STAGED.append(df)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def release_staged() -> None:
+    while _STAGED:
+        _STAGED.pop().unpersist()
+
+
 def save_cohort(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> DataFrame:
     """Write a cohort table to shared storage and read it back (lineage is cut there)."""
     w = df.write.mode("overwrite")
