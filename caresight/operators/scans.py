@@ -9,14 +9,15 @@ partition) or over one key (one task for a hot key), rows are range-partitioned
 *full* sort key, so a hot key is spread over many partitions. Each partition is scanned
 locally, and what a partition needs from the partitions before it is carried in through
 a summary that has at most one row per (partition, key). The range partitioning is pinned
-with a reliable ``checkpoint()`` (written to ``spark.checkpoint.dir``), so partition ids
-and in-partition positions cannot change if tasks or executors are re-run.
+by writing it, with partition id and position recorded as columns, to a table in the
+shared ``spark.checkpoint.dir`` folder, so ids and positions cannot change if tasks or
+executors are re-run.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,17 +33,17 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
 
 
 def _pinned_ranges(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
-    """Range-partition + sort on ``order`` and record partition id / position, pinned."""
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(_num_partitions(df, n), *order)
-                .sortWithinPartitions(*order)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_RID, F.monotonically_increasing_id()))
-    # Persist first so that writing the checkpoint does not recompute the input.
-    ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    pinned = ranged.checkpoint(eager=True)
-    ranged.unpersist()
-    return pinned
+    """Range-partition + sort on ``order``, record partition id and position as columns,
+    and pin them by writing the result as a table in the shared checkpoint folder (one
+    job; later steps only read the recorded columns, never the physical layout)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/scan-{uuid.uuid4().hex}"
+    (df.repartitionByRange(_num_partitions(df, n), *order)
+       .sortWithinPartitions(*order)
+       .withColumn(_PID, F.spark_partition_id())
+       .withColumn(_RID, F.monotonically_increasing_id())
+       .write.parquet(path))
+    return spark.read.parquet(path)
 
 
 def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "seq",

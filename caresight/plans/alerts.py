@@ -65,9 +65,12 @@ def timely_no_action(received: Column, done: Column) -> Column:
 
 class AlertReport:
     def __init__(self, inputs, lower: str = "2023-12-31", upper: str = "2024-01-31",
-                 consultants: Sequence[str] = ("Alice", "Bob")):
+                 consultants: Sequence[str] = ("Alice", "Bob"), convert_views: bool = False):
+        """``convert_views``: read timestamps are stored in UTC like everything else, but
+        the report compares them unconverted with Eastern receipt times; True converts."""
         self.inp, self.lower, self.upper = inputs, lower, upper
         self.consultants = list(consultants)
+        self.convert_views = convert_views
 
     # ------------------------------------------------------------ mappings
     def _consultant_map(self, multi: int) -> DataFrame:
@@ -194,7 +197,9 @@ class AlertReport:
     def reads(self) -> DataFrame:
         ua = self.inp["user_alerts"].where(F.col("ViewedDate").isNotNull())
         ua = ua.join(self.kept.select("AlertId"), "AlertId", "left_semi")
-        return anti(ua, self.staff, ua["UserId"] == self.staff["userId"]).select("AlertId", "UserId", "ViewedDate")
+        viewed = utc_to_eastern("ViewedDate") if self.convert_views else F.col("ViewedDate")
+        return anti(ua, self.staff, ua["UserId"] == self.staff["userId"]).select(
+            "AlertId", "UserId", viewed.alias("ViewedDate"))
 
     def _first_per_user(self, events: DataFrame, ts: str, out: str) -> DataFrame:
         first = events.groupBy("AlertId", "UserId").agg(F.min(ts).alias(out))
