@@ -18,10 +18,10 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "cost_by_area_modality", "cost_by_body_area", "oncology_final", "sessions_per_course",
+    "cost_by_area_modality", "cost_by_body_area", "oncology_final",
     "alert_report", "alert_statistics", "response_buckets",
     "action_completion", "action_completion_filtered",
-    "global_sequence", "asof_backward", "nearest_within_window", "split_param",
+    "global_sequence", "nearest_within_window", "split_param",
 ]
 
 
