@@ -70,11 +70,19 @@ def _sims(j: onc.OncologyJob) -> DataFrame:
 _onc_query("global_sequence", _sims)
 _onc_query("nearest_within_window", lambda j: j.filtered.where(
     F.col("treatment_process") == onc.CONSULT).select(*_LINE_KEY, "clm_line_from_dt"))
-_onc_query("asof_forward", lambda j: j.grouped.where(F.col("treatment_process") == onc.CONSULT).select(
-    *_LINE_KEY, "clm_line_from_dt", "treatment_group"))
-_onc_query("asof_backward", lambda j: j.grouped.where(
-    ~F.col("treatment_process").isin(onc.CONSULT, onc.SIMULATION)).select(
-    *_LINE_KEY, "clm_line_from_dt", "treatment_group"))
+def _asof(j: onc.OncologyJob, direction: str) -> DataFrame:
+    """The generic as-of operator on its own: lines against numbered simulation anchors."""
+    from caresight.operators.scans import asof_join
+    anchors = _sims(j).select("beneficiary_id", F.col("clm_line_from_dt").alias("sim_date"), "treatment_group")
+    proc = F.col("treatment_process")
+    rows = j.filtered.where(proc == onc.CONSULT if direction == "forward"
+                            else ~proc.isin(onc.CONSULT, onc.SIMULATION)).select(*_LINE_KEY, "clm_line_from_dt")
+    return asof_join(rows, anchors, ["beneficiary_id"], "clm_line_from_dt", "sim_date", ["treatment_group"],
+                     direction, tie_break=["treatment_group"]).drop("sim_date")
+
+
+_onc_query("asof_forward", lambda j: _asof(j, "forward"))
+_onc_query("asof_backward", lambda j: _asof(j, "backward"))
 
 
 def _priority(j: onc.OncologyJob) -> DataFrame:

@@ -32,13 +32,14 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _pinned_ranges(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
+def _pinned_ranges(df: DataFrame, order: Sequence[Column], n: int | None,
+                   range_on: Sequence[Column] | None = None) -> DataFrame:
     """Range-partition + sort on ``order``, record partition id and position as columns,
     and pin them by writing the result as a table in the shared checkpoint folder (one
     job; later steps only read the recorded columns, never the physical layout)."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/scan-{uuid.uuid4().hex}"
-    (df.repartitionByRange(_num_partitions(df, n), *order)
+    (df.repartitionByRange(_num_partitions(df, n), *(range_on or order))
        .sortWithinPartitions(*order)
        .withColumn(_PID, F.spark_partition_id())
        .withColumn(_RID, F.monotonically_increasing_id())
@@ -128,6 +129,51 @@ def asof_join(left: DataFrame, anchors: DataFrame, by: Sequence[str], left_ts: s
     return joined.select(*out)
 
 
+def anchor_groups(df: DataFrame, by: Sequence[str], ts: str, tie: Sequence[str], is_anchor: Column,
+                  look: Column, out: str = "group", num_partitions: int | None = None) -> DataFrame:
+    """Number the anchor rows 1..N in (by, ts, *tie) order and give every other row the
+    number of its nearest anchor of the same key, in one pinned range pass.
+
+    ``look`` per row: ``'forward'`` takes the earliest anchor with ts >= own ts,
+    ``'backward'`` the latest anchor with ts <= own ts (equal ts qualify; among anchors
+    with the same ts the lowest number wins); NULL gives NULL. Anchors get their own
+    number. Rows are range-partitioned on (by, ts), so rows sharing a key and ts stay in
+    one partition and RANGE frames see all same-ts peers; a hot key spans many partitions
+    and is carried across them through one summary row per (partition, key).
+    """
+    order = [*[F.col(b) for b in by], F.col(ts), *[F.col(t) for t in tie]]
+    tagged = df.withColumn("_anchor", is_anchor).withColumn("_look", look)
+    pinned = _pinned_ranges(tagged, order, num_partitions, range_on=[*[F.col(b) for b in by], F.col(ts)])
+
+    # 1. anchor numbers: partition offset + running count inside the partition
+    counts = pinned.groupBy(_PID).agg(F.sum(F.col("_anchor").cast("long")).alias("_n"))
+    offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(
+        Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    running = F.sum(F.col("_anchor").cast("long")).over(
+        Window.partitionBy(_PID).orderBy(_RID).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = (pinned.join(F.broadcast(offsets), _PID)  # <= num_partitions rows
+                .withColumn("_grp", F.when(F.col("_anchor"), F.col("_off") + running)))
+
+    # 2. nearest anchors inside the partition (RANGE frames include same-ts peers)
+    back = F.when(F.col("_anchor"), F.struct(F.col(ts).alias("t"), (-F.col("_grp")).alias("g")))
+    fwd = F.when(F.col("_anchor"), F.struct(F.col(ts).alias("t"), F.col("_grp").alias("g")))
+    w = Window.partitionBy(_PID, *by).orderBy(ts)
+    local = (numbered.withColumn("_lb", F.max(back).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+             .withColumn("_lf", F.min(fwd).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))))
+
+    # 3. carry from earlier (backward) / later (forward) partitions of the same key
+    per = numbered.groupBy(_PID, *by).agg(F.max(back).alias("_pb"), F.min(fwd).alias("_pf"))
+    wk = Window.partitionBy(*by).orderBy(_PID)
+    carry = per.select(_PID, *by,
+                       F.max("_pb").over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_cb"),
+                       F.min("_pf").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cf"))
+    j = local.join(carry, [_PID, *by], "left")
+    grp = (F.when(F.col("_anchor"), F.col("_grp"))
+           .when(F.col("_look") == "backward", -F.greatest("_lb", "_cb")["g"])
+           .when(F.col("_look") == "forward", F.least("_lf", "_cf")["g"]))
+    return j.select(*[F.col(c) for c in df.columns], grp.cast("long").alias(out))
+
+
 def _day_number(c: str) -> Column:
     return F.unix_date(F.to_date(F.col(c)))
 

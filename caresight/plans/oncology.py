@@ -27,7 +27,7 @@ from caresight.functions.codes import (LINE_CODES, MODALITY_CODES, MODALITY_PRIO
 from caresight.functions.scalars import fallback, signed_amount
 from caresight.operators.aggregates import count_if
 from caresight.operators.filters import any_in_set, classify, filter_code_set, first_matching, in_set
-from caresight.operators.scans import asof_join, global_sequence, nearest_within
+from caresight.operators.scans import anchor_groups, nearest_within
 from caresight.operators.windows import priority_label
 from caresight.sources.adapters import TEST_CANCER_CODES
 from caresight.sources.tables import extract_claims, stage
@@ -135,19 +135,15 @@ def filtered(comb: DataFrame, lo_days: int = 0, hi_days: int = 60) -> DataFrame:
 
 
 def treatment_groups(lines: DataFrame) -> DataFrame:
-    """Course number per line: simulation lines are numbered in (patient, date) order;
-    office visits take the first simulation on or after them, other lines the latest
-    simulation on or before them (same-day ties: lowest course number)."""
+    """Course number per line: simulation lines are numbered in (patient, date, claim,
+    line) order; office visits take the first simulation on or after them, other lines
+    the latest simulation on or before them (same-day ties: lowest course number).
+    Numbering and both look-ups share one pinned range pass (``anchor_groups``)."""
     proc = F.col("treatment_process")
-    sims = global_sequence(lines.where(proc == SIMULATION),
-                           [BENE, LINE_DATE, "cur_clm_uniq_id", "clm_line_num"], out="treatment_group")
-    anchors = sims.select(BENE, F.col(LINE_DATE).alias("sim_date"), "treatment_group")
-    visits = asof_join(lines.where(proc == CONSULT), anchors, [BENE], LINE_DATE, "sim_date",
-                       ["treatment_group"], "forward", tie_break=["treatment_group"]).drop("sim_date")
-    others = asof_join(lines.where(~proc.isin(CONSULT, SIMULATION)), anchors, [BENE], LINE_DATE,
-                       "sim_date", ["treatment_group"], "backward",
-                       tie_break=["treatment_group"]).drop("sim_date")
-    return sims.unionByName(visits).unionByName(others)
+    look = (F.when(proc == CONSULT, F.lit("forward"))
+            .when(~proc.isin(CONSULT, SIMULATION), F.lit("backward")))
+    return anchor_groups(lines, [BENE], LINE_DATE, ["cur_clm_uniq_id", "clm_line_num"],
+                         proc == SIMULATION, look, out="treatment_group")
 
 
 def final_lines(grouped: DataFrame) -> DataFrame:

@@ -111,3 +111,32 @@ def test_role_tiers_and_scope(spark):
         assert sorted(x.CreatedBy for x in rows.where(role_scope(F.col("CreatedBy"), r, 7, [])).collect()) == exp
     r = F.lit(None).cast("string")
     assert [x.CreatedBy for x in rows.where(role_scope(F.col("CreatedBy"), r, 7, [8])).collect()] == [8]
+
+
+def test_anchor_groups_matches_brute_force(spark):
+    from caresight.operators.scans import anchor_groups
+    rnd = random.Random(11)
+    rows = []
+    for i in range(600):
+        k = 0 if rnd.random() < 0.5 else rnd.randrange(5)
+        kind = rnd.choice(["anchor", "forward", "backward", "none"])
+        rows.append((i, k, dt.date(2021, 1, 1) + dt.timedelta(days=rnd.randrange(90)), kind))
+    df = spark.createDataFrame(rows, "id int, k int, d date, kind string")
+    look = F.when(F.col("kind").isin("forward", "backward"), F.col("kind"))
+    got = {r.id: r.g for r in anchor_groups(df, ["k"], "d", ["id"], F.col("kind") == "anchor", look,
+                                            out="g", num_partitions=6).collect()}
+    anchors = sorted((k, d, i) for i, k, d, kind in rows if kind == "anchor")
+    number = {i: n + 1 for n, (_, _, i) in enumerate(anchors)}
+    for i, k, d, kind in rows:
+        if kind == "anchor":
+            exp = number[i]
+        elif kind == "none":
+            exp = None
+        else:
+            c = [(ad, number[ai]) for ak, ad, ai in anchors if ak == k and (ad >= d if kind == "forward" else ad <= d)]
+            if not c:
+                exp = None
+            else:
+                best = min(a for a, _ in c) if kind == "forward" else max(a for a, _ in c)
+                exp = min(g for a, g in c if a == best)
+        assert got[i] == exp, (i, kind)
