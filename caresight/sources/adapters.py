@@ -124,23 +124,8 @@ from {events} where event_type = 'error'""",
     "exclusions": """
 select distinct user_id * 8 as BenId from {events} where user_id % 37 = 5
 union all select cast(null as bigint) as BenId""",
-    "action_logs": """
-select e.event_id * 100000 + a.event_id as AlertActionLogId,
-       case when e.event_type = 'click' then 1 else 2 end as AlertActionId,
-       a.event_id as AlertId,
-       (a.user_id - a.user_id % 3) + 10 * (e.event_id % 4) as UserId,
-       e.ts as CreatedDate,
-       case when e.event_id % 25 = 0 then 0 else 1 end as Active
-from {events} a join {events} e on a.user_id = e.user_id
-where a.event_type = 'error' and e.event_type in ('click', 'purchase')
-  and e.ts > a.ts and e.ts <= a.ts + interval 10 days and (a.event_id + e.event_id) % 3 = 0""",
-    "user_alerts": """
-select a.event_id as AlertId,
-       (a.user_id - a.user_id % 3) + 10 * (e.event_id % 4) as UserId,
-       case when e.event_id % 9 = 0 then null else e.ts end as ViewedDate
-from {events} a join {events} e on a.user_id = e.user_id
-where a.event_type = 'error' and e.event_type = 'view'
-  and e.ts > a.ts and e.ts <= a.ts + interval 10 days and (a.event_id + e.event_id) % 3 = 0""",
+    "action_logs": None,   # generated below (bucketed range join)
+    "user_alerts": None,
     "alert_actions": """
 select AlertActionId, Text from (values (1, 'Called patient'), (2, 'No Action Taken')) as t(AlertActionId, Text)""",
     "tin_consultant": """
@@ -258,6 +243,37 @@ select user_id,
 from {events} group by user_id"""
 ADAPTERS["practice_mapping"] = _practice_mapping()
 
+# Events joined to later events of the same user within 10 days. A range condition on
+# one key would pair every event of a user with every other; instead both sides carry an
+# 11-day bucket of a day number (gaps at year ends are at most one day), and each alert
+# probes its own bucket and the next one by equality (two equi-joins, no duplicates).
+_DAYNO = "(year({t}.ts) * 366 + dayofyear({t}.ts))"
+_BUCKET = "cast(floor(" + _DAYNO + " / 11) as bigint)"
+
+
+def _event_pairs(select: str, types: str) -> str:
+    a_b, e_b = _BUCKET.format(t="a"), _BUCKET.format(t="e")
+    blocks = []
+    for k in (0, 1):
+        blocks.append(f"""
+select {select}
+from (select a.*, {a_b} as bkt from {{events}} a where a.event_type = 'error') a
+join (select e.*, {e_b} as bkt from {{events}} e where e.event_type in ({types})) e
+  on a.user_id = e.user_id and e.bkt = a.bkt + {k}
+where e.ts > a.ts and e.ts <= a.ts + interval 10 days and (a.event_id + e.event_id) % 3 = 0""")
+    return "\nunion all".join(blocks)
+
+
+ADAPTERS["action_logs"] = _event_pairs("""e.event_id * 100000 + a.event_id as AlertActionLogId,
+       case when e.event_type = 'click' then 1 else 2 end as AlertActionId,
+       a.event_id as AlertId,
+       (a.user_id - a.user_id % 3) + 10 * (e.event_id % 4) as UserId,
+       e.ts as CreatedDate,
+       case when e.event_id % 25 = 0 then 0 else 1 end as Active""", "'click', 'purchase'")
+ADAPTERS["user_alerts"] = _event_pairs("""a.event_id as AlertId,
+       (a.user_id - a.user_id % 3) + 10 * (e.event_id % 4) as UserId,
+       case when e.event_id % 9 = 0 then null else e.ts end as ViewedDate""", "'view'")
+
 _REF = re.compile(r"\{(\w+)\}")
 
 
