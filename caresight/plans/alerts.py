@@ -284,14 +284,46 @@ class AlertReport:
                 self._bucket_totals(self.action_timings, ["AlertId", "NpiId"], "AlertsActions"),
                 self._bucket_totals(self.action_timings, ["BenId", "NpiId"], "PatientsActions")]
 
+    @cached_property
+    def engagement(self) -> DataFrame:
+        """Received / read / unread / acted / not-acted counts per provider in one
+        aggregation. AlertId is the key of the kept alerts, so alert counts are plain
+        conditional counts; only patient counts need DISTINCT. "Not read" keeps the
+        as-written meaning (alerts whose BenId is NULL, see ``not_read_as_written``)."""
+        read_ids = self.reads.select("AlertId").distinct().withColumn("_read", F.lit(True))
+        act_ids = self.actions.select("AlertId").distinct().withColumn("_acted", F.lit(True))
+        k = self.kept.join(read_ids, "AlertId", "left").join(act_ids, "AlertId", "left")
+        read, acted = F.coalesce("_read", F.lit(False)), F.coalesce("_acted", F.lit(False))
+        ben = F.col("BenId")
+        return k.groupBy("NpiId").agg(
+            F.count(F.lit(1)).alias("AlertsReceived"), F.countDistinct(ben).alias("PatientsReceived"),
+            count_if(read).alias("AlertsRead"), F.countDistinct(F.when(read, ben)).alias("PatientsRead"),
+            count_if(ben.isNull()).alias("AlertsNotRead"),
+            F.countDistinct(F.when(ben.isNull(), ben)).alias("PatientsNotRead"),
+            count_if(acted).alias("AlertsWActions"), F.countDistinct(F.when(acted, ben)).alias("PatientsWActions"),
+            count_if(~acted).alias("AlertsWNoActions"), F.countDistinct(F.when(~acted, ben)).alias("PatientsWNoActions"))
+
+    @cached_property
+    def all_buckets(self) -> DataFrame:
+        """The four best-bucket totals (alert/patient x read/action) in one aggregation."""
+        kinds = [(self.read_timings, ["AlertId", "NpiId"], "AlertsRead"),
+                 (self.read_timings, ["BenId", "NpiId"], "PatientsRead"),
+                 (self.action_timings, ["AlertId", "NpiId"], "AlertsActions"),
+                 (self.action_timings, ["BenId", "NpiId"], "PatientsActions")]
+        parts = [best_flags(t, per, self.FLAGS).select("NpiId", *self.FLAGS, F.lit(kind).alias("_kind"))
+                 for t, per, kind in kinds]
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        return u.groupBy("NpiId").agg(*[count_if((F.col("_kind") == kind) & (F.col(f) == 1)).alias(kind + f)
+                                        for _, _, kind in kinds for f in self.FLAGS])
+
     # ------------------------------------------------------------ assembly (C20)
     @cached_property
     def statistics(self) -> DataFrame:
         spine = (self.users.join(self.npis, "UserId")
                  .select("UserId", "NpiId", "NpiNum", "UserName", plus_concat("LN", F.lit(", "), "FN").alias("Provider")))
-        metrics = [self.received, self.read_counts, self.not_read_as_written, self.not_acted,
-                   *self.bucket_totals, self.acted]
-        return assemble(spine, "NpiId", metrics).distinct()
+        return assemble(spine, "NpiId", [self.engagement, self.all_buckets]).distinct()
 
     # ------------------------------------------------------------ enrichment
     @cached_property
