@@ -133,8 +133,8 @@ _alert_query("consultant_maps", lambda r: r.tin_map.select(F.lit("tin").alias("k
     r.npi_map.select(F.lit("npi").alias("kind"), "*")))
 _alert_query("provider_entity_lookup", lambda r: r.entity_map)
 _alert_query("straddle_snapshot", lambda r: r.straddle)
-_alert_query("quality_pivot", lambda r: r.bsa_table)
-_alert_query("positional_pivot", lambda r: r.bsa_metrics.withColumn("Rn", F.col("Rn").cast("long")))
+_alert_query("quality_pivot", lambda r: r.quality_table)
+_alert_query("positional_pivot", lambda r: r.quality_metrics.withColumn("Rn", F.col("Rn").cast("long")))
 _alert_query("alert_report", lambda r: r.report)
 _alert_query("response_share", lambda r: r.response_share)
 _alert_query("engagement_vs_quality", lambda r: r.engagement_vs_quality)
@@ -452,7 +452,7 @@ def _cond_sum(spark, sf_dir):
 @op("conditional_avg_pivot")
 def _cond_avg(spark, sf_dir):
     from caresight.plans.alerts import METRICS
-    m = _alerts(spark, sf_dir).bsa_metrics
+    m = _alerts(spark, sf_dir).quality_metrics
     aggs = []
     for q in range(1, 5):
         for label, metric in zip(("Readm", "PDV"), METRICS):

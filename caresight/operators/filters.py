@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caresight.functions.codes import first_label_per_code
 
 Codes = Mapping[str, Sequence[str]] | DataFrame
 

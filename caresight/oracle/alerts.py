@@ -202,7 +202,7 @@ tin_mapping as (
   left join (select distinct NPI, TIN, Entity from master_view
              where ACOR in (select ACOR from master_view order by ACOR desc limit 1)
                and NPI_Approval = 1 and TIN_Approval = 1) mview on npis.npi_num = mview.NPI),
-bsa_metrics as (
+quality_metrics as (
   select *, row_number() over (partition by TIN, NPI order by Metric desc, Eligibility, DATASET) as Rn
   from (
     select distinct a.TIN, a.NPI, a.Metric, cast(QTR1 as double) as Q1Ptg, cast(QTR2 as double) as Q2Ptg,
@@ -217,13 +217,13 @@ bsa_metrics as (
       and ((Eligibility = 'Formulated' and b.Period = '00') or (Eligibility = 'CMS' and b.Period <> '00'))
       and MemberSource = 'All' and regexp_matches(a.NPI, '^[0-9]+$')
       and Metric in ('30-Day Readmission Rate', '% PDV')) k),
-bsa_table as (
+quality_table as (
   select TIN, NPI,
          avg(case when Rn = 1 then Q1Ptg end) as Q1ReadmPtg, avg(case when Rn = 2 then Q1Ptg end) as Q1PDVPtg,
          avg(case when Rn = 1 then Q2Ptg end) as Q2ReadmPtg, avg(case when Rn = 2 then Q2Ptg end) as Q2PDVPtg,
          avg(case when Rn = 1 then Q3Ptg end) as Q3ReadmPtg, avg(case when Rn = 2 then Q3Ptg end) as Q3PDVPtg,
          avg(case when Rn = 1 then Q4Ptg end) as Q4ReadmPtg, avg(case when Rn = 2 then Q4Ptg end) as Q4PDVPtg
-  from bsa_metrics group by TIN, NPI)
+  from quality_metrics group by TIN, NPI)
 """
 
 
@@ -254,7 +254,7 @@ select * from (
   left join tin_mapping b on a.NpiId = b.NpiId
   left join tin_map tinc on b.TIN = tinc.TIN
   left join npi_map npic on a.NpiNum = npic.NPI
-  left join bsa_table e on a.NpiNum = e.NPI and b.TIN = e.TIN) z
+  left join quality_table e on a.NpiNum = e.NPI and b.TIN = e.TIN) z
 where ProviderConsultant in {CONSULTANTS}
 order by PatientsReceived desc"""
 
@@ -296,8 +296,8 @@ SQL = {
         union all select 'npi', TIN, Consultant, Company, NPI from npi_map"""),
     "provider_entity_lookup": q("select NpiId, TIN, EntityName from tin_mapping"),
     "straddle_snapshot": q("select Beneficiary_ID, TIN, Npi, Year, Period from straddle"),
-    "quality_pivot": q("select * from bsa_table"),
-    "positional_pivot": q("select TIN, NPI, Metric, Eligibility, DATASET, Q1Ptg, Q2Ptg, Q3Ptg, Q4Ptg, Rn from bsa_metrics"),
+    "quality_pivot": q("select * from quality_table"),
+    "positional_pivot": q("select TIN, NPI, Metric, Eligibility, DATASET, Q1Ptg, Q2Ptg, Q3Ptg, Q4Ptg, Rn from quality_metrics"),
     "alert_report": q(REPORT),
     "response_share": q("""select NpiId, AlertsWActions, AlertsActionsLess24,
         (2 * AlertsActionsLess24 * 10000 + AlertsWActions) // (2 * AlertsWActions) as pct_within_24h_x100,
@@ -306,5 +306,5 @@ SQL = {
     "engagement_vs_quality": q("""select s.NpiId, t.TIN, s.AlertsReceived, s.AlertsWActions, s.AlertsActionsLess24,
         e.Q1ReadmPtg, e.Q1PDVPtg
         from stats s left join tin_mapping t on s.NpiId = t.NpiId
-        join bsa_table e on s.NpiNum = e.NPI and t.TIN = e.TIN"""),
+        join quality_table e on s.NpiNum = e.NPI and t.TIN = e.TIN"""),
 }

@@ -125,7 +125,7 @@ SQL = {
         avg(case when Metric = '% PDV' then Q3Ptg end) as Q3PDVPtg,
         avg(case when Metric = '30-Day Readmission Rate' then Q4Ptg end) as Q4ReadmPtg,
         avg(case when Metric = '% PDV' then Q4Ptg end) as Q4PDVPtg
-        from bsa_metrics group by TIN, NPI"""),
+        from quality_metrics group by TIN, NPI"""),
     "distinct_rows": w("part_a") + "select distinct beneficiary_id, atndg_prvdr_npi_num from part_a",
     "group_by_dedupe": w("tracking") + "select CTBeneficiaryID, StatusId from tracking group by CTBeneficiaryID, StatusId",
     # ---------------------------------------------------------------- windows, sorts, sets

@@ -335,7 +335,7 @@ class AlertReport:
                 .select("NpiId", "TIN", F.col("Entity").alias("EntityName")))
 
     @cached_property
-    def bsa_metrics(self) -> DataFrame:
+    def quality_metrics(self) -> DataFrame:
         pm = self.inp["practice_mapping"]
         newest = pm.select(F.max("DATASET")).scalar()  # newest tag of the whole table
         pm = semi_either(pm, [("NPI", self.npi_map, "NPI"), ("TIN", self.tin_map, "TIN")]).distinct()
@@ -352,13 +352,13 @@ class AlertReport:
         return row_number_per_key(k, ["TIN", "NPI"], [F.col("Metric").desc(), F.col("Eligibility"), F.col("DATASET")], "Rn")
 
     @cached_property
-    def bsa_table(self) -> DataFrame:
+    def quality_table(self) -> DataFrame:
         """Positional pivot: rank 1 -> readmission columns, rank 2 -> PDV columns."""
         aggs = []
         for q in range(1, 5):
             aggs.append(F.avg(F.when(F.col("Rn") == 1, F.col(f"Q{q}Ptg"))).alias(f"Q{q}ReadmPtg"))
             aggs.append(F.avg(F.when(F.col("Rn") == 2, F.col(f"Q{q}Ptg"))).alias(f"Q{q}PDVPtg"))
-        return self.bsa_metrics.groupBy("TIN", "NPI").agg(*aggs)
+        return self.quality_metrics.groupBy("TIN", "NPI").agg(*aggs)
 
     # ------------------------------------------------------------ final report
     @cached_property
@@ -368,8 +368,8 @@ class AlertReport:
         tin = self.tin_map.select(F.col("TIN").alias("_ttin"), F.col("Consultant").alias("_tcons"))
         npi = self.npi_map.select(F.col("NPI").alias("_nnpi"), F.col("Consultant").alias("_ncons"))
         multi = self.npi_map.select(F.col("TIN").alias("_mtin")).distinct().withColumn("_multi", F.lit(True))
-        e = self.bsa_table.select(F.col("TIN").alias("_etin"), F.col("NPI").alias("_enpi"),
-                                  *[F.col(c) for c in self.bsa_table.columns if c not in ("TIN", "NPI")])
+        e = self.quality_table.select(F.col("TIN").alias("_etin"), F.col("NPI").alias("_enpi"),
+                                  *[F.col(c) for c in self.quality_table.columns if c not in ("TIN", "NPI")])
         j = (s.join(em, F.col("a.NpiId") == F.col("b.NpiId"), "left")
              .join(tin, F.col("b.TIN") == F.col("_ttin"), "left")
              .join(npi, F.col("a.NpiNum") == F.col("_nnpi"), "left")
@@ -418,7 +418,7 @@ class AlertReport:
     def engagement_vs_quality(self) -> DataFrame:
         """Engagement counts next to the quality metrics of the same TIN x NPI."""
         s = self.statistics.join(self.entity_map.select("NpiId", "TIN"), "NpiId", "left")
-        q = self.bsa_table.select(F.col("TIN").alias("_t"), F.col("NPI").alias("_n"), "Q1ReadmPtg", "Q1PDVPtg")
+        q = self.quality_table.select(F.col("TIN").alias("_t"), F.col("NPI").alias("_n"), "Q1ReadmPtg", "Q1PDVPtg")
         j = s.join(q, (F.col("NpiNum") == F.col("_n")) & (F.col("TIN") == F.col("_t")), "inner")
         return j.select("NpiId", "TIN", "AlertsReceived", "AlertsWActions", "AlertsActionsLess24",
                         "Q1ReadmPtg", "Q1PDVPtg")

@@ -13,6 +13,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
     AQE stays on: it coalesces small shuffle partitions, splits skewed join partitions and
     turns sort-merge joins into broadcast joins only after it has *measured* the build side.
+    Locally the shuffle width equals the core count; on a cluster pass ``shuffle_partitions``
+    sized for the data (AQE only coalesces downwards), e.g. input bytes / 128 MB. The range
+    scans in ``operators/scans.py`` use the same width, so hot keys split that finely.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"

@@ -221,7 +221,7 @@ def _practice_mapping() -> str:
     blocks = []
     for metric, mk in (("30-Day Readmission Rate", 1), ("% PDV", 3)):
         for elig, ek in (("CMS", 0), ("Formulated", 2)):
-            for dataset in ("BSA-2023", "BSA-2024"):
+            for dataset in ("QM-2023", "QM-2024"):
                 q = [f"cast(cast((q.c{i} + {mk + ek}) * 0.25 as decimal(10,2)) as string)" for i in range(1, 5)]
                 drop = " where n.NpiId % 7 <> 0" if metric.startswith("30") else ""
                 blocks.append(f"""
