@@ -99,6 +99,7 @@ _onc_query("priority_label", _priority)
 
 from caresight.oracle.alerts import SQL as ALERT_SQL  # noqa: E402
 from caresight.plans.alerts import AlertReport  # noqa: E402
+from caresight.operators.windows import best_flags  # noqa: E402
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> AlertReport:
@@ -118,10 +119,8 @@ _alert_query("first_read_per_user", lambda r: r.first_reads)
 _alert_query("response_buckets", lambda r: r.action_timings.select(
     "AlertId", "NpiId", "BenId", "UserId", "IsDoctor", "DateReceived", "DateAction", "HoursLapsed",
     "Less24", "OneToThreeBD", "MoreThreeBD"))
-_alert_query("best_bucket_alert", lambda r: __import__("caresight.operators.windows", fromlist=["x"]).best_flags(
-    r.read_timings, ["AlertId", "NpiId"], AlertReport.FLAGS))
-_alert_query("best_bucket_patient", lambda r: __import__("caresight.operators.windows", fromlist=["x"]).best_flags(
-    r.action_timings, ["BenId", "NpiId"], AlertReport.FLAGS))
+_alert_query("best_bucket_alert", lambda r: best_flags(r.read_timings, ["AlertId", "NpiId"], AlertReport.FLAGS))
+_alert_query("best_bucket_patient", lambda r: best_flags(r.action_timings, ["BenId", "NpiId"], AlertReport.FLAGS))
 _alert_query("bucket_totals", lambda r: r.bucket_totals[2])
 _alert_query("engagement_counts", lambda r: r.statistics.select(
     "NpiId", "AlertsReceived", "PatientsReceived", "AlertsRead", "PatientsRead", "AlertsNotRead",
