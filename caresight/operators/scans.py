@@ -154,19 +154,22 @@ def anchor_groups(df: DataFrame, by: Sequence[str], ts: str, tie: Sequence[str],
     numbered = (pinned.join(F.broadcast(offsets), _PID)  # <= num_partitions rows
                 .withColumn("_grp", F.when(F.col("_anchor"), F.col("_off") + running)))
 
-    # 2. nearest anchors inside the partition (RANGE frames include same-ts peers)
+    # 2. nearest anchors inside the partition. RANGE frames include same-ts peers; both
+    #    directions use running frames (unbounded preceding .. current row), which Spark
+    #    evaluates incrementally -- the forward look-up simply runs in descending ts order.
     back = F.when(F.col("_anchor"), F.struct(F.col(ts).alias("t"), (-F.col("_grp")).alias("g")))
     fwd = F.when(F.col("_anchor"), F.struct(F.col(ts).alias("t"), F.col("_grp").alias("g")))
-    w = Window.partitionBy(_PID, *by).orderBy(ts)
-    local = (numbered.withColumn("_lb", F.max(back).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-             .withColumn("_lf", F.min(fwd).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))))
+    part = Window.partitionBy(_PID, *by)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    local = (numbered.withColumn("_lb", F.max(back).over(part.orderBy(F.col(ts).asc()).rangeBetween(*upto)))
+             .withColumn("_lf", F.min(fwd).over(part.orderBy(F.col(ts).desc()).rangeBetween(*upto))))
 
     # 3. carry from earlier (backward) / later (forward) partitions of the same key
     per = numbered.groupBy(_PID, *by).agg(F.max(back).alias("_pb"), F.min(fwd).alias("_pf"))
-    wk = Window.partitionBy(*by).orderBy(_PID)
+    before = (Window.unboundedPreceding, -1)
     carry = per.select(_PID, *by,
-                       F.max("_pb").over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_cb"),
-                       F.min("_pf").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cf"))
+                       F.max("_pb").over(Window.partitionBy(*by).orderBy(F.col(_PID).asc()).rowsBetween(*before)).alias("_cb"),
+                       F.min("_pf").over(Window.partitionBy(*by).orderBy(F.col(_PID).desc()).rowsBetween(*before)).alias("_cf"))
     j = local.join(carry, [_PID, *by], "left")
     grp = (F.when(F.col("_anchor"), F.col("_grp"))
            .when(F.col("_look") == "backward", -F.greatest("_lb", "_cb")["g"])
