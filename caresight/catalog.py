@@ -137,6 +137,7 @@ _alert_query("positional_pivot", lambda r: r.quality_metrics.withColumn("Rn", F.
 _alert_query("alert_report", lambda r: r.report)
 _alert_query("response_share", lambda r: r.response_share)
 _alert_query("engagement_vs_quality", lambda r: r.engagement_vs_quality)
+_alert_query("engagement_quality_corr", lambda r: r.engagement_quality_corr)
 
 
 # ------------------------------------------------------------------ action completion

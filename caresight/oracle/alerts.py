@@ -308,3 +308,8 @@ SQL = {
         from stats s left join tin_mapping t on s.NpiId = t.NpiId
         join quality_table e on s.NpiNum = e.NPI and t.TIN = e.TIN"""),
 }
+SQL["engagement_quality_corr"] = q("""select count(*) as providers,
+        round(corr(cast(s.AlertsActionsLess24 as double), e.Q1ReadmPtg), 6) as corr_timely_readmission,
+        round(corr(cast(s.AlertsActionsLess24 as double), e.Q1PDVPtg), 6) as corr_timely_pdv
+        from stats s left join tin_mapping t on s.NpiId = t.NpiId
+        join quality_table e on s.NpiNum = e.NPI and t.TIN = e.TIN""")

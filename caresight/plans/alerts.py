@@ -422,3 +422,13 @@ class AlertReport:
         j = s.join(q, (F.col("NpiNum") == F.col("_n")) & (F.col("TIN") == F.col("_t")), "inner")
         return j.select("NpiId", "TIN", "AlertsReceived", "AlertsWActions", "AlertsActionsLess24",
                         "Q1ReadmPtg", "Q1PDVPtg")
+
+    @cached_property
+    def engagement_quality_corr(self) -> DataFrame:
+        """Pearson correlation between timely action and the quality metrics, over the
+        providers that have both (rounded to 6 decimals)."""
+        e = self.engagement_vs_quality
+        timely = F.col("AlertsActionsLess24").cast("double")
+        return e.agg(F.count(F.lit(1)).alias("providers"),
+                     F.round(F.corr(timely, F.col("Q1ReadmPtg")), 6).alias("corr_timely_readmission"),
+                     F.round(F.corr(timely, F.col("Q1PDVPtg")), 6).alias("corr_timely_pdv"))
