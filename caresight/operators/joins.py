@@ -30,8 +30,11 @@ def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFra
     keys = other.select(F.col(other_col).alias("_k"))
     has_rows = keys.select(F.lit(1)).exists()
     has_null = keys.where(F.col("_k").isNull()).select(F.lit(1)).exists()
-    kept = df.join(keys.where(F.col("_k").isNotNull()).distinct(), F.col(col) == F.col("_k"), "left_anti")
-    return kept.where(~has_rows | (F.col(col).isNotNull() & ~has_null))
+    c = F.col(col)
+    # NULL values never reach the join (they would all hash to one partition): they stay
+    # only when the list is empty.
+    kept = df.where(c.isNotNull()).join(keys.where(F.col("_k").isNotNull()).distinct(), c == F.col("_k"), "left_anti")
+    return kept.where(~has_null).unionByName(df.where(c.isNull() & ~has_rows))
 
 
 def semi_either(df: DataFrame, probes: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:

@@ -190,7 +190,11 @@ class AlertReport:
     @cached_property
     def kept(self) -> DataFrame:
         """Alerts minus the no-action pairs; staged (a dozen metrics read it)."""
-        return stage(anti(self.alerts, self.no_action_pairs, ["BenId", "NpiId"]))
+        # Alerts without a patient can never match a pair: keep them without sending them
+        # through the anti join (where all NULL keys would hash to one partition).
+        a = self.alerts
+        matched = anti(a.where(F.col("BenId").isNotNull()), self.no_action_pairs, ["BenId", "NpiId"])
+        return stage(matched.unionByName(a.where(F.col("BenId").isNull())))
 
     # ------------------------------------------------------------ reads
     @cached_property

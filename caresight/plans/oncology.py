@@ -151,8 +151,12 @@ def final_lines(grouped: DataFrame) -> DataFrame:
     adjustment lines negated. Lines without a course keep their own modality."""
     course_type = priority_label(grouped, "treatment_group", "treatment_type", MODALITY_PRIORITY,
                                  OTHER_MODALITY_RANK, (UNKNOWN,), out="_course_type")
-    out = (grouped.where(F.col("clm_type_cd") != "50")
-           .join(course_type, "treatment_group", "left")
+    lines = grouped.where(F.col("clm_type_cd") != "50")
+    # Lines without a course can never match; they bypass the join instead of all hashing
+    # to the one partition of the NULL key.
+    grouped_lines = lines.where(F.col("treatment_group").isNotNull()).join(course_type, "treatment_group", "left")
+    loose = lines.where(F.col("treatment_group").isNull()).withColumn("_course_type", F.lit(None).cast("string"))
+    out = (grouped_lines.unionByName(loose)
            .withColumn("treatment_type", F.coalesce("_course_type", "treatment_type"))
            .withColumn("clm_line_pmt_amnt", signed_amount("clm_line_pmt_amnt", "clm_adjsmt_type_cd"))
            .withColumnRenamed("pta", "part_ab"))
