@@ -2,9 +2,11 @@
 
 * ``global_sequence``  ROW_NUMBER() OVER (ORDER BY ...) over a whole table.
 * ``asof_join``        nearest anchor on or before / on or after each row, per key.
-* ``nearest_within``   existence (and gap) of a partner within a bounded day window.
+* ``anchor_groups``    number anchor rows and give every other row its nearest anchor
+                       (forward or backward) in the same single pass.
+* ``nearest_within``   existence of a partner within a bounded day window.
 
-The first two scan rows in a total order. Instead of a window over the whole table (one
+The first three scan rows in a total order. Instead of a window over the whole table (one
 partition) or over one key (one task for a hot key), rows are range-partitioned on the
 *full* sort key, so a hot key is spread over many partitions. Each partition is scanned
 locally, and what a partition needs from the partitions before it is carried in through
