@@ -1,9 +1,13 @@
 """Helpers shared by the operators of this package."""
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caresight.session import ensure_checkpoint_dir
@@ -11,6 +15,27 @@ from caresight.session import ensure_checkpoint_dir
 #: A key that holds at least 1/HOT_SHARE of all rows is hot; there are HOT_SHARE such keys at most.
 HOT_SHARE = 1000
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        to = Path(tempfile.mkdtemp(prefix="caresight-code-")) / "caresight_code.zip"  # on the driver; Spark sends it
+        with zipfile.ZipFile(to, "w") as z:
+            for f in sorted((root / "caresight").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        sc.addPyFile(str(to))
+        _shipped.add(sc.applicationId)
+
+
+def map_in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole table of the given folder (any path that Spark can read)."""
@@ -53,7 +78,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], text: int, limit: int) -> Iterat
 
     for batch in batches:
         col = batch.column(text)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes.astype(np.int64))
         at = 0
         while at < batch.num_rows:

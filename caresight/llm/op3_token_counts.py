@@ -13,9 +13,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caresight.llm.common import by_bytes, column, table
+from caresight.llm.common import by_bytes, column, map_in_arrow, table
 from caresight.llm.textunits import spans, units
 
 #: Bytes of text per group of rows, bytes per encoded batch, remembered units and their length.
@@ -95,13 +96,13 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, doc_id: str
         own = counter(tokenizer)
         for batch in by_bytes(batches, 1, GROUP_BYTES):
             texts = batch.column(1)
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
+            sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), sizes, pa.array(own.counts(texts.to_pylist()), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     read = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
-    counted = read.mapInArrow(count, f"doc_id {kind}, n_bytes long, n_tokens long")
+    counted = map_in_arrow(read, count, f"doc_id {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > F.lit(limit))
 
 

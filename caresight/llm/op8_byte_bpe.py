@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caresight.llm.common import by_bytes, column, table
+from caresight.llm.common import by_bytes, column, map_in_arrow, table
 from caresight.llm.textunits import spans, units
 
 #: Bytes of text per group of rows and of new pre-tokens per run of the queue (a longer pre-token has
@@ -216,7 +216,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", te
 
     read = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
-    return read.mapInArrow(run, f"doc_id {kind}, token_ids array<int>" + (", decoded binary" if decoded else ""))
+    return map_in_arrow(read, run, f"doc_id {kind}, token_ids array<int>" + (", decoded binary" if decoded else ""))
 
 
 def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -231,7 +231,7 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary())], ["doc_id", "decoded"])
 
     read = encoded.select("doc_id", "token_ids")
-    return read.mapInArrow(run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, decoded binary")
+    return map_in_arrow(read, run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, decoded binary")
 
 
 def digests(coded: DataFrame) -> DataFrame:

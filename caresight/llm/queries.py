@@ -5,10 +5,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caresight.llm.op2_simhash import op2_simhash
 from caresight.llm.op3_token_counts import op3_token_counts
 from caresight.llm.op8_byte_bpe import op8_byte_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
 }
