@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
@@ -52,6 +53,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet under the folder in ``spark.checkpoint.dir`` and read from there.
+
+    For wide rows: columns that a later step doesn't use are not read again. The files are removed
+    when the driver ends.
+    """
+    spark = df.sparkSession
+    to = f"{ensure_checkpoint_dir(spark)}/caresight-{uuid.uuid4().hex}"
+    df.write.parquet(to)
+    path = spark._jvm.org.apache.hadoop.fs.Path(to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.parquet(to)
+
+
 def column(name: str) -> Column:
     """A column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
