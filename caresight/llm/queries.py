@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caresight.llm.op2_simhash import op2_simhash
 from caresight.llm.op3_token_counts import op3_token_counts
+from caresight.llm.op4_secrets import SQL as SECRETS_SQL, op4_secrets
 from caresight.llm.op7_quality_rules import op7_quality_rules
 from caresight.llm.op8_byte_bpe import op8_byte_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
+    "op4_secrets": op4_secrets,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_secrets": SECRETS_SQL}
