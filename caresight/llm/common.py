@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from caresight.session import ensure_checkpoint_dir
 
@@ -32,7 +33,7 @@ def ship_code(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
-def map_in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_in_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the workers."""
     ship_code(df.sparkSession)
     return df.mapInArrow(function, schema)

@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caresight.llm.op1_decontaminate import op1_decontaminate
 from caresight.llm.op2_simhash import op2_simhash
 from caresight.llm.op3_token_counts import op3_token_counts
 from caresight.llm.op4_secrets import SQL as SECRETS_SQL, op4_secrets
@@ -12,6 +13,7 @@ from caresight.llm.op7_quality_rules import op7_quality_rules
 from caresight.llm.op8_byte_bpe import op8_byte_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
     "op4_secrets": op4_secrets,
