@@ -9,6 +9,7 @@ from caresight.llm.op1_decontaminate import op1_decontaminate
 from caresight.llm.op2_simhash import op2_simhash
 from caresight.llm.op3_token_counts import op3_token_counts
 from caresight.llm.op4_secrets import SQL as SECRETS_SQL, op4_secrets
+from caresight.llm.op5_line_dedup import op5_line_dedup
 from caresight.llm.op7_quality_rules import op7_quality_rules
 from caresight.llm.op8_byte_bpe import op8_byte_bpe
 
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
     "op4_secrets": op4_secrets,
+    "op5_line_dedup": op5_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
 }
