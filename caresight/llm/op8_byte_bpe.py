@@ -21,7 +21,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caresight.llm.common import by_bytes, column, map_in_arrow, table
 from caresight.llm.textunits import spans, units
@@ -234,10 +234,10 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
     return map_in_arrow(read, run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, decoded binary")
 
 
-def digests(coded: DataFrame) -> DataFrame:
+def digests(coded: DataFrame, *more: Column) -> DataFrame:
     """n_tokens and the SHA-256 of the ids (decimal, comma-joined) and of the decoded bytes."""
     return coded.select(
-        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
