@@ -10,6 +10,7 @@ from caresight.llm.op2_simhash import op2_simhash
 from caresight.llm.op3_token_counts import op3_token_counts
 from caresight.llm.op4_secrets import SQL as SECRETS_SQL, op4_secrets
 from caresight.llm.op5_line_dedup import op5_line_dedup
+from caresight.llm.op6_warc import SQL as WARC_SQL, op6_warc
 from caresight.llm.op7_quality_rules import op7_quality_rules
 from caresight.llm.op8_byte_bpe import op8_byte_bpe
 
@@ -19,7 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
+    "op6_warc": op6_warc,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
 }
-ORACLE: dict[str, str] = {"op4_secrets": SECRETS_SQL}
+ORACLE: dict[str, str] = {"op4_secrets": SECRETS_SQL, "op6_warc": WARC_SQL}
