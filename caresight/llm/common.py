@@ -11,15 +11,32 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
+from xxhash import xxh64_intdigest
 
 from caresight.session import ensure_checkpoint_dir
 
 #: A key that holds at least 1/HOT_SHARE of all rows is hot; there are HOT_SHARE such keys at most.
 HOT_SHARE = 1000
 
+#: Words whose hash a worker remembers.
+REMEMBERED = 1_000_000
+
 _shipped: set[str] = set()
 
 
+class _WordHashes(dict):
+    """64-bit hash of each word, remembered within a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[word] = h = xxh64_intdigest(word)
+        return h
+
+
+word_hashes = _WordHashes()
+
+
 def ship_code(spark: SparkSession) -> None:
     """Sends this package to the executors' Python workers, once per application."""
     sc = spark.sparkContext

@@ -31,30 +31,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from xxhash import xxh64_intdigest
 
-from caresight.llm.common import by_bytes, column, map_in_arrow, table
+from caresight.llm.common import by_bytes, column, map_in_arrow, table, word_hashes
 
 SHINGLE, THRESHOLD, RADIUS, BLOCKS = 5, 0.8, 16, 6
-#: Words of items per slice; bits of the filter of shingles; words of a text looked at at a time.
-SLICE_WORDS, FILTER_BITS, REMEMBERED = 2_000_000, 22, 1_000_000
+#: Words of items per slice; bits of the filter of shingles.
+SLICE_WORDS, FILTER_BITS = 2_000_000, 22
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    """64-bit hash of each word, remembered within a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = h = xxh64_intdigest(word)
-        return h
-
-
-_hashes = _Hashes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TO_WORDS).split()
 
@@ -64,7 +50,7 @@ def shingles(words: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
     length = np.fromiter(map(len, words), np.int64, len(words))
     out, weight = np.zeros(n, np.uint64), np.zeros(n, np.int64)
     for k in range(size):

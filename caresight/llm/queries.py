@@ -13,6 +13,7 @@ from caresight.llm.op5_line_dedup import op5_line_dedup
 from caresight.llm.op6_warc import SQL as WARC_SQL, op6_warc
 from caresight.llm.op7_quality_rules import op7_quality_rules
 from caresight.llm.op8_byte_bpe import op8_byte_bpe
+from caresight.llm.op9_quality_classifier import op9_quality_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
@@ -23,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLE: dict[str, str] = {"op4_secrets": SECRETS_SQL, "op6_warc": WARC_SQL}
