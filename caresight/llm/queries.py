@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caresight.llm.op10_chat import op10_chat
 from caresight.llm.op1_decontaminate import op1_decontaminate
 from caresight.llm.op2_simhash import op2_simhash
 from caresight.llm.op3_token_counts import op3_token_counts
@@ -25,5 +26,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_chat": op10_chat,
 }
 ORACLE: dict[str, str] = {"op4_secrets": SECRETS_SQL, "op6_warc": WARC_SQL}
