@@ -10,7 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 from xxhash import xxh64_intdigest
 
 from caresight.session import ensure_checkpoint_dir
@@ -51,9 +51,18 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def map_in_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers."""
+    """``df.mapInArrow`` with this package at hand in the workers, whatever the columns' names are
+    (``function`` finds and returns columns by position)."""
     ship_code(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    out = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    plain = [f"c{i}" for i in range(len(out))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in function(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, plain)
+
+    renamed = StructType([StructField(n, f.dataType, True) for n, f in zip(plain, out)])
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, renamed).toDF(*out.names)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

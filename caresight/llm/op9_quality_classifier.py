@@ -80,7 +80,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
     dense = np.array([r[2] for r in rows]).reshape(-1, STATISTICS)
     m = Machine(0.0, np.zeros(n, np.float32), rng.normal(0, 0.02, (n, FACTORS)).astype(np.float32),
                 dense.mean(axis=0) if len(rows) else np.zeros(STATISTICS), dense.std(axis=0) + 1e-3 if len(rows) else np.ones(STATISTICS))
-    good = labels.mean() if len(labels) else 0.5
+    good = labels.mean() if len(labels) else 0.0
     if not 0 < good < 1:
         m.v[:] = 0
         m.bias = 0.0 if not len(labels) else (30.0 if good else -30.0)
