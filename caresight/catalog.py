@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caresight.oracle.oncology import SQL as ONC_SQL
+from caresight.oracle.oncology import SINCE as ONC_SINCE, SQL as ONC_SQL
 from caresight.plans import oncology as onc
 from caresight.sources.adapters import Inputs
+from caresight.sources.tables import owned_by
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +24,7 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: owned_by(fn, spark, sf_dir)
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -33,7 +34,7 @@ def register(name: str, sql: str | None = None):
 # ------------------------------------------------------------------ oncology report
 
 def _onc(spark: SparkSession, sf_dir: str) -> onc.OncologyJob:
-    return onc.OncologyJob(Inputs(spark, sf_dir))
+    return onc.OncologyJob(Inputs(spark, sf_dir), ONC_SINCE)
 
 
 def _onc_query(name: str, build: Callable[[onc.OncologyJob], DataFrame]) -> None:
@@ -103,7 +104,7 @@ from caresight.operators.windows import best_flags  # noqa: E402
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> AlertReport:
-    return AlertReport(Inputs(spark, sf_dir))
+    return AlertReport(Inputs(spark, sf_dir), "2023-12-31", "2024-01-31", ["Alice", "Bob"])
 
 
 def _alert_query(name: str, build: Callable[[AlertReport], DataFrame]) -> None:
@@ -224,7 +225,7 @@ _KEY = ["cur_clm_uniq_id", "clm_line_num"]
 
 @op("scan_sources")
 def _scan_sources(spark, sf_dir):
-    dfs = src.load(spark, sf_dir, ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"))
+    dfs = src.load(spark, sf_dir)
     parts = [df.select(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for n, df in dfs.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -305,18 +306,16 @@ def _filter_code_set(spark, sf_dir):
 
 @op("first_matching_diagnosis")
 def _first_matching(spark, sf_dir):
-    from caresight.sources.adapters import TEST_CANCER_CODES
-    b = _inp(spark, sf_dir)["part_b"]
-    return flt.first_matching(b, onc.PART_B_DX, list(TEST_CANCER_CODES), "clm_dgns_cd", "description").select(
-        *_KEY, "clm_dgns_cd", "description")
+    inp = _inp(spark, sf_dir)
+    found = flt.first_matching(inp["part_b"], onc.PART_B_DX, inp["icd_codes"], "clm_dgns_cd", "description", code_col="icd_code")
+    return found.select(*_KEY, "clm_dgns_cd", "description")
 
 
 @op("any_column_in_set")
 def _any_in_set(spark, sf_dir):
-    from caresight.sources.adapters import TEST_CANCER_CODES
-    b = _inp(spark, sf_dir)["part_b"]
-    hit = flt.any_in_set([c for c, _ in onc.PART_B_DX], list(TEST_CANCER_CODES))
-    return b.select(*_KEY, F.when(hit, 1).otherwise(0).alias("any_cancer"))
+    inp = _inp(spark, sf_dir)
+    found = flt.any_in_set(inp["part_b"], [c for c, _ in onc.PART_B_DX], inp["icd_codes"], "hit", "icd_code")
+    return found.select(*_KEY, F.col("hit").cast("int").alias("any_cancer"))
 
 
 @op("sentinel_fallback")
@@ -472,8 +471,8 @@ def _gb_dedupe(spark, sf_dir):
 
 @op("first_per_key")
 def _first_per_key(spark, sf_dir):
-    from caresight.sources.adapters import TEST_CANCER_CODES
-    c = _inp(spark, sf_dir)["cclf4"].where(F.col("clm_dgns_cd").isin(*TEST_CANCER_CODES))
+    inp = _inp(spark, sf_dir)
+    c = inp["cclf4"].join(inp["icd_codes"], F.col("clm_dgns_cd") == F.col("icd_code"), "left_semi")
     return win.first_per_key(c, ["cur_clm_uniq_id"], ["clm_val_sqnc_num", "clm_dgns_cd"])
 
 

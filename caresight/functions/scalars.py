@@ -88,8 +88,8 @@ def is_digits(s: ColumnOrName) -> Column:
 
 
 def valid_npi(s: ColumnOrName) -> Column:
-    """Provider number check: ten digits, not starting with 9."""
-    return F.coalesce(_c(s).rlike("^[0-8][0-9]{9}$"), F.lit(False))
+    """Provider number check: ten digits, not starting with 9; trailing blanks do not count."""
+    return F.coalesce(F.rtrim(_c(s)).rlike("^[0-8][0-9]{9}$"), F.lit(False))
 
 
 # --- NULL handling and flags ------------------------------------------------------------

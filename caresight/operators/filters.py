@@ -33,39 +33,56 @@ def classify(df: DataFrame, col: str, codes: Codes, out: str, default: str | Non
     return df.withColumn(out, expr.otherwise(F.lit(default)))
 
 
+def code_table(codes: DataFrame, code_col: str = "code") -> DataFrame:
+    """The different codes of a set kept as a table (column ``code``)."""
+    return codes.select(F.trim(code_col).alias("code")).where("code is not null").distinct()
+
+
 def filter_code_set(df: DataFrame, col: str, codes: Sequence[str] | DataFrame, trim: bool = True,
                     code_col: str = "code") -> DataFrame:
-    """Keep rows whose code is in the set (IN-list -> INSET pushed to the scan, or a
-    broadcast left-semi join for a set given as a table)."""
+    """Keep rows whose code is in the set: an IN-list, or a left-semi join for a set given as a
+    table (Spark broadcasts it when its measured size allows).
+
+    Trimmed codes cannot be compared in the scan; a condition on the stored spellings (the code
+    and the code with trailing blanks, as fixed-width sources have them) is added that can, and
+    that every match meets."""
     key = _key(col, trim)
     if isinstance(codes, DataFrame):
-        return df.join(F.broadcast(codes.select(F.col(code_col).alias("_code")).distinct()),
-                       key == F.col("_code"), "left_semi")
-    return df.where(key.isin(*codes))
+        return df.join(code_table(codes, code_col).withColumnRenamed("code", "_code"), key == F.col("_code"), "left_semi")
+    if not trim:
+        return df.where(F.col(col).isin(*codes))
+    # every spelling lies between the least and the greatest code, blanks included: a pushed range
+    low, high = min(codes), max(codes)
+    return df.where((F.col(col) <= high + "~") & ((F.col(col) >= low) | F.col(col).startswith(" "))).where(key.isin(*codes))
 
 
 def in_set(col: Column, codes: Sequence[str]) -> Column:
     return F.coalesce(col.isin(*codes), F.lit(False))
 
 
-def any_in_set(cols: Sequence[str], codes: Sequence[str]) -> Column:
-    """OR over several columns of ``col IN set``."""
-    cond = F.lit(False)
-    for c in cols:
-        cond = cond | in_set(F.col(c), codes)
-    return cond
-
-
-def first_matching(df: DataFrame, pairs: Sequence[tuple[str, str]], codes: Sequence[str],
-                   out_code: str, out_desc: str, keep_unmatched: bool = False) -> DataFrame:
-    """The first (code, description) column pair whose code is in ``codes``; rows where no
-    column matches are dropped unless ``keep_unmatched``."""
-    code_expr = desc_expr = None
-    for code_c, desc_c in pairs:
-        cond = in_set(F.col(code_c), codes)
-        code_expr = F.when(cond, F.col(code_c)) if code_expr is None else code_expr.when(cond, F.col(code_c))
-        desc_expr = F.when(cond, F.col(desc_c)) if desc_expr is None else desc_expr.when(cond, F.col(desc_c))
-    res = df.withColumn(out_code, code_expr).withColumn(out_desc, desc_expr)
+def _hits(df: DataFrame, cols: Sequence[str], codes: DataFrame, code_col: str) -> DataFrame:
+    """``df`` with ``_hit0``, ``_hit1``, ...: the column's code where the table has it. The table
+    has each code once, so no row is multiplied; joins are broadcast when it is small."""
+    table = code_table(codes, code_col)
+    for i, c in enumerate(cols):
+        df = df.join(table.withColumnRenamed("code", f"_hit{i}"), F.col(c) == F.col(f"_hit{i}"), "left")
+    return df
+
+
+def any_in_set(df: DataFrame, cols: Sequence[str], codes: DataFrame, out: str, code_col: str = "code") -> DataFrame:
+    """``df`` with ``out``: whether any of several columns holds a code of the table."""
+    hits = [f"_hit{i}" for i in range(len(cols))]
+    return _hits(df, cols, codes, code_col).withColumn(out, F.coalesce(*hits).isNotNull()).drop(*hits)
+
+
+def first_matching(df: DataFrame, pairs: Sequence[tuple[str, str]], codes: DataFrame,
+                   out_code: str, out_desc: str, keep_unmatched: bool = False, code_col: str = "code") -> DataFrame:
+    """The first (code, description) column pair whose code is in the table ``codes``; rows where
+    no column matches are dropped unless ``keep_unmatched``."""
+    hits = [f"_hit{i}" for i in range(len(pairs))]
+    found = _hits(df, [c for c, _ in pairs], codes, code_col)
+    desc = F.coalesce(*[F.when(F.col(h).isNotNull(), F.struct(F.col(d).alias("d"))) for h, (_, d) in zip(hits, pairs)])["d"]
+    res = found.withColumn(out_desc, desc).withColumn(out_code, F.coalesce(*hits)).drop(*hits)
     return res if keep_unmatched else res.where(F.col(out_code).isNotNull())
 
 
@@ -76,8 +93,7 @@ def optional_in(df: DataFrame, col: str | Column, values: Sequence | DataFrame |
     if values is None:
         return df
     if isinstance(values, DataFrame):
-        return df.join(F.broadcast(values.select(F.col(value_col).alias("_v")).distinct()),
-                       c == F.col("_v"), "left_semi")
+        return df.join(values.select(F.col(value_col).alias("_v")).distinct(), c == F.col("_v"), "left_semi")
     values = list(values)
     if not values:
         return df

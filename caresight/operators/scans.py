@@ -17,32 +17,27 @@ executors are re-run.
 """
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caresight.session import ensure_checkpoint_dir
+from caresight.sources.tables import scratch_folder
 
 _PID, _RID = "_scan_pid", "_scan_rid"
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _pinned_ranges(df: DataFrame, order: Sequence[Column], n: int | None,
                    range_on: Sequence[Column] | None = None) -> DataFrame:
     """Range-partition + sort on ``order``, record partition id and position as columns,
     and pin them by writing the result as a table in the shared checkpoint folder (one
-    job; later steps only read the recorded columns, never the physical layout)."""
+    job; later steps only read the recorded columns, never the physical layout). Without a
+    width ``n`` AQE sizes the ranges by bytes."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/scan-{uuid.uuid4().hex}"
-    (df.repartitionByRange(_num_partitions(df, n), *(range_on or order))
-       .sortWithinPartitions(*order)
+    path = scratch_folder(spark, "scan")
+    keys = range_on or order
+    ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
+    (ranged.sortWithinPartitions(*order)
        .withColumn(_PID, F.spark_partition_id())
        .withColumn(_RID, F.monotonically_increasing_id())
        .write.parquet(path))
@@ -81,12 +76,20 @@ def asof_join(left: DataFrame, anchors: DataFrame, by: Sequence[str], left_ts: s
     with the smallest ``tie_break`` values wins. Rows without an anchor keep NULLs.
 
     Output: all ``left`` columns plus ``prefix + c`` for ``anchor_ts`` and ``payload``.
-    One range shuffle over left+anchors, no pairs are ever formed.
+    One range shuffle over left+anchors, no pairs are ever formed. As with a join on equality
+    and a date difference, NULL keys and dates match nothing; such rows skip the shuffle.
     """
     if direction not in ("backward", "forward"):
         raise ValueError("direction must be 'backward' or 'forward'")
     fwd = direction == "forward"
     lcols = left.columns
+    known = F.lit(True)
+    for c in (*by, left_ts):
+        known = known & F.col(c).isNotNull()
+    unmatched = left.where(~known)
+    left = left.where(known)
+    for c in (*by, anchor_ts):
+        anchors = anchors.where(F.col(c).isNotNull())
     # Anchor ranking key: the best anchor is the max of (ts, -tie...) going backward and
     # the min of (ts, tie...) going forward; negating numeric tie-breaks keeps one rule.
     sign = 1 if fwd else -1
@@ -128,7 +131,9 @@ def asof_join(left: DataFrame, anchors: DataFrame, by: Sequence[str], left_ts: s
     out = [F.col(f"_row.{c}").alias(c) for c in lcols]
     out += [F.col("_hit.ts").alias(prefix + anchor_ts)]
     out += [F.col(f"_hit.p_{p}").alias(prefix + p) for p in payload]
-    return joined.select(*out)
+    kinds = {c: anchors.schema[c].dataType for c in (anchor_ts, *payload)}
+    return joined.select(*out).unionByName(
+        unmatched.select(*[F.col(c) for c in lcols], *[F.lit(None).cast(t).alias(prefix + c) for c, t in kinds.items()]))
 
 
 def anchor_groups(df: DataFrame, by: Sequence[str], ts: str, tie: Sequence[str], is_anchor: Column,
@@ -139,7 +144,8 @@ def anchor_groups(df: DataFrame, by: Sequence[str], ts: str, tie: Sequence[str],
     ``look`` per row: ``'forward'`` takes the earliest anchor with ts >= own ts,
     ``'backward'`` the latest anchor with ts <= own ts (equal ts qualify; among anchors
     with the same ts the lowest number wins); NULL gives NULL. Anchors get their own
-    number. Rows are range-partitioned on (by, ts), so rows sharing a key and ts stay in
+    number. A NULL key or ts matches nothing: such an anchor is numbered but never found, such a
+    row gets NULL. Rows are range-partitioned on (by, ts), so rows sharing a key and ts stay in
     one partition and RANGE frames see all same-ts peers; a hot key spans many partitions
     and is carried across them through one summary row per (partition, key).
     """
@@ -159,8 +165,11 @@ def anchor_groups(df: DataFrame, by: Sequence[str], ts: str, tie: Sequence[str],
     # 2. nearest anchors inside the partition. RANGE frames include same-ts peers; both
     #    directions use running frames (unbounded preceding .. current row), which Spark
     #    evaluates incrementally -- the forward look-up simply runs in descending ts order.
-    back = F.when(F.col("_anchor"), F.struct(F.col(ts).alias("t"), (-F.col("_grp")).alias("g")))
-    fwd = F.when(F.col("_anchor"), F.struct(F.col(ts).alias("t"), F.col("_grp").alias("g")))
+    known = F.col(ts).isNotNull()
+    for b in by:
+        known = known & F.col(b).isNotNull()
+    back = F.when(F.col("_anchor") & known, F.struct(F.col(ts).alias("t"), (-F.col("_grp")).alias("g")))
+    fwd = F.when(F.col("_anchor") & known, F.struct(F.col(ts).alias("t"), F.col("_grp").alias("g")))
     part = Window.partitionBy(_PID, *by)
     upto = (Window.unboundedPreceding, Window.currentRow)
     local = (numbered.withColumn("_lb", F.max(back).over(part.orderBy(F.col(ts).asc()).rangeBetween(*upto)))
@@ -174,8 +183,8 @@ def anchor_groups(df: DataFrame, by: Sequence[str], ts: str, tie: Sequence[str],
                        F.min("_pf").over(Window.partitionBy(*by).orderBy(F.col(_PID).desc()).rowsBetween(*before)).alias("_cf"))
     j = local.join(carry, [_PID, *by], "left")
     grp = (F.when(F.col("_anchor"), F.col("_grp"))
-           .when(F.col("_look") == "backward", -F.greatest("_lb", "_cb")["g"])
-           .when(F.col("_look") == "forward", F.least("_lf", "_cf")["g"]))
+           .when(known & (F.col("_look") == "backward"), -F.greatest("_lb", "_cb")["g"])
+           .when(known & (F.col("_look") == "forward"), F.least("_lf", "_cf")["g"]))
     return j.select(*[F.col(c) for c in df.columns], grp.cast("long").alias(out))
 
 
@@ -184,28 +193,29 @@ def _day_number(c: str) -> Column:
 
 
 def nearest_within(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str,
-                   right_ts: str, lo_days: int, hi_days: int) -> DataFrame:
+                   right_ts: str, lo_days: int, hi_days: int, out: str | None = None) -> DataFrame:
     """``left`` rows having a ``right`` row of the same key with
-    ``lo_days <= days(right_ts) - days(left_ts) <= hi_days`` (a left-semi join).
-
-    The right side is reduced to (min, max) day per key and day bucket of width
-    ``hi - lo + 1``; a window [d+lo, d+hi] touches at most two buckets, so each left row
-    probes two pre-aggregated rows by equality. A hot key is spread over its buckets, the
-    aggregation is combined map-side, and no (left, right) pairs are formed.
+    ``lo_days <= days(right_ts) - days(left_ts) <= hi_days`` (a left-semi join); ``out`` names a
+    column for the smallest such difference.
+
+    The right side is reduced to the set of days per key and day bucket of width
+    ``hi - lo + 1``, at most that many; a window [d+lo, d+hi] touches two neighbouring buckets, so
+    each bucket also takes its successor's days and a left row probes one aggregated row by
+    equality. A hot key is spread over its buckets, the aggregation is combined map-side, and no
+    (left, right) pairs are formed. NULL keys and dates match nothing.
     """
     width = hi_days - lo_days + 1
     if width <= 0:
         raise ValueError("empty window")
-    summary = (right.select(*by, _day_number(right_ts).alias("_d"))
-                    .groupBy(*by, F.floor(F.col("_d") / width).alias("_b"))
-                    .agg(F.min("_d").alias("_dmin"), F.max("_d").alias("_dmax")))
+    bucket = F.floor(F.col("_d") / width)
+    days = (right.select(*by, _day_number(right_ts).alias("_d")).where(F.col("_d").isNotNull()).distinct()
+                 .select(*by, "_d", F.explode(F.array(bucket, bucket - 1)).alias("_b"))
+                 .groupBy(*by, "_b").agg(F.collect_set("_d").alias("_near")))
     lo = _day_number(left_ts) + lo_days
-    probe = left.withColumn("_lo", lo).withColumn("_b0", F.floor(F.col("_lo") / width))
-    first = summary.select(*by, F.col("_b").alias("_b0"), F.col("_dmax").alias("_max0"))
-    second = summary.select(*by, (F.col("_b") - 1).alias("_b0"), F.col("_dmin").alias("_min1"))
-    hit = (F.coalesce(F.col("_max0") >= F.col("_lo"), F.lit(False))
-           | F.coalesce(F.col("_min1") <= F.col("_lo") + (width - 1), F.lit(False)))
-    return (probe.join(first, [*by, "_b0"], "left")
-                 .join(second, [*by, "_b0"], "left")
-                 .where(hit)
-                 .drop("_lo", "_b0", "_max0", "_min1"))
+    probe = left.withColumn("_lo", lo).withColumn("_b", F.floor(F.col("_lo") / width)).where(F.col("_lo").isNotNull())
+    first = F.array_min(F.filter("_near", lambda d: d >= F.col("_lo")))
+    hit = (probe.join(days, [*by, "_b"]).withColumn("_first", first)
+                .where(F.col("_first") <= F.col("_lo") + (width - 1)))
+    if out:
+        hit = hit.withColumn(out, F.col("_first") - F.col("_lo") + lo_days)
+    return hit.drop("_lo", "_b", "_near", "_first")

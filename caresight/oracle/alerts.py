@@ -6,224 +6,125 @@ from caresight.sources.adapters import with_clause
 LOWER, UPPER = "2023-12-31", "2024-01-31"
 CONSULTANTS = "('Alice', 'Bob')"
 
-# Weekday pairs (received, responded) inside the three-business-day window, one row each.
-_PAIRS = {
-    "Monday": ("Tuesday", "Wednesday", "Thursday"),
-    "Tuesday": ("Wednesday", "Thursday", "Friday"),
-    "Wednesday": ("Thursday", "Friday", "Saturday", "Sunday", "Monday"),
-    "Thursday": ("Friday", "Saturday", "Sunday", "Monday", "Tuesday"),
-    "Friday": ("Saturday", "Sunday", "Monday", "Tuesday", "Wednesday"),
-    "Saturday": ("Sunday", "Monday", "Tuesday", "Wednesday"),
-    "Sunday": ("Monday", "Tuesday", "Wednesday"),
-}
-BD_PAIRS = "(values " + ", ".join(f"('{a}', '{b}')" for a, bs in _PAIRS.items() for b in bs) + ") as bd(d_recv, d_resp)"
+# FIXED VALUES: days after the received weekday (Monday first) that still count as three business days.
+REACH = [3, 3, 5, 5, 5, 4, 3]
+
+
+def _minutes(a: str, b: str) -> str:
+    return f"datediff('minute', {a}, {b})"
+
+
+def _reached(a: str, b: str) -> str:
+    """Answered within five days, on a weekday that the received weekday reaches."""
+    days = f"(isodow({b}) - isodow({a}) + 7) % 7"
+    return f"({_minutes(a, b)} <= 7200 and {days} between 1 and {REACH}[isodow({a})])"
 
 
-def _bd(a: str, b: str) -> str:
-    return f"exists (select 1 from {BD_PAIRS} where bd.d_recv = dayname({a}) and bd.d_resp = dayname({b}))"
+def _bucket(a: str, b: str) -> str:
+    """0: within a day (over the weekend: three), 1: within three business days, 2: later."""
+    quick = (f"(case when isodow({a}) <= 4 then {_minutes(a, b)} <= 1440 "
+             f"else {_minutes(a, b)} <= 4320 and isodow({b}) in (5, 6, 7, 1) end)")
+    return f"case when {quick} then 0 when {_reached(a, b)} then 1 else 2 end"
 
 
-def _timing(first: str, done: str) -> str:
-    return f"""
-  select *, case when less24 = 0 and one_three = 0 then 1 else 0 end as more_three from (
-    select *, case when less24 = 1 then 0
-                   when datediff('minute', date_received, {done}) <= 7200 and {_bd('date_received', done)} then 1
-                   else 0 end as one_three
-    from (
-      select b.alert_id, b.npi_id, b.ben_id, a.user_id, a.is_doctor, b.date_received, b.{done},
-             datediff('hour', b.date_received, b.{done}) as hours_lapsed,
-             case when dayname(b.date_received) in ('Monday', 'Tuesday', 'Wednesday', 'Thursday') then
-                    case when datediff('minute', b.date_received, b.{done}) <= 1440 then 1 else 0 end
-                  else case when dayname(b.{done}) in ('Friday', 'Saturday', 'Sunday', 'Monday')
-                                 and datediff('minute', b.date_received, b.{done}) <= 4320 then 1 else 0 end
-             end as less24
-      from doc_sub_info a join (select * from {first} where rn = 1) b
-        on a.user_id = b.user_id and a.npi_id = b.npi_id) x) y"""
+def _eastern(ts: str) -> str:
+    return f"timezone('America/New_York', timezone('UTC', {ts}))"
 
 
-def _cat(timing: str, key: str) -> str:
-    return f"""
-  select * from (
-    select *, row_number() over (partition by {key} order by less24 desc, one_three desc, more_three desc) as rn2
-    from {timing}) z where rn2 = 1"""
+def _per(what: str, kind: str) -> str:
+    """Counts by best bucket: what was done (read, action), for alerts or patients."""
+    title = {"alert": "Alerts", "patient": "Patients"}[kind] + {"read": "Read", "action": "Actions"}[what]
+    return ", ".join(f"count(*) filter (kind = '{kind}' and what = '{what}' and bucket = {i}) as {title}{name}"
+                     for i, name in enumerate(("Less24", "OneToThreeBD", "MoreThreeBD")))
+
+
+FLAGS = "cast(bucket = 0 as int) as Less24, cast(bucket = 1 as int) as OneToThreeBD, cast(bucket = 2 as int) as MoreThreeBD"
+SPEED = ", ".join(_per(w, k) for w in ("read", "action") for k in ("alert", "patient"))
+_TITLES = [f"{k}{w}{n}" for k in ("Alerts", "Patients") for w in ("Read", "Actions") for n in ("Less24", "OneToThreeBD", "MoreThreeBD")]
+_COUNTS = ["AlertsReceived", "PatientsReceived", "AlertsRead", "PatientsRead", "AlertsNotRead", "PatientsNotRead",
+           "AlertsWActions", "PatientsWActions", "AlertsWNoActions", "PatientsWNoActions"]
+
+
+def _both(condition: str, alerts: str, patients: str) -> str:
+    return (f"count(distinct alert_id) filter ({condition}) as {alerts}, "
+            f"count(distinct ben_id) filter ({condition}) as {patients}")
 
 
 BODY = f"""
-tin_map as (
-  select distinct TIN, Provider_Consultant as Consultant, Company, NPI from tin_consultant
-  where Provider_Consultant in {CONSULTANTS} and multi_consultant_tin = 0
-    and dataset = (select dataset from tin_consultant order by dataset desc limit 1)),
-npi_map as (
-  select distinct TIN, Provider_Consultant as Consultant, Company, NPI from tin_consultant
-  where Provider_Consultant in {CONSULTANTS} and multi_consultant_tin = 1
-    and dataset = (select dataset from tin_consultant order by dataset desc limit 1)),
-ds as (select dataset from (select distinct concat(Year, Period) as dataset from assignment) d
-       order by dataset desc limit 2),
-straddle as (
-  select distinct Beneficiary_ID, TIN, Npi, Year, Period from assignment
-  where case when right((select max(dataset) from ds), 2) = '00'
-             then concat(Year, Period) in (select dataset from ds)
-             else concat(Year, Period) = (select max(dataset) from ds) end),
-staff_list as (select distinct userId from staff),
-t_users as (
-  select u.UserId as user_id, u.FirstName as fn, u.LastName as ln, u.UserName as user_name
-  from users u left join staff_list s on u.UserId = s.userId where s.userId is null),
-t_npis as (
-  select n.NpiId as npi_id, n.PhysicianUserId as user_id, n.NpiNum as npi_num
-  from npis n left join staff_list s on n.PhysicianUserId = s.userId
-  where s.userId is null and (n.Active = 1 or n.isMAProvider = 1)
-    and n.PhysicianUserId in (select UserId from users where Active = 1)
-    and length(rtrim(n.NpiNum)) = 10 and regexp_matches(n.NpiNum, '^[0-9]+$') and n.NpiNum not like '9%'),
-t_subs as (
-  select distinct ns.NpiId as npi_id, ns.UserId as user_id
-  from subs ns left join staff_list s on ns.UserId = s.userId where s.userId is null),
-doc_sub_info as (
-  select n.npi_id, s.user_id, case when n.user_id = s.user_id then 1 else 0 end as is_doctor,
-         u.fn, u.ln, u.user_name
-  from t_npis n left join t_subs s on n.npi_id = s.npi_id
-  join t_users u on s.user_id = u.user_id),
-t_alerts as (
-  select AlertId as alert_id, NpiId as npi_id, BenId as ben_id,
-         (CreatedDate at time zone 'UTC') at time zone 'America/New_York' as date_received
-  from alerts
-  where Active = 1
-    and (CreatedDate at time zone 'UTC') at time zone 'America/New_York'
-        between cast('{LOWER}' as timestamp) and cast('{UPPER}' as date) + interval 1 day
-    and BenId not in (select BenId from exclusions where BenId is not null)),
-all_actions as (
-  select l.AlertActionLogId as alert_action_log_id, l.AlertActionId as aa_id, l.AlertId as alert_id,
-         l.UserId as user_id, (l.CreatedDate at time zone 'UTC') at time zone 'America/New_York' as created
-  from action_logs l join t_alerts a on l.AlertId = a.alert_id
-  left join staff_list s on l.UserId = s.userId
-  join t_users u on u.user_id = l.UserId
-  where s.userId is null and l.Active = 1),
-t_actions as (
-  select * from all_actions
-  where aa_id not in (select AlertActionId from alert_actions where Text like 'No Action Taken')),
-totals as (
-  select count(*) as total_actions, ben_id, npi_id
-  from t_alerts a left join all_actions b on a.alert_id = b.alert_id group by ben_id, npi_id),
-no_action as (
-  select count(*) as no_actions, ben_id, npi_id
-  from t_alerts a
-  join (select * from all_actions where aa_id in (select AlertActionId from alert_actions where Text like 'No Action Taken')) b
-    on a.alert_id = b.alert_id
-  where datediff('minute', a.date_received, b.created) <= 1440
-     or (datediff('minute', a.date_received, b.created) <= 7200 and {_bd('a.date_received', 'b.created')})
-  group by ben_id, npi_id),
-excl_pairs as (
-  select a.npi_id, a.ben_id from totals a left join no_action b on a.ben_id = b.ben_id and a.npi_id = b.npi_id
-  where a.total_actions = coalesce(b.no_actions, 0)),
-kept as (
-  select a.* from t_alerts a left join excl_pairs b on a.ben_id = b.ben_id and a.npi_id = b.npi_id
-  where b.npi_id is null),
-reads as (
-  select ua.AlertId as alert_id, ua.UserId as user_id, ua.ViewedDate as viewed
-  from user_alerts ua join kept k on ua.AlertId = k.alert_id
-  left join staff_list s on ua.UserId = s.userId
-  where s.userId is null and ua.ViewedDate is not null),
-reads_by_user as (
-  select row_number() over (partition by a.alert_id, r.user_id order by r.viewed) as rn,
-         a.alert_id, a.npi_id, a.ben_id, r.user_id, a.date_received, r.viewed as date_read
-  from kept a join reads r on a.alert_id = r.alert_id),
-actions_by_user as (
-  select row_number() over (partition by a.alert_id, t.user_id order by t.created) as rn,
-         a.alert_id, a.npi_id, a.ben_id, t.user_id, a.date_received, t.created as date_action
-  from kept a join t_actions t on a.alert_id = t.alert_id),
-received as (select npi_id, count(distinct alert_id) as alerts_received, count(distinct ben_id) as patients_received
-             from kept group by npi_id),
-readed as (select a.npi_id, count(distinct a.alert_id) as alerts_read, count(distinct a.ben_id) as patients_read
-           from kept a join reads b on a.alert_id = b.alert_id group by a.npi_id),
-unread as (select a.npi_id, count(distinct a.alert_id) as alerts_not_read, count(distinct a.ben_id) as patients_not_read
-           from kept a left join kept r on a.alert_id = r.alert_id where r.ben_id is null group by a.npi_id),
-w_actions as (select a.npi_id, count(distinct a.alert_id) as alerts_w_actions
-              from kept a join t_actions b on a.alert_id = b.alert_id group by a.npi_id),
-unacted as (select a.npi_id, count(distinct a.alert_id) as alerts_w_no_actions, count(distinct a.ben_id) as patients_w_no_actions
-            from kept a left join t_actions b on a.alert_id = b.alert_id where b.alert_id is null group by a.npi_id),
-p_actions as (select a.npi_id, count(distinct a.ben_id) as patients_w_actions
-              from kept a left join t_actions b on a.alert_id = b.alert_id where b.alert_id is not null group by a.npi_id),
-read_timings as ({_timing('reads_by_user', 'date_read')}),
-action_timings as ({_timing('actions_by_user', 'date_action')}),
-alert_reads_cat as ({_cat('read_timings', 'alert_id')}),
-patient_reads_cat as ({_cat('read_timings', 'ben_id, npi_id')}),
-alert_actions_cat as ({_cat('action_timings', 'alert_id')}),
-patient_actions_cat as ({_cat('action_timings', 'ben_id, npi_id')}),
-alert_read_days as (
-  select npi_id, sum(case when less24 = 1 then 1 else 0 end) as r_l, sum(case when one_three = 1 then 1 else 0 end) as r_o,
-         sum(case when more_three = 1 then 1 else 0 end) as r_m from alert_reads_cat group by npi_id),
-patient_read_days as (
-  select npi_id, sum(case when less24 = 1 then 1 else 0 end) as r_l, sum(case when one_three = 1 then 1 else 0 end) as r_o,
-         sum(case when more_three = 1 then 1 else 0 end) as r_m from patient_reads_cat group by npi_id),
-alert_action_days as (
-  select npi_id, sum(case when less24 = 1 then 1 else 0 end) as r_l, sum(case when one_three = 1 then 1 else 0 end) as r_o,
-         sum(case when more_three = 1 then 1 else 0 end) as r_m from alert_actions_cat where alert_id is not null group by npi_id),
-patient_action_days as (
-  select npi_id, sum(case when less24 = 1 then 1 else 0 end) as r_l, sum(case when one_three = 1 then 1 else 0 end) as r_o,
-         sum(case when more_three = 1 then 1 else 0 end) as r_m from patient_actions_cat group by npi_id),
-stats as (
-  select distinct zz.user_id as UserId, a.npi_id as NpiId, a.npi_num as NpiNum, zz.user_name as UserName,
-         zz.ln || ', ' || zz.fn as Provider,
-         cast(coalesce(aad.r_l, 0) as bigint) as AlertsActionsLess24,
-         cast(coalesce(aad.r_o, 0) as bigint) as AlertsActionsOneToThreeBD,
-         cast(coalesce(aad.r_m, 0) as bigint) as AlertsActionsMoreThreeBD,
-         cast(coalesce(rc.patients_received, 0) as bigint) as PatientsReceived,
-         cast(coalesce(pad.r_l, 0) as bigint) as PatientsActionsLess24,
-         cast(coalesce(prd.r_l, 0) as bigint) as PatientsReadLess24,
-         cast(coalesce(prd.r_o, 0) as bigint) as PatientsReadOneToThreeBD,
-         cast(coalesce(prd.r_m, 0) as bigint) as PatientsReadMoreThreeBD,
-         cast(coalesce(rd.patients_read, 0) as bigint) as PatientsRead,
-         cast(coalesce(ur.patients_not_read, 0) as bigint) as PatientsNotRead,
-         cast(coalesce(rc.alerts_received, 0) as bigint) as AlertsReceived,
-         cast(coalesce(rd.alerts_read, 0) as bigint) as AlertsRead,
-         cast(coalesce(ur.alerts_not_read, 0) as bigint) as AlertsNotRead,
-         cast(coalesce(wa.alerts_w_actions, 0) as bigint) as AlertsWActions,
-         cast(coalesce(ua.alerts_w_no_actions, 0) as bigint) as AlertsWNoActions,
-         cast(coalesce(ard.r_l, 0) as bigint) as AlertsReadLess24,
-         cast(coalesce(ard.r_o, 0) as bigint) as AlertsReadOneToThreeBD,
-         cast(coalesce(ard.r_m, 0) as bigint) as AlertsReadMoreThreeBD,
-         cast(coalesce(pa.patients_w_actions, 0) as bigint) as PatientsWActions,
-         cast(coalesce(ua.patients_w_no_actions, 0) as bigint) as PatientsWNoActions,
-         cast(coalesce(pad.r_o, 0) as bigint) as PatientsActionsOneToThreeBD,
-         cast(coalesce(pad.r_m, 0) as bigint) as PatientsActionsMoreThreeBD
-  from t_users zz join t_npis a on zz.user_id = a.user_id
-  left join received rc on rc.npi_id = a.npi_id
-  left join readed rd on rd.npi_id = a.npi_id
-  left join unread ur on ur.npi_id = a.npi_id
-  left join unacted ua on ua.npi_id = a.npi_id
-  left join alert_read_days ard on ard.npi_id = a.npi_id
-  left join patient_read_days prd on prd.npi_id = a.npi_id
-  left join alert_action_days aad on aad.npi_id = a.npi_id
-  left join patient_action_days pad on pad.npi_id = a.npi_id
-  left join w_actions wa on wa.npi_id = a.npi_id
-  left join p_actions pa on pa.npi_id = a.npi_id),
-tin_mapping as (
-  select npis.npi_id as NpiId, mview.TIN, mview.Entity as EntityName
-  from (select npi_id, npi_num from t_npis) npis
-  left join (select distinct NPI, TIN, Entity from master_view
-             where ACOR in (select ACOR from master_view order by ACOR desc limit 1)
-               and NPI_Approval = 1 and TIN_Approval = 1) mview on npis.npi_num = mview.NPI),
-quality_metrics as (
-  select *, row_number() over (partition by TIN, NPI order by Metric desc, Eligibility, DATASET) as Rn
-  from (
-    select distinct a.TIN, a.NPI, a.Metric, cast(QTR1 as double) as Q1Ptg, cast(QTR2 as double) as Q2Ptg,
-           cast(QTR3 as double) as Q3Ptg, cast(QTR4 as double) as Q4Ptg, DATASET, Eligibility
-    from (select distinct a.* from practice_mapping a
-          left join (select distinct NPI from npi_map) nc on nc.NPI = a.NPI
-          left join (select distinct TIN from tin_map) tc on tc.TIN = a.TIN
-          where nc.NPI is not null or tc.TIN is not null) a
-    join (select distinct Npi, TIN, Period from straddle) b on a.TIN = b.TIN and a.NPI = b.Npi
-    where DATASET = (select DATASET from practice_mapping order by DATASET desc limit 1)
-      and a.year = (select max(Year) from straddle)
-      and ((Eligibility = 'Formulated' and b.Period = '00') or (Eligibility = 'CMS' and b.Period <> '00'))
-      and MemberSource = 'All' and regexp_matches(a.NPI, '^[0-9]+$')
-      and Metric in ('30-Day Readmission Rate', '% PDV')) k),
-quality_table as (
-  select TIN, NPI,
-         avg(case when Rn = 1 then Q1Ptg end) as Q1ReadmPtg, avg(case when Rn = 2 then Q1Ptg end) as Q1PDVPtg,
-         avg(case when Rn = 1 then Q2Ptg end) as Q2ReadmPtg, avg(case when Rn = 2 then Q2Ptg end) as Q2PDVPtg,
-         avg(case when Rn = 1 then Q3Ptg end) as Q3ReadmPtg, avg(case when Rn = 2 then Q3Ptg end) as Q3PDVPtg,
-         avg(case when Rn = 1 then Q4Ptg end) as Q4ReadmPtg, avg(case when Rn = 2 then Q4Ptg end) as Q4PDVPtg
-  from quality_metrics group by TIN, NPI)
+person as materialized (
+  select UserId as user_id, FirstName as fn, LastName as ln, UserName as user_name, Active = 1 as active
+  from users anti join staff on staff.userId = users.UserId),
+provider as materialized (
+  select NpiId as npi_id, PhysicianUserId as user_id, NpiNum as npi_num from npis
+  where 1 in (Active, isMAProvider) and regexp_full_match(rtrim(NpiNum), '[0-8][0-9]{{9}}')
+    and exists (select 1 from users u where u.UserId = PhysicianUserId and u.Active = 1)
+    and not exists (select 1 from staff st where st.userId = PhysicianUserId)),
+roster as materialized (
+  select distinct pr.npi_id, pe.user_id, cast(pr.user_id = pe.user_id as int) as is_doctor, pe.fn, pe.ln, pe.user_name
+  from provider pr join subs on subs.NpiId = pr.npi_id join person pe on pe.user_id = subs.UserId),
+incoming as materialized (
+  select AlertId as alert_id, NpiId as npi_id, BenId as ben_id, {_eastern('CreatedDate')} as recv
+  from alerts where Active = 1 and BenId not in (select BenId from exclusions where BenId is not null)
+    and {_eastern('CreatedDate')} between timestamp '{LOWER}' and date '{UPPER}' + interval 1 day),
+deed as materialized (
+  select AlertActionLogId as log_id, g.AlertActionId as kind_id, AlertId as alert_id, g.UserId as user_id, {_eastern('CreatedDate')} as done_at,
+    g.AlertActionId in (select AlertActionId from alert_actions where Text like 'No Action Taken') as idle
+  from action_logs g semi join person on person.user_id = g.UserId
+  where Active = 1 and AlertId in (select alert_id from incoming)),
+dismissed as materialized (  -- every row of the pair's alerts is a timely "no action"
+  select npi_id, ben_id from incoming left join deed using (alert_id) where ben_id is not null group by all
+  having bool_and(coalesce(idle and ({_minutes('recv', 'done_at')} <= 1440 or {_reached('recv', 'done_at')}), false))),
+open_alert as materialized (select * from incoming anti join dismissed using (npi_id, ben_id)),
+view_of as materialized (
+  select AlertId as alert_id, UserId as user_id, ViewedDate as done_at from user_alerts
+  where ViewedDate is not null and UserId not in (select userId from staff where userId is not null)),
+first_event as materialized (
+  select 'read' as what, * from open_alert join (select alert_id, user_id, min(done_at) as done_at from view_of group by all) using (alert_id)
+  union all by name
+  select 'action' as what, * from open_alert join (select alert_id, user_id, min(done_at) as done_at from deed where not idle group by all) using (alert_id)),
+timed as materialized (
+  select e.*, r.is_doctor, datediff('hour', recv, done_at) as hours, {_bucket('recv', 'done_at')} as bucket
+  from first_event e join roster r using (npi_id, user_id)),
+best as materialized (
+  select 'alert' as kind, what, npi_id, alert_id, cast(null as bigint) as ben_id, min(bucket) as bucket from timed group by all
+  union all by name
+  select 'patient' as kind, what, npi_id, ben_id, min(bucket) as bucket from timed group by all),
+speed as (select npi_id, {SPEED} from best group by npi_id),
+engaged as (
+  select npi_id, {_both('true', 'AlertsReceived', 'PatientsReceived')}, {_both('viewed', 'AlertsRead', 'PatientsRead')},
+    {_both('ben_id is null', 'AlertsNotRead', 'PatientsNotRead')}, {_both('acted', 'AlertsWActions', 'PatientsWActions')},
+    {_both('not acted', 'AlertsWNoActions', 'PatientsWNoActions')}
+  from (select *, alert_id in (select alert_id from view_of) as viewed, alert_id in (select alert_id from deed where not idle) as acted
+        from open_alert) group by npi_id),
+stats as materialized (
+  select distinct user_id as UserId, npi_id as NpiId, npi_num as NpiNum, user_name as UserName, concat(ln, ', ', fn) as Provider,
+    {', '.join(f'coalesce({c}, 0) as {c}' for c in [*_COUNTS, *_TITLES])}
+  from provider join person using (user_id) left join engaged using (npi_id) left join speed using (npi_id)),
+consultant as materialized (
+  select distinct TIN, Provider_Consultant as Consultant, Company, NPI, multi_consultant_tin as several from tin_consultant
+  where Provider_Consultant in {CONSULTANTS} and dataset = (select max(dataset) from tin_consultant)),
+by_tin as (select TIN, Consultant, Company, NPI from consultant where several = 0),
+by_npi as (select TIN, Consultant, Company, NPI from consultant where several = 1),
+straddle as materialized (
+  select distinct Beneficiary_ID, TIN, Npi, Year, Period
+  from (select *, dense_rank() over (order by concat(Year, Period) desc) as age, max(concat(Year, Period)) over () as newest from assignment)
+  where age = 1 or (age = 2 and newest like '%00')),
+entity_of as materialized (
+  select npi_id as NpiId, TIN, Entity as EntityName from provider left join (
+    select distinct NPI, TIN, Entity from master_view
+    where NPI_Approval = 1 and TIN_Approval = 1 and ACOR = (select max(ACOR) from master_view)) on NPI = npi_num),
+measure as materialized (
+  select *, row_number() over (partition by TIN, NPI order by Metric desc, Eligibility, DATASET) as Rn from (
+    select distinct TIN, NPI, Metric, {', '.join(f'cast(QTR{i} as double) as Q{i}Ptg' for i in range(1, 5))}, DATASET, Eligibility
+    from practice_mapping m
+    where MemberSource = 'All' and Metric in ('30-Day Readmission Rate', '% PDV') and regexp_full_match(NPI, '[0-9]+')
+      and DATASET = (select max(DATASET) from practice_mapping) and year = (select max(Year) from straddle)
+      and (NPI in (select NPI from by_npi) or TIN in (select TIN from by_tin))
+      and exists (select 1 from straddle st where st.TIN = m.TIN and st.Npi = m.NPI
+                  and case Eligibility when 'Formulated' then Period = '00' when 'CMS' then Period <> '00' end))),
+quality as (
+  select TIN, NPI, {', '.join(f"avg(Q{q}Ptg) filter (Rn = {n}) as Q{q}{name}Ptg" for q in range(1, 5) for n, name in ((1, 'Readm'), (2, 'PDV')))}
+  from measure group by all)
 """
 
 
@@ -232,30 +133,21 @@ def _label(x: str) -> str:
 
 
 REPORT = f"""
-select * from (
-  select a.UserId, a.NpiId, a.NpiNum, a.UserName as Username, a.Provider, b.TIN, b.EntityName as TINName,
-         coalesce(case when b.TIN in (select distinct TIN from npi_map) then npic.Consultant
-                       else tinc.Consultant end, 'no consultant') as ProviderConsultant,
-         AlertsReceived, AlertsWActions, AlertsWNoActions,
-         AlertsActionsLess24 + AlertsActionsOneToThreeBD as AlertsWActionsUnder3BD,
-         AlertsActionsLess24, AlertsActionsOneToThreeBD, AlertsActionsMoreThreeBD,
-         AlertsRead, AlertsNotRead, AlertsReadLess24 + AlertsReadOneToThreeBD as AlertsReadUnder3BD,
-         AlertsReadLess24, AlertsReadOneToThreeBD, AlertsReadMoreThreeBD,
-         PatientsReceived, PatientsWActions, PatientsWNoActions,
-         PatientsActionsLess24 + PatientsActionsOneToThreeBD as PatientsWActionsUnder3BD,
-         PatientsActionsLess24, PatientsActionsOneToThreeBD, PatientsActionsMoreThreeBD,
-         PatientsRead, PatientsNotRead, PatientsReadLess24 + PatientsReadOneToThreeBD as PatientsReadUnder3BD,
-         PatientsReadLess24, PatientsReadOneToThreeBD, PatientsReadMoreThreeBD,
-         {_label('e.Q1ReadmPtg')} as Q1ReadmPtg, {_label('e.Q1PDVPtg')} as Q1PDVPtg,
-         {_label('e.Q2ReadmPtg')} as Q2ReadmPtg, {_label('e.Q2PDVPtg')} as Q2PDVPtg,
-         {_label('e.Q3ReadmPtg')} as Q3ReadmPtg, {_label('e.Q3PDVPtg')} as Q3PDVPtg,
-         {_label('e.Q4ReadmPtg')} as Q4ReadmPtg, {_label('e.Q4PDVPtg')} as Q4PDVPtg
-  from stats a
-  left join tin_mapping b on a.NpiId = b.NpiId
-  left join tin_map tinc on b.TIN = tinc.TIN
-  left join npi_map npic on a.NpiNum = npic.NPI
-  left join quality_table e on a.NpiNum = e.NPI and b.TIN = e.TIN) z
-where ProviderConsultant in {CONSULTANTS}
+select UserId, NpiId, s.NpiNum, UserName as Username, Provider, o.TIN, EntityName as TINName, c.name as ProviderConsultant,
+  AlertsReceived, AlertsWActions, AlertsWNoActions, AlertsActionsLess24 + AlertsActionsOneToThreeBD as AlertsWActionsUnder3BD,
+  AlertsActionsLess24, AlertsActionsOneToThreeBD, AlertsActionsMoreThreeBD,
+  AlertsRead, AlertsNotRead, AlertsReadLess24 + AlertsReadOneToThreeBD as AlertsReadUnder3BD,
+  AlertsReadLess24, AlertsReadOneToThreeBD, AlertsReadMoreThreeBD,
+  PatientsReceived, PatientsWActions, PatientsWNoActions, PatientsActionsLess24 + PatientsActionsOneToThreeBD as PatientsWActionsUnder3BD,
+  PatientsActionsLess24, PatientsActionsOneToThreeBD, PatientsActionsMoreThreeBD,
+  PatientsRead, PatientsNotRead, PatientsReadLess24 + PatientsReadOneToThreeBD as PatientsReadUnder3BD,
+  PatientsReadLess24, PatientsReadOneToThreeBD, PatientsReadMoreThreeBD,
+  {', '.join(f"{_label(f'q.Q{i}{n}Ptg')} as Q{i}{n}Ptg" for i in range(1, 5) for n in ('Readm', 'PDV'))}
+from stats s join entity_of o using (NpiId) left join quality q on q.NPI = s.NpiNum and q.TIN = o.TIN
+  join lateral (  -- a TIN that several consultants share is looked up by provider; one row per entry
+    select Consultant as name from by_npi where by_npi.NPI = s.NpiNum and o.TIN in (select TIN from by_npi)
+    union all by name
+    select t.Consultant as name from by_tin t where t.TIN = o.TIN and o.TIN not in (select TIN from by_npi)) c on true
 order by PatientsReceived desc"""
 
 _W = with_clause("users", "staff", "npis", "subs", "alerts", "exclusions", "action_logs", "user_alerts",
@@ -266,50 +158,38 @@ def q(tail: str) -> str:
     return _W + "," + BODY + tail
 
 
+_ALERT = "alert_id as AlertId, npi_id as NpiId, ben_id as BenId"
+_TOTALS = ", ".join(f"cast(count(*) filter (bucket = {i}) as bigint) as AlertsActions{n}" for i, n in enumerate(("Less24", "OneToThreeBD", "MoreThreeBD")))
+_WITH_QUALITY = "stats s join entity_of o using (NpiId) join quality q on q.NPI = s.NpiNum and q.TIN = o.TIN"
+
 SQL = {
-    "provider_roster": q("select npi_id as NpiId, user_id as UserId, is_doctor as IsDoctor, fn as FN, ln as LN, user_name as UserName from doc_sub_info"),
-    "alerts_in_window": q("select alert_id as AlertId, npi_id as NpiId, ben_id as BenId, date_received as DateReceived from t_alerts"),
-    "alert_actions": q("""select alert_action_log_id as AlertActionLogId, aa_id as AlertActionId, alert_id as AlertId,
-        user_id as UserId, created as CreatedDate from t_actions"""),
-    "no_action_exclusion": q("select npi_id as NpiId, ben_id as BenId from excl_pairs"),
-    "alerts_kept": q("select alert_id as AlertId, npi_id as NpiId, ben_id as BenId, date_received as DateReceived from kept"),
-    "first_read_per_user": q("""select alert_id as AlertId, npi_id as NpiId, ben_id as BenId, user_id as UserId,
-        date_received as DateReceived, date_read as DateRead from reads_by_user where rn = 1"""),
-    "response_buckets": q("""select alert_id as AlertId, npi_id as NpiId, ben_id as BenId, user_id as UserId,
-        is_doctor as IsDoctor, date_received as DateReceived, date_action as DateAction, hours_lapsed as HoursLapsed,
-        less24 as Less24, one_three as OneToThreeBD, more_three as MoreThreeBD from action_timings"""),
-    "best_bucket_alert": q("""select alert_id as AlertId, npi_id as NpiId, less24 as Less24, one_three as OneToThreeBD,
-        more_three as MoreThreeBD from alert_reads_cat"""),
-    "best_bucket_patient": q("""select ben_id as BenId, npi_id as NpiId, less24 as Less24, one_three as OneToThreeBD,
-        more_three as MoreThreeBD from patient_actions_cat"""),
-    "bucket_totals": q("""select npi_id as NpiId, cast(r_l as bigint) as AlertsActionsLess24,
-        cast(r_o as bigint) as AlertsActionsOneToThreeBD, cast(r_m as bigint) as AlertsActionsMoreThreeBD
-        from alert_action_days"""),
-    "engagement_counts": q("""select NpiId, AlertsReceived, PatientsReceived, AlertsRead, PatientsRead, AlertsNotRead,
-        PatientsNotRead, AlertsWActions, AlertsWNoActions, PatientsWActions, PatientsWNoActions from stats"""),
-    "alerts_not_read": q("""select a.npi_id as NpiId, count(distinct a.alert_id) as AlertsNotRead,
-        count(distinct a.ben_id) as PatientsNotRead from kept a
-        where a.alert_id not in (select alert_id from reads) group by a.npi_id"""),
-    "not_read_as_written": q("select npi_id as NpiId, alerts_not_read as AlertsNotRead, patients_not_read as PatientsNotRead from unread"),
+    "provider_roster": q("select npi_id as NpiId, user_id as UserId, is_doctor as IsDoctor, fn as FN, ln as LN, user_name as UserName from roster"),
+    "alerts_in_window": q(f"select {_ALERT}, recv as DateReceived from incoming"),
+    "alert_actions": q("""select log_id as AlertActionLogId, kind_id as AlertActionId, alert_id as AlertId, user_id as UserId,
+        done_at as CreatedDate from deed where not idle"""),
+    "no_action_exclusion": q("select npi_id as NpiId, ben_id as BenId from dismissed"),
+    "alerts_kept": q(f"select {_ALERT}, recv as DateReceived from open_alert"),
+    "first_read_per_user": q(f"select {_ALERT}, user_id as UserId, recv as DateReceived, done_at as DateRead from first_event where what = 'read'"),
+    "response_buckets": q(f"""select {_ALERT}, user_id as UserId, is_doctor as IsDoctor, recv as DateReceived, done_at as DateAction,
+        hours as HoursLapsed, {FLAGS} from timed where what = 'action'"""),
+    "best_bucket_alert": q(f"select alert_id as AlertId, npi_id as NpiId, {FLAGS} from best where kind = 'alert' and what = 'read'"),
+    "best_bucket_patient": q(f"select ben_id as BenId, npi_id as NpiId, {FLAGS} from best where kind = 'patient' and what = 'action'"),
+    "bucket_totals": q(f"select npi_id as NpiId, {_TOTALS} from best where kind = 'alert' and what = 'action' group by npi_id"),
+    "engagement_counts": q(f"select NpiId, {', '.join(_COUNTS)} from stats"),
+    "alerts_not_read": q(f"select npi_id as NpiId, {_both('true', 'AlertsNotRead', 'PatientsNotRead')} from open_alert anti join view_of using (alert_id) group by npi_id"),
+    "not_read_as_written": q("select npi_id as NpiId, AlertsNotRead, PatientsNotRead from engaged where AlertsNotRead > 0"),
     "alert_statistics": q("select * from stats"),
-    "consultant_maps": q("""select 'tin' as kind, TIN, Consultant, Company, NPI from tin_map
-        union all select 'npi', TIN, Consultant, Company, NPI from npi_map"""),
-    "provider_entity_lookup": q("select NpiId, TIN, EntityName from tin_mapping"),
-    "straddle_snapshot": q("select Beneficiary_ID, TIN, Npi, Year, Period from straddle"),
-    "quality_pivot": q("select * from quality_table"),
-    "positional_pivot": q("select TIN, NPI, Metric, Eligibility, DATASET, Q1Ptg, Q2Ptg, Q3Ptg, Q4Ptg, Rn from quality_metrics"),
+    "consultant_maps": q("select case several when 0 then 'tin' else 'npi' end as kind, TIN, Consultant, Company, NPI from consultant"),
+    "provider_entity_lookup": q("select * from entity_of"),
+    "straddle_snapshot": q("select * from straddle"),
+    "quality_pivot": q("select * from quality"),
+    "positional_pivot": q("select * from measure"),
     "alert_report": q(REPORT),
     "response_share": q("""select NpiId, AlertsWActions, AlertsActionsLess24,
-        (2 * AlertsActionsLess24 * 10000 + AlertsWActions) // (2 * AlertsWActions) as pct_within_24h_x100,
-        (2 * (AlertsWActions - AlertsActionsLess24) * 10000 + AlertsWActions) // (2 * AlertsWActions) as pct_delayed_x100
+        (20000 * AlertsActionsLess24 + AlertsWActions) // (2 * AlertsWActions) as pct_within_24h_x100,
+        (20000 * (AlertsWActions - AlertsActionsLess24) + AlertsWActions) // (2 * AlertsWActions) as pct_delayed_x100
         from stats where AlertsWActions > 0"""),
-    "engagement_vs_quality": q("""select s.NpiId, t.TIN, s.AlertsReceived, s.AlertsWActions, s.AlertsActionsLess24,
-        e.Q1ReadmPtg, e.Q1PDVPtg
-        from stats s left join tin_mapping t on s.NpiId = t.NpiId
-        join quality_table e on s.NpiNum = e.NPI and t.TIN = e.TIN"""),
+    "engagement_vs_quality": q(f"select NpiId, o.TIN, AlertsReceived, AlertsWActions, AlertsActionsLess24, Q1ReadmPtg, Q1PDVPtg from {_WITH_QUALITY}"),
+    "engagement_quality_corr": q(f"""select count(*) as providers, {', '.join(
+        f"round(corr(cast(AlertsActionsLess24 as double), Q1{n}Ptg), 6) as corr_timely_{t}" for n, t in (("Readm", "readmission"), ("PDV", "pdv")))} from {_WITH_QUALITY}"""),
 }
-SQL["engagement_quality_corr"] = q("""select count(*) as providers,
-        round(corr(cast(s.AlertsActionsLess24 as double), e.Q1ReadmPtg), 6) as corr_timely_readmission,
-        round(corr(cast(s.AlertsActionsLess24 as double), e.Q1PDVPtg), 6) as corr_timely_pdv
-        from stats s left join tin_mapping t on s.NpiId = t.NpiId
-        join quality_table e on s.NpiNum = e.NPI and t.TIN = e.TIN""")

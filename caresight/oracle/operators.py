@@ -2,9 +2,10 @@
 from __future__ import annotations
 
 from caresight.functions.codes import LINE_CODES, MODALITY_CODES, STAGE_CODES, BODY_AREA_CODES, TREATMENT_CODES
-from caresight.oracle.alerts import BODY as ALERT_BODY, _W as ALERT_W
+from caresight.oracle.alerts import BODY as ALERT_BODY, FLAGS as ALERT_FLAGS, _W as ALERT_W
 from caresight.oracle.oncology import PIPELINE as ONC_PIPELINE, _W as ONC_W, _case, _in
 from caresight.sources.adapters import with_clause
+from caresight.sources.tables import TABLES
 
 CANCER = "('C50911', 'C3490', 'C61', 'C439', 'C189')"
 PB_CODES = ["clm_line_dgns_cd", "clm_dgns_1_cd", "clm_dgns_2_cd", "clm_dgns_3_cd", "clm_dgns_4_cd", "clm_dgns_5_cd"]
@@ -35,21 +36,19 @@ SQL = {
     # ---------------------------------------------------------------- sources
     "scan_sources": " union all ".join(
         f"select '{t}' as table_name, count(*) as row_count from {t}"
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")),
+        for t in TABLES),
     "claims_extract": w("part_a") + """select beneficiary_id, cur_clm_uniq_id, clm_line_num, clm_from_dt,
         trim(clm_line_hcpcs_cd) as clm_line_hcpcs_cd, clm_line_pmt_amnt from part_a where clm_from_dt > date '1997-01-01'""",
-    "cohort_roundtrip": onc("select beneficiary_id from bene"),
+    "cohort_roundtrip": onc("select beneficiary_id from patient"),
     "report_sink": onc("""select body_area, cast(sum(clm_line_pmt_amnt) as decimal(38,2)) as total_cost,
         count(distinct beneficiary_id) as distinct_patients,
         cast(sum(case when treatment_process = '4-Radiation' then 1 else 0 end) as bigint) as treatment_deliveries
-        from final where oprtg_prvdr_npi_num = '7' group by body_area"""),
+        from billed where oprtg_prvdr_npi_num = '7' group by body_area"""),
     "latest_snapshot": w("master_view") + """select NPI, TIN, Entity, ACOR from master_view
         where ACOR = (select max(ACOR) from master_view)""",
-    "straddle_snapshot_flat": w("assignment_flat") + """, ds as (select dataset from (select distinct concat(Year, Period)
-        as dataset from assignment_flat) d order by dataset desc limit 2)
-        select distinct Beneficiary_ID, TIN, Npi, Year, Period from assignment_flat
-        where case when right((select max(dataset) from ds), 2) = '00' then concat(Year, Period) in (select dataset from ds)
-                   else concat(Year, Period) = (select max(dataset) from ds) end""",
+    "straddle_snapshot_flat": w("assignment_flat") + """select distinct Beneficiary_ID, TIN, Npi, Year, Period from (
+        select *, dense_rank() over (order by concat(Year, Period) desc) as age, max(concat(Year, Period)) over () as newest
+        from assignment_flat) where age = 1 or (age = 2 and newest like '%00')""",
     "top_n_distinct": w("assignment") + """select dataset as value from (select distinct concat(Year, Period) as dataset
         from assignment) d order by dataset desc limit 2""",
     # ---------------------------------------------------------------- projections and predicates
@@ -84,29 +83,26 @@ SQL = {
         where NpiNum not like '9%' union all select 'action', cast(AlertActionId as varchar) from alert_actions
         where Text like 'No Action Taken'""",
     # ---------------------------------------------------------------- joins
-    "inner_join": alerts("select a.alert_id as AlertId, a.npi_id as NpiId, u.UserId, u.ViewedDate from t_alerts a join user_alerts u on a.alert_id = u.AlertId"),
-    "left_join": alerts("select n.npi_id as NpiId, s.user_id as UserId from t_npis n left join t_subs s on n.npi_id = s.npi_id"),
-    "left_join_filtered": alerts("select npi_id as NpiId, user_id as UserId from doc_sub_info"),
-    "anti_join": alerts("select user_id as UserId from t_users"),
+    "inner_join": alerts("select alert_id as AlertId, npi_id as NpiId, UserId, ViewedDate from incoming join user_alerts on AlertId = alert_id"),
+    "left_join": alerts("select distinct npi_id as NpiId, UserId from provider left join (select * from subs where UserId not in (select userId from staff)) on NpiId = npi_id"),
+    "left_join_filtered": alerts("select npi_id as NpiId, user_id as UserId from roster"),
+    "anti_join": alerts("select user_id as UserId from person"),
     "not_in_null_aware": w("alerts", "exclusions") + """select AlertId, BenId from alerts
         where BenId not in (select BenId from exclusions where BenId is not null)""",
     "semi_join_in": w("patients", "tracking") + """select ID from patients
         where ID in (select CTBeneficiaryID from tracking where StatusId = 3)""",
-    "semi_join_either": alerts("""select distinct a.TIN, a.NPI, a.Metric, a.Eligibility, a.DATASET from practice_mapping a
-        left join (select distinct NPI from npi_map) nc on nc.NPI = a.NPI
-        left join (select distinct TIN from tin_map) tc on tc.TIN = a.TIN
-        where nc.NPI is not null or tc.TIN is not null"""),
-    "attach_group": onc("select pta, cur_clm_uniq_id, clm_line_num, treatment_group from grouped"),
+    "semi_join_either": alerts("""select distinct TIN, NPI, Metric, Eligibility, DATASET from practice_mapping
+        where exists (select 1 from by_npi b where b.NPI = practice_mapping.NPI) or exists (select 1 from by_tin b where b.TIN = practice_mapping.TIN)"""),
+    "attach_group": onc("select pta, cur_clm_uniq_id, clm_line_num, treatment_group from course_line"),
     "wide_metric_assembly": alerts("select * from stats"),
-    "precedence_lookup": alerts("""select a.NpiId, b.TIN,
-        coalesce(case when b.TIN in (select distinct TIN from npi_map) then npic.Consultant else tinc.Consultant end,
-                 'no consultant') as ProviderConsultant
-        from stats a left join tin_mapping b on a.NpiId = b.NpiId left join tin_map tinc on b.TIN = tinc.TIN
-        left join npi_map npic on a.NpiNum = npic.NPI"""),
-    "composite_join": alerts("""select b.alert_id as AlertId, a.user_id as UserId, a.npi_id as NpiId from doc_sub_info a
-        join (select * from reads_by_user where rn = 1) b on a.user_id = b.user_id and a.npi_id = b.npi_id"""),
+    "precedence_lookup": alerts("""select NpiId, o.TIN, coalesce(c.name, 'no consultant') as ProviderConsultant
+        from stats s join entity_of o using (NpiId) left join lateral (
+          select Consultant as name from by_npi where by_npi.NPI = s.NpiNum and o.TIN in (select TIN from by_npi)
+          union all by name
+          select t.Consultant as name from by_tin t where t.TIN = o.TIN and o.TIN not in (select TIN from by_npi)) c on true"""),
+    "composite_join": alerts("select alert_id as AlertId, user_id as UserId, npi_id as NpiId from first_event semi join roster using (user_id, npi_id) where what = 'read'"),
     # ---------------------------------------------------------------- aggregates
-    "count_rows_left": alerts("select ben_id as BenId, npi_id as NpiId, total_actions as TotalActionsPerPatient from totals"),
+    "count_rows_left": alerts("select ben_id as BenId, npi_id as NpiId, count(*) as TotalActionsPerPatient from incoming left join deed using (alert_id) group by ben_id, npi_id"),
     "multi_count_distinct": w("part_a") + """select atndg_prvdr_npi_num, count(distinct beneficiary_id) as patients,
         count(distinct cur_clm_uniq_id) as claims, count(distinct trim(clm_line_hcpcs_cd)) as procedures
         from part_a group by atndg_prvdr_npi_num""",
@@ -125,17 +121,16 @@ SQL = {
         avg(case when Metric = '% PDV' then Q3Ptg end) as Q3PDVPtg,
         avg(case when Metric = '30-Day Readmission Rate' then Q4Ptg end) as Q4ReadmPtg,
         avg(case when Metric = '% PDV' then Q4Ptg end) as Q4PDVPtg
-        from quality_metrics group by TIN, NPI"""),
+        from measure group by TIN, NPI"""),
     "distinct_rows": w("part_a") + "select distinct beneficiary_id, atndg_prvdr_npi_num from part_a",
     "group_by_dedupe": w("tracking") + "select CTBeneficiaryID, StatusId from tracking group by CTBeneficiaryID, StatusId",
     # ---------------------------------------------------------------- windows, sorts, sets
     "first_per_key": w("cclf4") + f"""select cur_clm_uniq_id, clm_val_sqnc_num, clm_dgns_cd from (
         select *, row_number() over (partition by cur_clm_uniq_id order by clm_val_sqnc_num, clm_dgns_cd) as rn
         from cclf4 where clm_dgns_cd in {CANCER}) x where rn = 1""",
-    "best_bucket": alerts("""select ben_id as BenId, npi_id as NpiId, less24 as Less24, one_three as OneToThreeBD,
-        more_three as MoreThreeBD from patient_reads_cat"""),
+    "best_bucket": alerts(f"select ben_id as BenId, npi_id as NpiId, {ALERT_FLAGS} from best where kind = 'patient' and what = 'read'"),
     "sorted_report": onc("""select treatment_process, cast(sum(clm_line_pmt_amnt) as decimal(38,2)) as total_cost,
-        count(*) as line_count from final group by treatment_process order by total_cost desc, treatment_process"""),
+        count(*) as line_count from billed group by treatment_process order by total_cost desc, treatment_process"""),
     "union_distinct": w("part_a", "part_b") + f"""select beneficiary_id from part_a where trim(clm_line_hcpcs_cd) in {_in(TREATMENT_CODES)}
         union select beneficiary_id from part_b where trim(clm_line_hcpcs_cd) in {_in(TREATMENT_CODES)}""",
     # ---------------------------------------------------------------- scalars

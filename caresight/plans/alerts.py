@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caresight.functions.scalars import (boundary_diff, is_digits, plus_concat, utc_to_eastern,
-                                         weekday_mon0, float_label, hundredths)
+                                         weekday_mon0, float_label, hundredths, valid_npi)
 from caresight.operators.aggregates import count_if
 from caresight.operators.filters import in_window
 from caresight.operators.joins import anti, assemble, not_in, semi_either
@@ -64,8 +64,7 @@ def timely_no_action(received: Column, done: Column) -> Column:
 
 
 class AlertReport:
-    def __init__(self, inputs, lower: str = "2023-12-31", upper: str = "2024-01-31",
-                 consultants: Sequence[str] = ("Alice", "Bob"), convert_views: bool = False):
+    def __init__(self, inputs, lower: str, upper: str, consultants: Sequence[str], convert_views: bool = False):
         """``convert_views``: read timestamps are stored in UTC like everything else, but
         the report compares them unconverted with Eastern receipt times; True converts."""
         self.inp, self.lower, self.upper = inputs, lower, upper
@@ -111,7 +110,7 @@ class AlertReport:
         n = anti(n, self.staff, n["PhysicianUserId"] == self.staff["userId"])
         n = n.where((F.col("Active") == 1) | (F.col("isMAProvider") == 1))
         n = n.join(active_users, F.col("PhysicianUserId") == F.col("_au"), "left_semi")
-        n = n.where((F.length(F.rtrim("NpiNum")) == 10) & is_digits("NpiNum") & ~F.col("NpiNum").like("9%"))
+        n = n.where(valid_npi("NpiNum"))
         return n.select("NpiId", F.col("PhysicianUserId").alias("UserId"), "NpiNum")
 
     @cached_property
@@ -165,7 +164,7 @@ class AlertReport:
         """
         acts = self.all_actions.join(self.alerts.select("AlertId", "DateReceived"), "AlertId")
         no_ids = self.no_action_ids.select(F.col("AlertActionId").alias("_na"), F.lit(True).alias("_is_no"))
-        acts = acts.join(F.broadcast(no_ids), F.col("AlertActionId") == F.col("_na"), "left")
+        acts = acts.join(no_ids, F.col("AlertActionId") == F.col("_na"), "left")
         timely = F.coalesce(F.col("_is_no"), F.lit(False)) & timely_no_action(F.col("DateReceived"), F.col("CreatedDate"))
         per_alert = acts.groupBy("AlertId").agg(F.count(F.lit(1)).alias("_n"), count_if(timely).alias("_t"))
         a = self.alerts.join(per_alert, "AlertId", "left")

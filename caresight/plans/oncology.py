@@ -1,18 +1,19 @@
 """Radiation-oncology treatment courses and their cost (claims report).
 
-Stages (all lazy DataFrames):
+Stages (lazy DataFrames; only the course numbering's pinned range pass runs a job when built):
   cohort          patients with a treatment code and a cancer diagnosis, Part A or Part B
-  part_a_lines    Part A office-visit/treatment lines, one cancer diagnosis per line
+  part_a_lines    Part A office-visit/treatment lines, one row and cancer diagnosis per line
   part_b_lines    Part B lines with the first matching cancer diagnosis of six columns
   filtered        A + B combined, modality added, office visits kept only when a treatment
-                  of the same patient follows within 0-60 days
+                  of the same patient follows within 0-60 days, one row per visit line
   grouped         treatment course per line, anchored on simulation lines
   final           one modality per course, type-50 lines dropped, adjustments negated
 Reports: cost by body area, cost by body area x modality, line detail, sessions per
 course, cost by phase.
 
 Shuffles: beneficiary for the cohort semi joins and the course scans, claim for the
-diagnosis pick. Code sets are CASE/IN-set expressions, never joins.
+diagnosis pick, claim and line for repeated rows. Fixed code lists are CASE/IN-set
+expressions; the cancer set is a table of the caller's.
 """
 from __future__ import annotations
 
@@ -26,10 +27,9 @@ from caresight.functions.codes import (LINE_CODES, MODALITY_CODES, MODALITY_PRIO
                                        BODY_AREA_CODES, UNKNOWN)
 from caresight.functions.scalars import fallback, signed_amount
 from caresight.operators.aggregates import count_if
-from caresight.operators.filters import any_in_set, classify, filter_code_set, first_matching, in_set
+from caresight.operators.filters import any_in_set, classify, code_table, filter_code_set, first_matching
 from caresight.operators.scans import anchor_groups, nearest_within
 from caresight.operators.windows import priority_label
-from caresight.sources.adapters import TEST_CANCER_CODES
 from caresight.sources.tables import extract_claims, stage
 
 CONSULT, SIMULATION, RADIATION = "1-Consultation", "2-Simulation", "4-Radiation"
@@ -67,40 +67,54 @@ def classify_modality(df: DataFrame, col: str = CODE, out: str = "treatment_type
     return classify(df, col, MODALITY_CODES, out, UNKNOWN)
 
 
-def cohort(part_a: DataFrame, cclf4: DataFrame, part_b: DataFrame, cancer: list[str]) -> DataFrame:
-    """Distinct patients with a treatment line and a cancer diagnosis (A or B).
+def _cancer_claims(cclf4: DataFrame, cancer: DataFrame) -> DataFrame:
+    return cclf4.join(code_table(cancer, "icd_code"), F.col("clm_dgns_cd") == F.col("code"), "left_semi")
+
+
+def cohort(part_a: DataFrame, cclf4: DataFrame, part_b: DataFrame, cancer: DataFrame) -> DataFrame:
+    """Distinct patients with a treatment line and a cancer diagnosis (A or B); ``cancer`` is the
+    table of diagnosis codes (column icd_code).
 
     Part A: a treatment line whose claim carries a cancer diagnosis row — a semi join on
     the claim, so claims with many diagnosis rows do not multiply lines.
     """
-    cancer_claims = cclf4.where(in_set(F.col("clm_dgns_cd"), cancer)).select("cur_clm_uniq_id")
     a = (filter_code_set(part_a, CODE, TREATMENT_CODES)
-         .join(cancer_claims, "cur_clm_uniq_id", "left_semi").select(BENE))
-    b = (filter_code_set(part_b, CODE, TREATMENT_CODES)
-         .where(any_in_set([c for c, _ in PART_B_DX], cancer)).select(BENE))
-    return a.union(b).distinct()
+         .join(_cancer_claims(cclf4, cancer), "cur_clm_uniq_id", "left_semi").select(BENE))
+    b = any_in_set(filter_code_set(part_b, CODE, TREATMENT_CODES), [c for c, _ in PART_B_DX], cancer, "_cancer", "icd_code")
+    return a.union(b.where("_cancer").select(BENE)).distinct()
+
+
+def one_per_key(df: DataFrame, keys: list[str], first_by: list[str] = []) -> DataFrame:  # noqa: B006
+    """One row per key: the least by ``first_by``, then by all columns in their order (NULLs
+    first). An aggregate, so repeated rows are reduced before the shuffle."""
+    rest = [c for c in df.columns if c not in keys and c not in first_by]
+    row = F.min(F.struct(*first_by, *rest)).alias("_row")
+    return df.groupBy(*keys).agg(row).select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
+LINE_KEY = ["cur_clm_uniq_id", "clm_line_num"]
 
 
 def part_a_lines(part_a: DataFrame, patients: DataFrame, cclf4: DataFrame, lu_icd10: DataFrame,
-                 cancer: list[str]) -> DataFrame:
-    """Part A lines of cohort patients with a line code, each with the claim's cancer
-    diagnosis of the lowest sequence number (ties: lowest code)."""
-    best_dx = (cclf4.where(in_set(F.col("clm_dgns_cd"), cancer))
+                 cancer: DataFrame) -> DataFrame:
+    """Part A lines of cohort patients with a line code, one row per (claim, line), each with the
+    claim's cancer diagnosis of the lowest sequence number (ties: lowest code) and that code's
+    description (of several the least)."""
+    best_dx = (_cancer_claims(cclf4, cancer)
                .groupBy("cur_clm_uniq_id")
                .agg(F.min(F.struct("clm_val_sqnc_num", "clm_dgns_cd")).alias("_dx"))
                .select("cur_clm_uniq_id", F.col("_dx.clm_val_sqnc_num").alias("clm_val_sqnc_num"),
                        F.col("_dx.clm_dgns_cd").alias("clm_dgns_cd")))
-    lines = (filter_code_set(part_a, CODE, LINE_CODES)
-             .join(patients, BENE, "left_semi")
-             .join(best_dx, "cur_clm_uniq_id", "inner"))
-    icd = lu_icd10.select(F.col("ICD10").alias("_icd"), "description")
-    lines = lines.join(F.broadcast(icd), F.col("clm_dgns_cd") == F.col("_icd"), "left").drop("_icd")
+    lines = filter_code_set(part_a, CODE, LINE_CODES).join(patients, BENE, "left_semi").select(*part_a.columns)
+    lines = one_per_key(lines, LINE_KEY).join(best_dx, "cur_clm_uniq_id", "inner")
+    icd = lu_icd10.groupBy(F.col("ICD10").alias("_icd")).agg(F.min("description").alias("description"))
+    lines = lines.join(icd, F.col("clm_dgns_cd") == F.col("_icd"), "left").drop("_icd")
     return classify_body_area(classify_stage(lines))
 
 
-def part_b_lines(part_b: DataFrame, patients: DataFrame, cancer: list[str]) -> DataFrame:
+def part_b_lines(part_b: DataFrame, patients: DataFrame, cancer: DataFrame) -> DataFrame:
     lines = filter_code_set(part_b, CODE, LINE_CODES).join(patients, BENE, "left_semi")
-    lines = first_matching(lines, PART_B_DX, cancer, "clm_dgns_cd", "description")
+    lines = first_matching(lines, PART_B_DX, cancer, "clm_dgns_cd", "description", code_col="icd_code")
     return classify_body_area(classify_stage(lines))
 
 
@@ -127,11 +141,12 @@ def combined(a_lines: DataFrame, b_lines: DataFrame) -> DataFrame:
 
 
 def filtered(comb: DataFrame, lo_days: int = 0, hi_days: int = 60) -> DataFrame:
-    """Treatment lines, plus office visits followed by a treatment within the window."""
+    """Treatment lines, plus office visits followed by a treatment within the window; of a visit
+    line's repeated rows the one with the nearest treatment."""
     visits = comb.where(F.col("treatment_process") == CONSULT)
     treatments = comb.where(F.col("treatment_process") != CONSULT)
-    kept = nearest_within(visits, treatments, [BENE], LINE_DATE, LINE_DATE, lo_days, hi_days)
-    return treatments.unionByName(kept)
+    kept = nearest_within(visits, treatments, [BENE], LINE_DATE, LINE_DATE, lo_days, hi_days, out="_days")
+    return treatments.unionByName(one_per_key(kept, LINE_KEY, ["_days"]).drop("_days"))
 
 
 def treatment_groups(lines: DataFrame) -> DataFrame:
@@ -210,14 +225,16 @@ def cost_by_phase(final: DataFrame) -> DataFrame:
 
 
 class OncologyJob:
-    """Every stage of the report, built lazily from ``inputs`` (indexable by adapter name).
+    """Every stage of the report, built lazily from ``inputs`` (indexable by adapter name; the table
+    ``icd_codes`` is the cancer set) for claims after ``since``.
 
-    Stages are cached on the job object, so reports that share a stage share its plan.
+    Stages are cached on the job object, so reports that share a stage share its plan. The cohort
+    and the combined lines are staged, so the claim tables are read twice: once for each.
     """
 
-    def __init__(self, inputs, since: str | None = None, cancer=None):
+    def __init__(self, inputs, since: str | None):
         self.inputs, self.since = inputs, since
-        self.cancer = list(cancer if cancer is not None else TEST_CANCER_CODES)
+        self.cancer = inputs["icd_codes"]
 
     @cached_property
     def part_a(self) -> DataFrame:
@@ -229,7 +246,7 @@ class OncologyJob:
 
     @cached_property
     def cohort(self) -> DataFrame:
-        return cohort(self.part_a, self.inputs["cclf4"], self.part_b, self.cancer)
+        return stage(cohort(self.part_a, self.inputs["cclf4"], self.part_b, self.cancer))
 
     @cached_property
     def a_lines(self) -> DataFrame:
@@ -241,12 +258,12 @@ class OncologyJob:
 
     @cached_property
     def combined(self) -> DataFrame:
-        return combined(self.a_lines, self.b_lines)
+        # read as visits, as their partners and as treatments
+        return stage(combined(self.a_lines, self.b_lines))
 
     @cached_property
     def filtered(self) -> DataFrame:
-        # read by the course numbering and both as-of scans
-        return stage(filtered(self.combined))
+        return filtered(self.combined)
 
     @cached_property
     def grouped(self) -> DataFrame:

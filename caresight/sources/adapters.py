@@ -10,13 +10,11 @@ Placeholders ``{name}`` refer to base tables or to other adapters.
 """
 from __future__ import annotations
 
-import hashlib
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caresight.sources.tables import TABLES, read_table
+from caresight.sources.tables import TABLES, read_table, stage
 
 
 def _dx(n: str) -> str:
@@ -32,9 +30,6 @@ def _desc(code: str) -> str:
     return f"concat('Diagnosis ', {code})"
 
 
-# FIXED VALUES for the test adapters: the cancer diagnosis set (the five C codes of DX()).
-TEST_CANCER_CODES = ("C50911", "C3490", "C61", "C439", "C189")
-
 _HCPCS = """case when p.p_size <= 8 then '99213' when p.p_size <= 12 then '77263'
       when p.p_size <= 18 then '77300' when p.p_size <= 24 then '77412'
       when p.p_size <= 28 then 'G6015' when p.p_size <= 31 then '77373'
@@ -44,13 +39,14 @@ _HCPCS = """case when p.p_size <= 8 then '99213' when p.p_size <= 12 then '77263
 ADAPTERS: dict[str, str] = {
     # ---------------------------------------------------------------- oncology claims
     "claim_base": f"""
-select o.o_custkey as beneficiary_id,
+select case when l.l_orderkey % 101 = 7 then cast(null as bigint) else o.o_custkey end as beneficiary_id,
        l.l_orderkey as cur_clm_uniq_id,
        cast(row_number() over (partition by l.l_orderkey order by l.l_linenumber, l.l_partkey,
             l.l_suppkey, l.l_shipdate, l.l_extendedprice, l.l_quantity, l.l_discount, l.l_tax) as int)
          as clm_line_num,
        cast(o.o_orderdate as date) as clm_from_dt,
-       cast(l.l_shipdate as date) as clm_line_from_dt,
+       case when l.l_orderkey % 89 = 3 then cast(null as date) else cast(l.l_shipdate as date) end
+         as clm_line_from_dt,
        cast(l.l_shipdate as date) as clm_line_thru_dt,
        concat({_HCPCS}, case when l.l_linenumber % 2 = 0 then ' ' else '' end) as clm_line_hcpcs_cd,
        cast(l.l_suppkey as string) as atndg_prvdr_npi_num,
@@ -74,9 +70,11 @@ join {{part}} p on l.l_partkey = p.p_partkey""",
 select beneficiary_id, cur_clm_uniq_id, clm_from_dt, clm_line_num, clm_type_cd,
        clm_line_from_dt, clm_line_thru_dt, clm_line_hcpcs_cd, oprtg_prvdr_npi_num,
        {_dx('bn')} as prncpl_dgns_cd, {_desc(_dx('bn'))} as prncpl_dgns,
-       fac_prvdr_npi_num, atndg_prvdr_npi_num, cast(null as string) as othr_prvdr_npi_num,
+       fac_prvdr_npi_num, case when copy = 2 then '0' else atndg_prvdr_npi_num end as atndg_prvdr_npi_num,
+       cast(null as string) as othr_prvdr_npi_num,
        clm_adjsmt_type_cd, clm_line_srvc_unit_qty, clm_header_pmt_amnt, clm_line_pmt_amnt
-from {{claim_base}} where line_status = 'O'""",
+from {{claim_base}} cross join (values (1), (2)) as twice(copy)
+where line_status = 'O' and (copy = 1 or cur_clm_uniq_id % 23 = 5)""",
     "cclf4": f"""
 select cur_clm_uniq_id, src_line as clm_val_sqnc_num, {_dx('bn')} as clm_dgns_cd
 from {{claim_base}} where line_status = 'O'""",
@@ -89,13 +87,17 @@ select beneficiary_id, cur_clm_uniq_id, clm_line_num, clm_line_pmt_amnt as clm_l
        {_dx('bn + 3')} as clm_dgns_3_cd, {_desc(_dx('bn + 3'))} as clm_dgns3,
        {_dx('bn + 4')} as clm_dgns_4_cd, {_desc(_dx('bn + 4'))} as clm_dgns_4,
        {_dx('bn + 5')} as clm_dgns_5_cd, {_desc(_dx('bn + 5'))} as clm_dgns_5,
-       clm_type_cd, clm_from_dt, clm_line_from_dt, clm_line_thru_dt, clm_line_srvc_unit_qty,
+       clm_type_cd, clm_from_dt,
+       cast(case when copy = 2 then clm_line_from_dt + interval 2 days else clm_line_from_dt end as date) as clm_line_from_dt,
+       clm_line_thru_dt, clm_line_srvc_unit_qty,
        clm_adjsmt_type_cd, oprtg_prvdr_npi_num as rndrg_prvdr_npi_num,
        atndg_prvdr_npi_num as clm_rfrg_prvdr_npi_num
-from {{claim_base}} where line_status = 'F'""",
+from {{claim_base}} cross join (values (1), (2)) as twice(copy)
+where line_status = 'F' and (copy = 1 or (cur_clm_uniq_id % 19 = 4 and clm_line_hcpcs_cd like '99213%'))""",
     "lu_icd10": f"""
-select code as ICD10, {_desc('code')} as description
-from (values ('C50911'), ('C3490'), ('C61'), ('C439'), ('C189'), ('I10')) as t(code)""",
+select code as ICD10, concat({_desc('code')}, more) as description
+from (values ('C50911', ''), ('C3490', ''), ('C61', ''), ('C61', ', old text'), ('C439', ''), ('C189', ''), ('C189', ' (2)'),
+      ('I10', '')) as t(code, more)""",
     "icd_codes": """
 select code as icd_code from (values ('C50911'), ('C3490'), ('C61'), ('C439'), ('C189')) as t(code)""",
     # ---------------------------------------------------------------- alerting
@@ -114,8 +116,10 @@ select UserId as NpiId, UserId as PhysicianUserId,
        case when UserId % 12 = 0 then 0 else 1 end as Active,
        case when UserId % 24 = 0 then 1 else 0 end as isMAProvider
 from {users} where UserId % 3 = 0""",
+    # each provider's subscribers: the users whose ids lie 0, 10, .. 40 above the provider's
     "subs": """
-select n.NpiId, u.UserId from {npis} n join {users} u on n.NpiId % 10 = u.UserId % 10""",
+select n.NpiId, u.UserId from (select n.NpiId, n.NpiId + k.k as sub from {npis} n
+  cross join (values (0), (10), (20), (30), (40)) as k(k)) n join {users} u on u.UserId = n.sub""",
     "alerts": """
 select event_id as AlertId, user_id - user_id % 3 as NpiId,
        case when event_id % 50 = 0 then cast(null as bigint) else user_id * 8 + event_id % 8 end as BenId,
@@ -198,7 +202,7 @@ union all select distinct CreatedBy, 6 from {tracking} where CreatedBy = 8""",
 select c.c_custkey as ID, c.c_mktsegment as Insurance,
        concat('Dr', cast(c.c_custkey % 9 as string)) as PhysicianName, s.s_suppkey as NPIId,
        case when c.c_custkey % 9 = 0 then c.c_nationkey else s.s_nationkey end as EntityId
-from {customer} c join {supplier} s on s.s_suppkey = c.c_custkey % 10""",
+from {customer} c join {supplier} s on s.s_suppkey = c.c_custkey % (select count(*) from {supplier})""",
     "ct_subscriptions": """
 select s_suppkey as NpiId, s_suppkey % 10 as UserId,
        case when s_suppkey % 4 = 0 then 0 else 1 end as ShowCareTracker from {supplier}""",
@@ -281,74 +285,26 @@ def deps(name: str) -> list[str]:
     return sorted(set(_REF.findall(ADAPTERS[name])))
 
 
-_LANDED: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _landing_root(spark: SparkSession) -> str:
-    """Shared folder for landed adapter tables: next to the cluster's checkpoint folder."""
-    from caresight.session import ensure_checkpoint_dir
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.dirname(ensure_checkpoint_dir(spark))
-    return base.rstrip("/") + "/caresight-landed"
-
-
-def _fingerprint(sf_dir: str, name: str) -> str:
-    """Changes when the adapter text or any source file it reads changes."""
-    h = hashlib.sha1()
-    stack = [name]
-    seen: set[str] = set()
-    while stack:
-        n = stack.pop()
-        if n in seen:
-            continue
-        seen.add(n)
-        if n in TABLES:
-            p = sf_path(sf_dir, n)
-            st = os.stat(p) if os.path.exists(p) else None
-            h.update(f"{os.path.abspath(p)}:{st.st_size if st else 0}:{st.st_mtime_ns if st else 0}".encode())
-        else:
-            h.update(ADAPTERS[n].encode())
-            stack.extend(deps(n))
-    return h.hexdigest()[:16]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
-def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The adapter as a Spark DataFrame (base tables come from ``sf_dir``).
+class Inputs:
+    """Adapters of one job: ``Inputs(spark, sf_dir)['part_a']``.
 
-    Adapters stand in for source tables, so each one is landed once as Parquet in the
-    shared folder (keyed by a fingerprint of its SQL and source files) and read back:
-    jobs then scan plain files, exactly as they would scan the real tables.
+    An adapter is a lazy frame over the given tables. Those that several branches of a job read
+    are staged (persisted on first use), and so are joined once.
     """
-    if name in TABLES:
-        return read_table(spark, sf_dir, name)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    if key not in _LANDED:
-        path = f"{_landing_root(spark)}/{name}-{_fingerprint(sf_dir, name)}"
-        if not _exists(spark, path):
-            args = {d: adapter(spark, sf_dir, d) for d in deps(name)}
-            spark.sql(ADAPTERS[name], **args).write.mode("overwrite").parquet(path)
-        _LANDED[key] = spark.read.parquet(path)
-    return _LANDED[key]
-
-
-def release_adapters() -> None:
-    _LANDED.clear()
 
-
-class Inputs:
-    """Adapter access for one job: ``Inputs(spark, sf_dir)['part_a']``."""
+    STAGED = {"claim_base", "npis", "alerts", "action_logs", "user_alerts", "practice_counts", "assignment", "tracking", "patients"}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._made: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return adapter(self.spark, self.sf_dir, name)
+        if name in TABLES:
+            return read_table(self.spark, self.sf_dir, name)
+        if name not in self._made:
+            made = self.spark.sql(ADAPTERS[name], **{d: self[d] for d in deps(name)})
+            self._made[name] = stage(made) if name in self.STAGED else made
+        return self._made[name]
 
 
 def with_clause(*names: str) -> str:
@@ -371,7 +327,3 @@ def with_clause(*names: str) -> str:
         text = _REF.sub(lambda m: m.group(1), ADAPTERS[n])
         parts.append(f"{n} AS ({text}\n)")
     return "WITH " + ",\n".join(parts) + "\n"
-
-
-def sf_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")

@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 import os
+import uuid
+import weakref
 from collections.abc import Iterable, Mapping
 
 from pyspark import StorageLevel
@@ -17,6 +19,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def read_source(spark: SparkSession, name: str, jdbc: Mapping[str, str] | None = None) -> DataFrame:
+    """A catalog table, or with ``jdbc`` options (url, driver, partitionColumn, ...) a remote
+    table, whose filters and column lists Spark pushes into the remote query."""
+    if jdbc is None:
+        return spark.table(name)
+    return spark.read.format("jdbc").options(**jdbc_options(name, jdbc)).load()
+
+
+def jdbc_options(name: str, given: Mapping[str, str]) -> dict[str, str]:
+    """Options of a remote scan: pushdown on; a parallel read needs its column and both bounds."""
+    options = {"dbtable": name, "pushDownPredicate": "true", "pushDownAggregate": "true", "fetchsize": "10000", **given}
+    parallel = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"} & set(options)
+    if parallel and len(parallel) < 4:
+        raise ValueError("partitionColumn, lowerBound, upperBound and numPartitions go together")
+    return options
+
+
 def load(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
     """Lazy handles for many tables at once (nothing is read until an action)."""
     return {n: read_table(spark, sf_dir, n) for n in names}
@@ -33,20 +52,65 @@ def extract_claims(df: DataFrame, since: str | None = None, cols: Iterable[str]
     return out.withColumn(code_col, F.trim(F.col(code_col)))
 
 
-_STAGED: list[DataFrame] = []
+class Owned:
+    """Persisted intermediates that belong to one result.
+
+    ``stage`` registers with the innermost open owner; ``release`` drops the frames' blocks.
+    ``owned_by`` ties the release to the result frame's lifetime. (A frame derived from the
+    result stays right after that: Spark computes the blocks again.)
+    """
+
+    _open: list[Owned] = []
+
+    def __init__(self) -> None:
+        self.frames: list = []  # their JVM handles: a result may be one of them
+
+    def __enter__(self) -> Owned:
+        Owned._open.append(self)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        Owned._open.remove(self)
+
+    def release(self) -> None:
+        while self.frames:
+            self.frames.pop().unpersist()
+
+
+_LOOSE = Owned()  # of frames staged outside any owner
+
+
+def _owner() -> Owned:
+    return Owned._open[-1] if Owned._open else _LOOSE
+
+
+def owned_by(build, *args) -> DataFrame:
+    """``build(*args)``, whose intermediates are released when the frame it returns is gone."""
+    with Owned() as own:
+        result = build(*args)
+    weakref.finalize(result, own.release).atexit = False
+    return result
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Keep an intermediate that several branches of one report read (memory, spilling to
-    disk). Lost blocks are recomputed from lineage. ``release_staged()`` frees them once
-    the report has been written."""
-    _STAGED.append(df)
+    disk). Nothing runs until an action; lost blocks are recomputed from lineage."""
+    _owner().frames.append(df._jdf)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder below the cluster's shared checkpoint folder, deleted when the driver ends."""
+    from caresight.session import ensure_checkpoint_dir
+    folder = f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def release_staged() -> None:
-    while _STAGED:
-        _STAGED.pop().unpersist()
+    """Release what was staged outside any owner."""
+    _LOOSE.release()
 
 
 def save_cohort(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> DataFrame:

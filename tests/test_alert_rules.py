@@ -72,7 +72,7 @@ def test_no_action_exclusion_pairs(spark):
             (4, 2, 300, 1, t0 + dt.timedelta(days=6), 1)],
             "AlertActionLogId long, AlertActionId int, AlertId long, UserId long, CreatedDate timestamp_ntz, Active int"),
     }
-    r = AlertReport(tables, lower="2024-01-01", upper="2024-01-31")
+    r = AlertReport(tables, lower="2024-01-01", upper="2024-01-31", consultants=["Alice", "Bob"])
     pairs = {(x.BenId, x.NpiId) for x in r.no_action_pairs.collect()}
     assert pairs == {(1, 9)}
     assert sorted(x.AlertId for x in r.kept.collect()) == [200, 201, 300]
