@@ -191,5 +191,5 @@ SQL = {
         from stats where AlertsWActions > 0"""),
     "engagement_vs_quality": q(f"select NpiId, o.TIN, AlertsReceived, AlertsWActions, AlertsActionsLess24, Q1ReadmPtg, Q1PDVPtg from {_WITH_QUALITY}"),
     "engagement_quality_corr": q(f"""select count(*) as providers, {', '.join(
-        f"round(corr(cast(AlertsActionsLess24 as double), Q1{n}Ptg), 6) as corr_timely_{t}" for n, t in (("Readm", "readmission"), ("PDV", "pdv")))} from {_WITH_QUALITY}"""),
+        f"round(nullif(corr(cast(AlertsActionsLess24 as double), Q1{n}Ptg), 'nan'), 6) as corr_timely_{t}" for n, t in (("Readm", "readmission"), ("PDV", "pdv")))} from {_WITH_QUALITY}"""),
 }

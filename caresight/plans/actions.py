@@ -41,7 +41,6 @@ class ActionParams:
     start: str | None = None          # None = earliest CreatedDate
     end: str | None = None            # None = latest CreatedDate
     npi_type: Sequence[str] | str | None = None
-    extra: dict = field(default_factory=dict)
 
     def values(self, name: str) -> list:
         return values_list(getattr(self, name))
@@ -89,17 +88,22 @@ class ActionCompletion:
     def tracking(self) -> DataFrame:
         return self.inp["tracking"]
 
+    @cached_property
+    def _bounds(self) -> DataFrame:
+        """First and last record in one row, from one scan."""
+        return stage(self.tracking.agg(F.min("CreatedDate").alias("lo"), F.max("CreatedDate").alias("hi")))
+
     @cached_property
     def start(self) -> Column:
         if self.p.start:
             return F.lit(self.p.start).cast("timestamp_ntz")
-        return self.tracking.select(F.min("CreatedDate")).scalar()
+        return self._bounds.select("lo").scalar()
 
     @cached_property
     def end(self) -> Column:
         if self.p.end:
             return F.lit(self.p.end).cast("timestamp_ntz")
-        return self.tracking.select(F.max("CreatedDate")).scalar()
+        return self._bounds.select("hi").scalar()
 
     @cached_property
     def role(self) -> Column:
@@ -185,6 +189,7 @@ class ActionCompletion:
         return self.by_status.where(F.col("Status") != OPEN).select(F.sum("ActionsCount")).scalar()
 
     # ---------------------------------------------------------------- available
+    @cached_property
     def _history(self) -> DataFrame:
         t = self.tracking.join(self.eligible, "CTBeneficiaryID", "left_semi")
         t = t.where((F.col("IsReqforHistory") == 1) & flag_off("IsCustomActionTaken"))
@@ -192,13 +197,14 @@ class ActionCompletion:
         t = optional_in(t, "CategoryCode", self.p.values("category"))
         st = self.inp["ct_status"].select(F.col("Id").alias("_sid"), "Status", "StatusCategory")
         act = self.inp["ct_actions"].select(F.col("Id").alias("_aid"))
-        return (t.join(st, t["StatusId"] == st["_sid"])
-                 .join(act, t["ActionId"] == act["_aid"], "left_semi").drop("_sid"))
+        # read by the available and the aggregated branch, and by the tie look-up
+        return stage(t.join(st, t["StatusId"] == st["_sid"])
+                     .join(act, t["ActionId"] == act["_aid"], "left_semi").drop("_sid"))
 
     @cached_property
     def open_latest(self) -> DataFrame:
         """Latest rows (ties kept) per patient x category that are still OPEN."""
-        h = self._history().where(F.col("CreatedDate") <= self._next_day(self.end))
+        h = self._history.where(F.col("CreatedDate") <= self._next_day(self.end))
         latest = latest_with_ties(h, ["CTBeneficiaryID", "CTBeneficiaryCategoryID"], "CreatedDate")
         return latest.where(F.col("StatusCategory") == OPEN)
 
@@ -210,7 +216,7 @@ class ActionCompletion:
     # ---------------------------------------------------------------- aggregated
     @cached_property
     def status_row_count(self) -> DataFrame:
-        h = self._history().where(F.col("CreatedDate").between(self.start, self._next_day(self.end)))
+        h = self._history.where(F.col("CreatedDate").between(self.start, self._next_day(self.end)))
         h = self._scoped(h)
         return two_level_count(h, ["CTBeneficiaryID", "CTBeneficiaryCategoryID", "StatusCategory", "Status", "CreatedDate"],
                                ["CTBeneficiaryID", "StatusCategory", "Status", "CreatedDate"], "RowCount")

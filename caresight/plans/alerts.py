@@ -121,11 +121,11 @@ class AlertReport:
     @cached_property
     def doc_sub_info(self) -> DataFrame:
         n, s = self.npis.alias("n"), self.subs.alias("s")
-        return (n.join(s, F.col("n.NpiId") == F.col("s.NpiId"), "inner")
-                .join(self.users.alias("u"), F.col("s.UserId") == F.col("u.UserId"), "inner")
-                .select(F.col("n.NpiId"), F.col("s.UserId"),
-                        F.when(F.col("n.UserId") == F.col("s.UserId"), 1).otherwise(0).alias("IsDoctor"),
-                        F.col("u.FN"), F.col("u.LN"), F.col("u.UserName")))
+        return stage(n.join(s, F.col("n.NpiId") == F.col("s.NpiId"), "inner")
+                     .join(self.users.alias("u"), F.col("s.UserId") == F.col("u.UserId"), "inner")
+                     .select(F.col("n.NpiId"), F.col("s.UserId"),
+                             F.when(F.col("n.UserId") == F.col("s.UserId"), 1).otherwise(0).alias("IsDoctor"),
+                             F.col("u.FN"), F.col("u.LN"), F.col("u.UserName")))
 
     # ------------------------------------------------------------ alerts and actions
     @cached_property
@@ -223,15 +223,6 @@ class AlertReport:
             aggs.append(F.countDistinct("BenId").alias(patients))
         return df.groupBy("NpiId").agg(*aggs)
 
-    @cached_property
-    def received(self) -> DataFrame:
-        return self._per_npi(self.kept, "AlertsReceived", "PatientsReceived")
-
-    @cached_property
-    def read_counts(self) -> DataFrame:
-        return self._per_npi(self.kept.join(self.reads.select("AlertId"), "AlertId", "left_semi"),
-                             "AlertsRead", "PatientsRead")
-
     @cached_property
     def not_read_as_written(self) -> DataFrame:
         """As written the "unread" set joins kept alerts to themselves on their key, so it
@@ -248,16 +239,6 @@ class AlertReport:
         return self._per_npi(anti(self.kept, self.reads.select("AlertId"), "AlertId"),
                              "AlertsNotRead", "PatientsNotRead")
 
-    @cached_property
-    def acted(self) -> DataFrame:
-        act = self.kept.join(self.actions.select("AlertId").distinct(), "AlertId", "left_semi")
-        return self._per_npi(act, "AlertsWActions", "PatientsWActions")
-
-    @cached_property
-    def not_acted(self) -> DataFrame:
-        return self._per_npi(anti(self.kept, self.actions.select("AlertId"), "AlertId"),
-                             "AlertsWNoActions", "PatientsWNoActions")
-
     # ------------------------------------------------------------ response buckets
     def _timings(self, first: DataFrame, done: str) -> DataFrame:
         d = self.doc_sub_info.select("NpiId", "UserId", "IsDoctor")
@@ -267,11 +248,11 @@ class AlertReport:
 
     @cached_property
     def read_timings(self) -> DataFrame:
-        return self._timings(self.first_reads, "DateRead")
+        return stage(self._timings(self.first_reads, "DateRead"))
 
     @cached_property
     def action_timings(self) -> DataFrame:
-        return self._timings(self.first_actions, "DateAction")
+        return stage(self._timings(self.first_actions, "DateAction"))
 
     FLAGS = ["Less24", "OneToThreeBD", "MoreThreeBD"]
 
