@@ -66,6 +66,11 @@ select case when l.l_orderkey % 101 = 7 then cast(null as bigint) else o.o_custk
 from {{lineitem}} l
 join {{orders}} o on l.l_orderkey = o.o_orderkey
 join {{part}} p on l.l_partkey = p.p_partkey""",
+    # some (claim, line) rows come twice, as the sources have them
+    "claim_copies": """
+select b.*, 1 as copy from {claim_base} b
+union all
+select b.*, 2 as copy from {claim_base} b where cur_clm_uniq_id % 23 = 5 or cur_clm_uniq_id % 19 = 4""",
     "part_a": f"""
 select beneficiary_id, cur_clm_uniq_id, clm_from_dt, clm_line_num, clm_type_cd,
        clm_line_from_dt, clm_line_thru_dt, clm_line_hcpcs_cd, oprtg_prvdr_npi_num,
@@ -73,8 +78,7 @@ select beneficiary_id, cur_clm_uniq_id, clm_from_dt, clm_line_num, clm_type_cd,
        fac_prvdr_npi_num, case when copy = 2 then '0' else atndg_prvdr_npi_num end as atndg_prvdr_npi_num,
        cast(null as string) as othr_prvdr_npi_num,
        clm_adjsmt_type_cd, clm_line_srvc_unit_qty, clm_header_pmt_amnt, clm_line_pmt_amnt
-from {{claim_base}} cross join (values (1), (2)) as twice(copy)
-where line_status = 'O' and (copy = 1 or cur_clm_uniq_id % 23 = 5)""",
+from {{claim_copies}} where line_status = 'O' and (copy = 1 or cur_clm_uniq_id % 23 = 5)""",
     "cclf4": f"""
 select cur_clm_uniq_id, src_line as clm_val_sqnc_num, {_dx('bn')} as clm_dgns_cd
 from {{claim_base}} where line_status = 'O'""",
@@ -92,8 +96,7 @@ select beneficiary_id, cur_clm_uniq_id, clm_line_num, clm_line_pmt_amnt as clm_l
        clm_line_thru_dt, clm_line_srvc_unit_qty,
        clm_adjsmt_type_cd, oprtg_prvdr_npi_num as rndrg_prvdr_npi_num,
        atndg_prvdr_npi_num as clm_rfrg_prvdr_npi_num
-from {{claim_base}} cross join (values (1), (2)) as twice(copy)
-where line_status = 'F' and (copy = 1 or (cur_clm_uniq_id % 19 = 4 and clm_line_hcpcs_cd like '99213%'))""",
+from {{claim_copies}} where line_status = 'F' and (copy = 1 or (cur_clm_uniq_id % 19 = 4 and clm_line_hcpcs_cd like '99213%'))""",
     "lu_icd10": f"""
 select code as ICD10, concat({_desc('code')}, more) as description
 from (values ('C50911', ''), ('C3490', ''), ('C61', ''), ('C61', ', old text'), ('C439', ''), ('C189', ''), ('C189', ' (2)'),
@@ -117,9 +120,8 @@ select UserId as NpiId, UserId as PhysicianUserId,
        case when UserId % 24 = 0 then 1 else 0 end as isMAProvider
 from {users} where UserId % 3 = 0""",
     # each provider's subscribers: the users whose ids lie 0, 10, .. 40 above the provider's
-    "subs": """
-select n.NpiId, u.UserId from (select n.NpiId, n.NpiId + k.k as sub from {npis} n
-  cross join (values (0), (10), (20), (30), (40)) as k(k)) n join {users} u on u.UserId = n.sub""",
+    "subs": "\nunion all".join(f"""
+select n.NpiId, u.UserId from {{npis}} n join {{users}} u on u.UserId = n.NpiId + {k}""" for k in range(0, 50, 10)),
     "alerts": """
 select event_id as AlertId, user_id - user_id % 3 as NpiId,
        case when event_id % 50 = 0 then cast(null as bigint) else user_id * 8 + event_id % 8 end as BenId,
@@ -202,7 +204,8 @@ union all select distinct CreatedBy, 6 from {tracking} where CreatedBy = 8""",
 select c.c_custkey as ID, c.c_mktsegment as Insurance,
        concat('Dr', cast(c.c_custkey % 9 as string)) as PhysicianName, s.s_suppkey as NPIId,
        case when c.c_custkey % 9 = 0 then c.c_nationkey else s.s_nationkey end as EntityId
-from {customer} c join {supplier} s on s.s_suppkey = c.c_custkey % (select count(*) from {supplier})""",
+from (select cc.*, cc.c_custkey % (select count(*) from {supplier}) as supplier_no from {customer} cc) c
+join {supplier} s on s.s_suppkey = c.supplier_no""",
     "ct_subscriptions": """
 select s_suppkey as NpiId, s_suppkey % 10 as UserId,
        case when s_suppkey % 4 = 0 then 0 else 1 end as ShowCareTracker from {supplier}""",

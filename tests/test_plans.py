@@ -19,13 +19,62 @@ def test_no_pairs_no_python(spark, name):
         assert bad not in p, (name, bad)
 
 
-def test_extract_pushes_filter_and_prunes(spark):
-    df = QUERIES["claims_extract"](spark, SF)
-    p = _plan(df)
+@pytest.fixture(scope="module")
+def part_a(spark, tmp_path_factory):
+    """Claim lines as a stored table."""
+    from caresight.sources.adapters import Inputs
+    path = f"file:{tmp_path_factory.mktemp('claims')}/part_a"
+    Inputs(spark, SF)["part_a"].write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_extract_pushes_filter_and_prunes(part_a):
+    from caresight.sources.tables import extract_claims
+    p = _plan(extract_claims(part_a, "1997-01-01", ["beneficiary_id", "clm_from_dt", "clm_line_hcpcs_cd"]))
     assert "PushedFilters: [IsNotNull(clm_from_dt), GreaterThan(clm_from_dt," in p
     assert "ReadSchema: struct<beneficiary_id" in p and "clm_type_cd" not in p.split("ReadSchema:")[1].split("\n")[0]
 
 
-def test_code_sets_are_not_joins(spark):
-    p = _plan(QUERIES["classify_stage"](spark, SF))
-    assert "Join" not in p
+def test_code_filter_is_pushed_and_loses_nothing(spark, part_a):
+    from caresight.functions.codes import LINE_CODES
+    from caresight.operators.filters import filter_code_set
+    found = filter_code_set(part_a, "clm_line_hcpcs_cd", LINE_CODES)
+    assert "LessThanOrEqual(clm_line_hcpcs_cd" in _plan(found).split("PushedFilters:")[1].split("\n")[0]
+    rows = [r.clm_line_hcpcs_cd for r in part_a.collect()]
+    assert found.count() == sum(c is not None and c.strip(" ") in set(LINE_CODES) for c in rows)
+    odd = spark.createDataFrame([(c,) for c in ["  77263", "77263   ", "77263x", "", None, " ", "G6015 ", "zz"]], "c string")
+    assert sorted(r.c for r in filter_code_set(odd, "c", LINE_CODES).collect()) == ["  77263", "77263   ", "G6015 "]
+
+
+def test_code_sets_are_not_joins(part_a):
+    from caresight.plans.oncology import classify_stage
+    assert "Join" not in _plan(classify_stage(part_a))
+
+
+def test_claim_tables_are_read_twice(spark):
+    """Once for the cohort and once for the lines; everything later reads the staged lines."""
+    from caresight.plans.oncology import OncologyJob
+    from caresight.sources.adapters import Inputs
+    from caresight.sources.tables import Owned
+    reads = {"part_a": 0, "part_b": 0, "cclf4": 0}
+    with Owned() as own:
+        made = Inputs(spark, SF)
+
+        class Counting:
+            def __getitem__(self, name):
+                reads[name] = reads.get(name, 0) + 1
+                return made[name]
+        job = OncologyJob(Counting(), None)
+        assert job.filtered.count() > 0
+    own.release()
+    assert reads["part_a"] == 1 and reads["part_b"] == 1 and reads["cclf4"] == 2  # handles; a and b are used twice each
+
+
+def test_building_a_frame_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    for name in ("filtered_claims", "alert_report", "action_completion", "provider_roster"):
+        QUERIES[name](spark, SF)
+    stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup("building") for i in tracker.getJobInfo(j).stageIds]
+    assert {s.name.split(" ")[0] for s in stages if s} <= {"parquet"}  # footers are read for the schemas
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
