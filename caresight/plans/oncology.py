@@ -27,7 +27,7 @@ from caresight.functions.codes import (LINE_CODES, MODALITY_CODES, MODALITY_PRIO
                                        BODY_AREA_CODES, UNKNOWN)
 from caresight.functions.scalars import fallback, signed_amount
 from caresight.operators.aggregates import count_if
-from caresight.operators.filters import any_in_set, classify, code_table, filter_code_set, first_matching
+from caresight.operators.filters import classify, code_table, filter_code_set, first_matching
 from caresight.operators.scans import anchor_groups, nearest_within
 from caresight.operators.windows import priority_label
 from caresight.sources.tables import extract_claims, stage
@@ -76,12 +76,15 @@ def cohort(part_a: DataFrame, cclf4: DataFrame, part_b: DataFrame, cancer: DataF
     table of diagnosis codes (column icd_code).
 
     Part A: a treatment line whose claim carries a cancer diagnosis row — a semi join on
-    the claim, so claims with many diagnosis rows do not multiply lines.
+    the claim, so claims with many diagnosis rows do not multiply lines. Part B: the six
+    diagnosis columns go through one semi join as (patient, code) rows, which the distinct reduces.
     """
     a = (filter_code_set(part_a, CODE, TREATMENT_CODES)
          .join(_cancer_claims(cclf4, cancer), "cur_clm_uniq_id", "left_semi").select(BENE))
-    b = any_in_set(filter_code_set(part_b, CODE, TREATMENT_CODES), [c for c, _ in PART_B_DX], cancer, "_cancer", "icd_code")
-    return a.union(b.where("_cancer").select(BENE)).distinct()
+    b = (filter_code_set(part_b, CODE, TREATMENT_CODES)
+         .select(BENE, F.explode(F.array(*[c for c, _ in PART_B_DX])).alias("_dx"))
+         .join(code_table(cancer, "icd_code"), F.col("_dx") == F.col("code"), "left_semi").select(BENE))
+    return a.union(b).distinct()
 
 
 def one_per_key(df: DataFrame, keys: list[str], first_by: list[str] = []) -> DataFrame:  # noqa: B006

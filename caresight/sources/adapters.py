@@ -68,9 +68,9 @@ join {{orders}} o on l.l_orderkey = o.o_orderkey
 join {{part}} p on l.l_partkey = p.p_partkey""",
     # some (claim, line) rows come twice, as the sources have them
     "claim_copies": """
-select b.*, 1 as copy from {claim_base} b
-union all
-select b.*, 2 as copy from {claim_base} b where cur_clm_uniq_id % 23 = 5 or cur_clm_uniq_id % 19 = 4""",
+select b.*, c.copy from {claim_base} b
+join (select * from (values (1, 0), (1, 1), (2, 1)) as t(copy, twice)) c
+  on c.twice = case when b.cur_clm_uniq_id % 23 = 5 or b.cur_clm_uniq_id % 19 = 4 then 1 else 0 end""",
     "part_a": f"""
 select beneficiary_id, cur_clm_uniq_id, clm_from_dt, clm_line_num, clm_type_cd,
        clm_line_from_dt, clm_line_thru_dt, clm_line_hcpcs_cd, oprtg_prvdr_npi_num,
