@@ -6,6 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from caresight.llm.op10_chat import op10_chat
+from caresight.llm.op11_importance import SQL as IMPORTANCE_SQL, op11_importance
+from caresight.llm.op12_periodic_runs import op12_periodic_runs
+from caresight.llm.op13_packing import op13_packing
 from caresight.llm.op1_decontaminate import op1_decontaminate
 from caresight.llm.op2_simhash import op2_simhash
 from caresight.llm.op3_token_counts import op3_token_counts
@@ -27,5 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_chat": op10_chat,
+    "op11_importance": op11_importance,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_packing": op13_packing,
 }
-ORACLE: dict[str, str] = {"op4_secrets": SECRETS_SQL, "op6_warc": WARC_SQL}
+ORACLE: dict[str, str] = {"op4_secrets": SECRETS_SQL, "op6_warc": WARC_SQL, "op11_importance": IMPORTANCE_SQL}
