@@ -10,10 +10,9 @@ are nearly equal. If the fullest is over capacity, the same is done with one win
 What a task has left at its end fills its windows exactly or goes, cut again, into sequences whose
 lengths are powers of two (these are not padded), so small partitions cost no padding either.
 
-Ids are those of the ``tokenizers`` library. Texts are cut at single spaces and line ends between solid
-characters (``textunits`` says why this is safe); the different units of some MB of text are encoded
-once, in joined strings whose ids are told apart by their leading space or line end, by the faster
-engine of ``tiktoken`` over the same merges. Units with other characters or strings of added tokens, and
+Ids are those of the ``tokenizers`` library. The different units of some MB of text (``unitids``) are
+encoded once, in joined strings whose ids are told apart by their leading space or line end, by the
+faster engine of ``tiktoken`` over the same merges. Units with other characters or strings of added tokens, and
 texts that can't be cut so everywhere, go to the library itself. Tests hold both against the library.
 
 No row is shuffled, so no key can be hot. A sequence's number holds that of the partition that made it.
@@ -34,14 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caresight.llm.common import by_bytes, column, map_in_arrow, table
-from caresight.llm.textunits import SOLID, spans
+from caresight.llm.unitids import UnitCoder, joined
 
 #: Ids of a sequence, of a piece at most; windows of a group; ids left free in each for balance.
 LENGTH, PIECE, WINDOWS, FREE = 2048, 512, 256, 8
-#: Bytes of text whose units are told apart at a time, characters of units per call.
+#: Bytes of text per group of rows, bytes of units per call.
 GROUP_BYTES, CALL_CHARS = 1 << 23, 1 << 16
-#: Units (a leading line end or none) by what the merges' own engine may take, and by what may be cut.
-PLAIN, SOUND = f"^\n?[{SOLID}]+$", f"^\n?[{SOLID}](?:[^ \n]*[{SOLID}])?$"
 
 _encoders: dict[str, Encoder] = {}
 
@@ -54,7 +51,7 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Encoder:
+class Encoder(UnitCoder):
     """Ids of texts by a byte-level BPE file of the ``tokenizers`` library."""
 
     def __init__(self, path: str):
@@ -77,75 +74,29 @@ class Encoder:
         self.leads = np.zeros(max([*ranks.values(), *added.values()]) + 1, bool)
         self.leads[[i for w, i in ranks.items() if w[:1] in (b" ", b"\n")]] = True
 
-    def _whole(self, strings: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+    def _library(self, string: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([string], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all units in a pool, where those of each begin and how many they are, and which
-        units can't be cut out."""
-        plain = pc.match_substring_regex(units, PLAIN)
+    code_text = _library
+
+    def code_units(self, units: pa.Array, plain: np.ndarray, sound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for special in self.added:
-            plain = pc.and_not(plain, pc.match_substring(units, special))
-        plain = plain.to_numpy(zero_copy_only=False)
-        odd = ~plain
-        odd[odd] = ~pc.match_substring_regex(units.filter(pa.array(odd)), SOUND).to_numpy(zero_copy_only=False)
-        led = pc.if_else(pc.starts_with(units, "\n"), units, pc.binary_join_element_wise(pa.scalar("", units.type), units, pa.scalar(" ", units.type)))
-        pool, starts, sizes, n = [], np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), 0
+            plain = plain & ~pc.match_substring(units, special).to_numpy(zero_copy_only=False)
+        pool, starts, sizes, n = [np.zeros(0, np.uint32)], np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), 0
         where = np.flatnonzero(plain)
-        strings = led.take(pa.array(where))
-        _, at, body = strings.buffers()
-        at = np.frombuffer(at, np.int64)[strings.offset:strings.offset + len(strings) + 1]
-        calls = np.flatnonzero(np.diff(at[:-1] // CALL_CHARS, prepend=-1, append=-1)) if len(where) else []
-        for a, z in zip(calls[:-1], calls[1:]):
-            ids = np.array(self.merges.encode_ordinary(body[at[a]:at[z]].to_pybytes().decode()), np.uint32)
+        for a, z, string in joined(units.take(pa.array(where)), CALL_CHARS):
+            ids = np.array(self.merges.encode_ordinary(string), np.uint32)
             cuts = np.flatnonzero(self.leads[ids])
             starts[where[a:z]] = n + cuts
             sizes[where[a:z]] = np.diff(cuts, append=len(ids))
             pool.append(ids)
             n += len(ids)
-        for i in np.flatnonzero(~plain & ~odd).tolist():
-            ids = self._whole([led[i].as_py()])[0]
+        for i in np.flatnonzero(sound & ~plain).tolist():
+            ids = self._library(units[i].as_py())
             starts[i], sizes[i] = n, len(ids)
             pool.append(ids)
             n += len(ids)
-        return np.concatenate([*pool, np.zeros(0, np.uint32)]), starts, sizes, odd
-
-    def _group(self, parts: list[tuple[bool, str]]) -> list[np.ndarray]:
-        """Ids of parts of texts; a part that is not its text's first follows a space."""
-        # a first part gets a line end before it, whose id is taken off again
-        marked = pa.array([("" if later else "\n") + t.replace("\n", " \n") for later, t in parts], pa.large_string())
-        cut = pc.split_pattern(marked, " ")
-        coded = cut.values.dictionary_encode()
-        pool, starts, sizes, odd = self._units(coded.dictionary)
-        which = coded.indices.to_numpy()
-        lengths = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = pool[np.repeat(starts[which] - ends[:-1], lengths) + np.arange(ends[-1])]
-        bounds = cut.offsets.to_numpy()
-        strange = np.concatenate([[0], np.cumsum(odd[which])])[bounds]
-        own = ends[bounds].tolist()
-        out = []
-        for k, (later, text) in enumerate(parts):
-            if strange[k + 1] > strange[k]:
-                out.append(self._whole([" " * later + text])[0])
-            else:
-                out.append(ids[own[k] + (not later):own[k + 1]])
-        return out
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        parts = [(row, n > 0, part) for row, text in enumerate(texts) for n, part in enumerate(spans(text))]
-        at = 0
-        while at < len(parts):
-            to, size = at, 0
-            while to < len(parts) and (size == 0 or size < GROUP_BYTES):
-                size += len(parts[to][2]) + 1
-                to += 1
-            for (row, _, _), ids in zip(parts[at:to], self._group([(later, t) for _, later, t in parts[at:to]])):
-                out[row].append(ids)
-            at = to
-        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
+        return np.concatenate(pool), starts, sizes
 
 
 def encoder(path: str) -> Encoder:
