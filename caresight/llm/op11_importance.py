@@ -41,7 +41,8 @@ class Features:
     """Features of a group of texts: ``bucket`` of each, text by text, and where each text's begin."""
 
     def __init__(self, texts: pa.Array, order: int, buckets: int):
-        lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())), BREAKS)
+        # lower first: ascii_lower goes wrong on a large_string array with an offset
+        lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.large_string()), BREAKS)
         words = pc.list_flatten(lists)
         full = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
         coded = words.filter(pa.array(full)).dictionary_encode()
@@ -49,19 +50,19 @@ class Features:
         ends = lists.offsets.to_numpy()
         ends = before[ends - ends[0]]  # words before each text
         which = coded.indices.to_numpy().astype(np.int64)
-        names = [w.encode() for w in coded.dictionary.to_pylist()]
+        names = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        words = names
         self.n_words = np.diff(ends)
         text_of = np.repeat(np.arange(len(self.n_words)), self.n_words)
-        n_words, grams = len(which), which
+        n_words, grams = len(which), which  # of all texts on end
         found, texts_of = [self._hashed(names, buckets)[which]], [text_of]
         for n in range(2, order + 1):
             # an n-gram: the (n-1)-gram here and the word n - 1 further on, in the same text
             grams = grams[:n_words - n + 1] if len(grams) else grams
             inside = text_of[:len(grams)] == text_of[n - 1:n - 1 + len(grams)]
-            pairs = grams * max(1, len(coded.dictionary)) + which[n - 1:n - 1 + len(grams)]
+            pairs = grams * max(1, len(words)) + which[n - 1:n - 1 + len(grams)]
             different, back = np.unique(pairs, return_inverse=True)
-            word = coded.dictionary.to_pylist()
-            names = [names[p // len(word)] + b" " + word[p % len(word)].encode() for p in different.tolist()]
+            names = [names[p // len(words)] + b" " + words[p % len(words)] for p in different.tolist()]
             grams = back
             found.append(self._hashed(names, buckets)[back][inside])
             texts_of.append(text_of[:len(grams)][inside])
