@@ -19,7 +19,7 @@ from caresight.session import ensure_checkpoint_dir
 HOT_SHARE = 1000
 
 #: Words whose hash a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 100_000
 
 _shipped: set[str] = set()
 
@@ -114,6 +114,17 @@ def join_by_key(facts: DataFrame, keyed: DataFrame, keys: Sequence[str], total:
     return by_broadcast.unionByName(by_shuffle)
 
 
+def plainly_named(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ..: whatever they were called, no name that an operator
+    adds clashes with them. ``named_again`` gives the names back."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def named_again(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The plainly named columns of ``df`` under the names that they have in ``like``."""
+    return df.select(*[f"c{i}" for i in range(len(like.columns))]).toDF(*like.columns)
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], text: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold about ``limit`` bytes of text (UTF-8) each, one row at least."""
     import numpy as np

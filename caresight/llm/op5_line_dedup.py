@@ -1,24 +1,34 @@
 r"""Line dedup by a log-template tree.
 
-A line (\n-split) of MIN_TOKENS tokens or more (runs without ASCII white space) goes down a tree of
-fixed depth: by its number of tokens, then by its first HEAD tokens; tokens that hold a digit count
-as the variable <*> everywhere. In a leaf, a line joins the template that agrees with it at the
-most positions, if these are SIMILAR of all at least, and positions that differ become <*>; else it
-opens a template. Lines come in a fixed order (that of their tokens' 16-bit hashes; positions are
-compared by these), so the templates do not depend on how the work is split. A node with over
-NODE_LINES different lines is divided by its next token, as often as needed, so a node is bounded.
+A line (\n-split) is taken as its tokens (runs without ASCII white space); tokens that hold a digit
+count as the variable <*>. It goes down a tree of fixed depth: by its number of tokens, then by its
+first HEAD tokens. In a leaf, a line joins the template
+that agrees with it at the most positions (of several the oldest), if these are SIMILAR of its fixed
+tokens at least, and positions that differ become <*>; else it opens a template. Lines come in a fixed
+order (that of their other tokens' 16-bit hashes; positions are compared by these), so the templates
+depend neither on how the work is split nor on how many lines a leaf holds.
+
+Where SIMILAR leaves no token to differ (fewer than EXACT fixed tokens: most menu, footer and heading
+lines), the line is a template of its own, in a leaf of its own. A line without a fixed token is
+compared as it stands, so that rows of numbers recur only if the numbers do.
+
+In a leaf with many templates, a line is not compared with all: of its fixed tokens behind the leading
+ones, cut into one segment more than may differ, one segment agrees with any template that it can join.
+The templates that agree in a segment are found by an index, and only these are compared.
 
 A template that occurs in two different documents or more is recurring: its lines stay in the
 document with the smallest id and are dropped from all others. Whole copies of a text so lose all
 their lines but once.
 
 Equal lines are merged inside each task before the one shuffle by leaf, and the lines' fate goes
-back by ``join_by_key``: a line that a third of all documents share fills no task.
+back by ``join_by_key``: a line that a third of all documents share fills no task. A leaf is settled by
+one task that holds two bytes for each token behind the leading ones of its different lines.
 
 Defined cases: null or empty text: no lines; kept as it is. Null ids: told apart by their text, and
-counted after all others. Rows that repeat an id are one document. Documents that lose all their
-lines with a token are removed by ``drop_recurring`` (n_lines = 0 in ``line_dedup``, where they
-stay). Empty table: no rows. Extra columns are kept by ``drop_recurring``; n_chars is renewed.
+counted after all others. Ids that are no integers count by a 62-bit hash. Rows that repeat an id are
+one document. Documents that lose all their lines with a token are removed by ``drop_recurring``
+(n_lines = 0 in ``line_dedup``, where they stay). Empty table: no rows. Extra columns, of any name, are
+kept by ``drop_recurring``; n_chars is renewed.
 """
 from __future__ import annotations
 
@@ -28,26 +38,31 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 from xxhash import xxh32_intdigest, xxh64_intdigest
 
-from caresight.llm.common import by_bytes, checkpointed, column, join_by_key, map_in_arrow, table
+from caresight.llm.common import by_bytes, checkpointed, column, join_by_key, map_in_arrow, named_again, plainly_named, table
 
-MIN_TOKENS, HEAD, SIMILAR, NODE_LINES = 5, 4, 0.8, 512
-#: Different lines that a task merges before it passes them on; rows of a leaf stream at a time.
-MERGED, ROWS = 100_000, 20_000
-DIGIT, GAPS = re.compile(rb"\d"), b" \t\n\r\x0b\x0c"
+#: Leading tokens, similarity, fixed tokens of which one may differ.
+HEAD, SIMILAR, EXACT = 4, 0.8, 5
+#: Different lines that a task merges before it passes them on; rows of a leaf stream at a time;
+#: templates of a leaf from which on the index is used.
+MERGED, ROWS, INDEXED = 50_000, 20_000, 32
+DIGITS, DIGIT, GAPS = b"0123456789", re.compile(rb"\d"), b" \t\n\r\x0b\x0c"
 VARIABLE = b"<*>"
 
 
-def masked(line: bytes) -> list[bytes] | None:
-    """A line's tokens, those with a digit as <*>; None if there are too few."""
+def masked(line: bytes) -> tuple[list[bytes], int] | None:
+    """A line's tokens, those with a digit as <*> (unless all are), and how many are fixed; None if
+    it has no token."""
     tokens = line.split()
-    if len(tokens) < MIN_TOKENS:
+    if not tokens:
         return None
     if DIGIT.search(line):
-        tokens = [VARIABLE if DIGIT.search(t) else t for t in tokens]
-    return tokens
+        general = [VARIABLE if len(t.translate(None, DIGITS)) < len(t) else t for t in tokens]
+        fixed = len(tokens) - general.count(VARIABLE)
+        return (general, fixed) if fixed else (tokens, 0)
+    return tokens, len(tokens)
 
 
 def _signed(h: int) -> int:
@@ -66,7 +81,7 @@ class _TokenHashes(dict):
     """16-bit hash of each token (0: variable), remembered within a bound."""
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[token] = h = 0 if token == VARIABLE else xxh32_intdigest(token) % 65535 + 1
         return h
@@ -75,97 +90,130 @@ class _TokenHashes(dict):
 _token_hashes = _TokenHashes()
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
+def row_key(doc_id: Column, text: Column, integral: bool) -> Column:
     """The document a row belongs to; rows without an id come last, told apart by their text."""
-    return F.coalesce(doc_id.cast("long"), F.lit(1 << 62) + F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)))
+    low = F.lit((1 << 62) - 1)
+    known = doc_id.cast("long") if integral else F.when(doc_id.isNotNull(), F.xxhash64(doc_id.cast("string")).bitwiseAND(low))
+    return F.coalesce(known, F.lit(1 << 62) + F.xxhash64(text).bitwiseAND(low))
 
 
 def _lines(read: DataFrame) -> DataFrame:
-    """leaf, line, tokens (16-bit hashes), first, last (documents), n: different lines, merged by task."""
+    """leaf, line, fixed (leading tokens that are), tokens (16-bit hashes of the others), first, last
+    (documents), n: different lines, merged by task. A line that must be met whole has no tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, list] = {}
 
         def passed_on() -> pa.RecordBatch:
-            cols = list(zip(*seen.values())) or [[]] * 5
-            out = [pa.array(cols[0], pa.int64()), pa.array(list(seen), pa.int64()), pa.array(cols[1], pa.binary()),
-                   *[pa.array(c, pa.int64()) for c in cols[2:]]]
+            cols = list(zip(*seen.values())) or [[]] * 6
+            out = [pa.array(cols[0], pa.int64()), pa.array(list(seen), pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
+                   *[pa.array(c, pa.int64()) for c in cols[3:]]]
             seen.clear()
-            return pa.RecordBatch.from_arrays(out, ["leaf", "line", "tokens", "first", "last", "n"])
+            return pa.RecordBatch.from_arrays(out, ["leaf", "line", "fixed", "tokens", "first", "last", "n"])
 
         for batch in by_bytes(batches, 1, 1 << 22):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = set()
                 for raw in set(text.encode().split(b"\n")):
-                    tokens = masked(raw)
-                    if tokens is None:
+                    got = masked(raw)
+                    if got is None:
                         continue
+                    tokens, fixed = got
                     line = signature(tokens)
                     if line in own:
                         continue
                     own.add(line)
-                    got = seen.get(line)
-                    if got is None:
-                        seen[line] = [leaf(tokens), np.fromiter(map(_token_hashes.__getitem__, tokens), ">u2", len(tokens)).tobytes(), doc, doc, 1]
+                    known = seen.get(line)
+                    if known is not None:
+                        known[3], known[4], known[5] = min(known[3], doc), max(known[4], doc), known[5] + 1
+                    elif fixed < EXACT:
+                        seen[line] = [line, 0, b"", doc, doc, 1]
                     else:
-                        got[2], got[3], got[4] = min(got[2], doc), max(got[3], doc), got[4] + 1
+                        tail = tokens[HEAD:]
+                        ahead = HEAD - tokens[:HEAD].count(VARIABLE)
+                        seen[line] = [leaf(tokens), ahead, np.array([_token_hashes[t] for t in tail], ">u2").tobytes(), doc, doc, 1]
             if len(seen) > MERGED:
                 yield passed_on()
         yield passed_on()
 
-    return map_in_arrow(read, run, "leaf long, line long, tokens binary, first long, last long, n long")
-
-
-def templates(node: list[np.ndarray], similar: float = SIMILAR) -> list[int]:
-    """For each of a node's lines (equal numbers of tokens) the number of its template."""
-    width, out = len(node[0]), []
-    made, n = np.zeros((len(node), width), np.uint16), 0
-    for line in node:
-        if n:
-            same = ((made[:n] == line) & (line != 0)).sum(axis=1)
+    return map_in_arrow(read, run, "leaf long, line long, fixed long, tokens binary, first long, last long, n long")
+
+
+class _Index:
+    """Templates of a leaf by what they hold in the segments of lines with certain fixed positions."""
+
+    def __init__(self):
+        self.kinds: dict[bytes, tuple[list[np.ndarray], list[dict[bytes, list[int]]]]] = {}
+
+    def add(self, template: np.ndarray, number: int) -> None:
+        for segments, found in self.kinds.values():
+            for where, by_content in zip(segments, found):
+                by_content.setdefault(template[where].tobytes(), []).append(number)
+
+    def near(self, line: np.ndarray, fixed: np.ndarray, may_differ: int, made: np.ndarray) -> list[int]:
+        """Templates that hold the line's tokens in a segment, oldest first."""
+        kind = fixed.tobytes()
+        if kind not in self.kinds:
+            segments = np.array_split(np.flatnonzero(fixed), may_differ + 1)
+            found: list[dict[bytes, list[int]]] = [{} for _ in segments]
+            for where, by_content in zip(segments, found):
+                for number, content in enumerate(made[:, where]):
+                    by_content.setdefault(content.tobytes(), []).append(number)
+            self.kinds[kind] = segments, found
+        segments, found = self.kinds[kind]
+        return sorted({n for where, by_content in zip(segments, found) for n in by_content.get(line[where].tobytes(), ())})
+
+
+def templates(lines: np.ndarray, ahead: int, similar: float = SIMILAR, indexed: int = INDEXED) -> list[int]:
+    """For each line of a leaf (a row of token hashes, 0 for a variable) the number of its template;
+    ``ahead`` fixed tokens before these are the same in all."""
+    made, n, out, index = np.zeros((16, lines.shape[1]), lines.dtype), 0, [], None
+    for line in lines:
+        fixed = line != 0
+        count = int(np.count_nonzero(fixed))
+        may_differ = int((1 - similar) * (ahead + count) + 1e-9)
+        if n <= indexed or may_differ >= count:
+            near = np.arange(n)
+        else:
+            if index is None:
+                index = _Index()
+            near = np.array(index.near(line, fixed, may_differ, made[:n]), int)
+        if len(near):
+            same = ((made[near] == line) & fixed).sum(axis=1)
             best = int(same.argmax())
-            # variables of the line itself need not agree
-            if same[best] >= similar * np.count_nonzero(line) and same[best] > 0:
-                made[best][made[best] != line] = 0
-                out.append(best)
+            if count - same[best] <= may_differ:
+                own = made[near[best]]
+                own[own != line] = 0
+                out.append(int(near[best]))
                 continue
+        if n == len(made):
+            made = np.concatenate([made, np.zeros_like(made)])
         made[n] = line
+        if index is not None:
+            index.add(line, n)
         out.append(n)
         n += 1
     return out
 
 
-def _nodes(lines: list[np.ndarray], depth: int, most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of the sorted lines of a leaf that stand in one node."""
-    at = [(0, len(lines), depth)]
-    while at:
-        a, z, d = at.pop()
-        if z - a <= most or d >= len(lines[a]):
-            yield a, z
-            continue
-        cuts = [a, *[i for i in range(a + 1, z) if lines[i][d] != lines[i - 1][d]], z]
-        at.extend((x, y, d + 1) for x, y in zip(cuts, cuts[1:]))
-
-
 def recurring(read: DataFrame) -> DataFrame:
     """line, template, keep (document that keeps it), n (documents with the line) of recurring templates."""
     merged = (_lines(read).repartition("leaf").groupBy("leaf", "line")
-              .agg(F.first("tokens").alias("tokens"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")))
+              .agg(F.first("fixed").alias("fixed"), F.first("tokens").alias("tokens"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")))
 
     def settled(t: pa.Table) -> pa.RecordBatch:
         """Templates of whole leaves."""
-        leaves, line, first, last, n = (t.column(c).to_numpy() for c in (0, 1, 3, 4, 5))
+        leaves, line, ahead, first, last, n = (t.column(c).to_numpy() for c in (0, 1, 2, 4, 5, 6))
         number = np.arange(len(leaves))  # of the template: its first row
         starts = np.flatnonzero(np.concatenate([[True], leaves[1:] != leaves[:-1]]))
         ends = np.append(starts[1:], len(leaves))
-        tokens = t.column(2).combine_chunks()
+        tokens = t.column(3).combine_chunks()
         for a, z in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-            node = [np.frombuffer(x, ">u2").astype(np.uint16) for x in tokens.slice(a, z - a).to_pylist()]
-            for x, y in _nodes(node, HEAD, NODE_LINES):
-                own = np.array(templates(node[x:y]))
-                heads = np.full(own.max() + 1, y - x)
-                np.minimum.at(heads, own, np.arange(y - x))
-                number[a + x:a + y] = a + x + heads[own]
+            lines = np.frombuffer(b"".join(tokens.slice(a, z - a).to_pylist()), ">u2").astype(np.uint16).reshape(z - a, -1)
+            own = np.array(templates(lines, int(ahead[a])))
+            heads = np.full(own.max() + 1, z - a)
+            np.minimum.at(heads, own, np.arange(z - a))
+            number[a:z] = a + heads[own]
         low, high = first.copy(), last.copy()
         np.minimum.at(low, number, first)
         np.maximum.at(high, number, last)
@@ -204,7 +252,7 @@ def _dropped(read: DataFrame) -> DataFrame:
         for batch in by_bytes(batches, 1, 1 << 22):
             docs, lines = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = {signature(t) for t in map(masked, set(text.encode().split(b"\n"))) if t}
+                own = {signature(got[0]) for got in map(masked, set(text.encode().split(b"\n"))) if got}
                 docs += [doc] * len(own)
                 lines += own
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(lines, pa.int64())], ["doc", "line"])
@@ -215,14 +263,20 @@ def _dropped(read: DataFrame) -> DataFrame:
     return lost.groupBy("doc").agg(F.collect_set("line").alias("lines"))
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` freed of recurring lines, and __lines and __dropped: lines with a token
-    that the text had, and that it lost."""
-    own, body, at = column(doc_id), column(text), docs.columns.index(text)
-    keyed = docs.withColumn("__doc", row_key(own, F.coalesce(body, F.lit(""))))
-    read = keyed.select("__doc", F.coalesce(body.cast("string"), F.lit("")).alias("t"))
-    joined = keyed.join(_dropped(read).select(F.col("doc").alias("__doc"), F.col("lines").alias("__lost")), "__doc", "left").drop("__doc")
-    names = [*docs.columns, "__lines", "__dropped"]
+def _freed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs``, plainly named, with the text freed of recurring lines, and had and lost: lines with a
+    token that it had, and that it lost."""
+    at = docs.columns.index(text)
+    integral = isinstance(docs.schema[doc_id].dataType, IntegralType)
+    plain = plainly_named(docs).withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
+    body = F.coalesce(F.col(f"c{at}"), F.lit(""))
+    keyed = plain.withColumn("doc", row_key(F.col(f"c{docs.columns.index(doc_id)}"), body, integral))
+    some = F.length(body) > 0
+    read = keyed.where(some).select("doc", F.col(f"c{at}").alias("t"))
+    # rows without text meet nothing and take no part in the join
+    joined = keyed.where(some).join(_dropped(read).withColumnRenamed("lines", "gone"), "doc", "left").select(*plain.columns, "gone")
+    joined = joined.unionByName(plain.where(~some), allowMissingColumns=True)
+    schema = StructType(list(plain.schema.fields)).add("had", "long").add("lost", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, at, 1 << 22):
@@ -233,7 +287,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 had.append(sum(full))
                 if gone:
                     gone = set(gone)
-                    stay = [not (m := masked(x)) or signature(m) not in gone for x in lines]
+                    stay = [not (m := masked(x)) or signature(m[0]) not in gone for x in lines]
                     t = b"\n".join([x for x, s in zip(lines, stay) if s]).decode()
                     lost.append(sum(f and not s for f, s in zip(full, stay)))
                 else:
@@ -241,25 +295,25 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 texts.append(t)
             cols = list(batch.columns[:-1])
             cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(had, pa.int64()), pa.array(lost, pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(had, pa.int64()), pa.array(lost, pa.int64())], schema.names)
 
-    schema = StructType(list(docs.schema.fields)).add("__lines", "long").add("__dropped", "long")
-    return map_in_arrow(joined.select(*[column(c) for c in docs.columns], "__lost"), run, schema)
+    return map_in_arrow(joined, run, schema)
 
 
 def drop_recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:
     """Rows with their texts freed of recurring lines; those that lose every line are gone."""
-    left = deduplicated(docs, doc_id, text).where("__dropped = 0 or __dropped < __lines")
+    left = _freed(docs, doc_id, text).where("lost = 0 or lost < had")
     if chars in docs.columns:
-        renewed = F.when(F.col("__dropped") > 0, F.length(column(text)).cast(docs.schema[chars].dataType)).otherwise(column(chars))
-        left = left.withColumn(chars, renewed)
-    return left.drop("__lines", "__dropped")
+        at, own = docs.columns.index(chars), f"c{docs.columns.index(text)}"
+        renewed = F.when(F.col("lost") > 0, F.length(own).cast(docs.schema[chars].dataType)).otherwise(F.col(f"c{at}"))
+        left = left.withColumn(f"c{at}", renewed)
+    return named_again(left, docs)
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_lines (left), n_dropped and the text that is left, of each row."""
-    read = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
-    return deduplicated(read).select("doc_id", (F.col("__lines") - F.col("__dropped")).alias("n_lines"), F.col("__dropped").alias("n_dropped"), "text")
+    left = _freed(docs.select(column(doc_id).alias("doc_id"), column(text).alias("text")), "doc_id", "text")
+    return left.select(F.col("c0").alias("doc_id"), (F.col("had") - F.col("lost")).alias("n_lines"), F.col("lost").alias("n_dropped"), F.col("c1").alias("text"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
