@@ -4,20 +4,24 @@ A turn is written as ``<s>\n`` role ``\n[INST]\n`` text ``\n</s>\n``; an assista
 Control strings inside roles and texts get a backslash before them (and before the backslashes that
 already stand there), so no text can end its turn and the original comes back exactly.
 
-Conversations that share their first turns share a path of a tree. They are sorted by that path
-(hash chains of the turns), spread by range, and emitted depth-first in packs: a turn shared by
-neighbours is emitted once. Each node has the position ids of its characters (pos_start onwards: the
-length of its ancestors), the loss mask (an assistant's text), and the intervals of the pack that it
-may attend to besides itself: its ancestors', merged. A pack ends with the conversation in which it
-passes PACK characters, or with its partition; a shared path over two packs is emitted in both.
-
-No conversation is gathered: rows stream in order, and what is kept is bounded by the turns of one
-path (hash states and intervals, no texts). A system prompt that a third of all conversations share
-spreads over as many tasks as its conversations fill. Conversations merge up to turn DEPTH by
-sorting, later turns where such neighbours happen to stand together.
+Conversations that share their first turns share a path of a tree. A turn's chain is a hash of all
+turns up to it; the chains that several conversations have, in their order, are a conversation's path
+as far as it is shared, and no turn beyond can be merged. Conversations are numbered by that path,
+spread by range, and emitted depth-first in packs: a turn shared by neighbours is emitted once, however
+deep. Each node has the position ids of its characters (pos_start onwards: the length of its
+ancestors), the loss mask (an assistant's text), and the intervals of the pack that it may attend to
+besides itself: its ancestors', merged. A pack ends with the conversation in which it passes PACK
+characters, or with its partition; a shared path over two packs is emitted in both.
+
+Hashes alone are moved to find the paths; the texts then move twice, to their conversation's number and
+to its range. No conversation is gathered: rows stream in order, and what is kept is bounded by the
+turns that a conversation shares (chains) and by those of one path (hash states and intervals, no
+texts). A system prompt that a third of all conversations share spreads over as many tasks as its
+conversations fill, and is counted before it is moved.
 
 Units are code points. Defined cases: null text or role: empty. Null turn: before the others. Rows
-that repeat a turn: each is a turn, ordered by role and text. Null conv_id: one conversation of its
+that repeat a turn: each is a turn, ordered by role and text (of several texts the path has another order,
+and such turns may be emitted again). Null conv_id: one conversation of its
 own. Empty table: no rows. Extra columns are not read.
 """
 from __future__ import annotations
@@ -30,9 +34,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caresight.llm.common import column, map_in_arrow, table
+from caresight.llm.common import checkpointed, column, join_by_key, map_in_arrow, table
+from caresight.operators.scans import global_sequence
 
-PACK, DEPTH, ROWS = 1 << 20, 16, 2000
+PACK, ROWS = 1 << 20, 2000
 CONTROL = r"(</?s>|\[/?INST\])"
 _TO_ESCAPE, _ESCAPED = re.compile(r"(\\*)" + CONTROL), re.compile(r"\\(\\*)" + CONTROL)
 _MIDDLE = re.compile(r"\n\[/?INST\]\n")
@@ -80,51 +85,32 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield from zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns))
 
 
-def chained(turns: DataFrame) -> DataFrame:
-    """key (path of the first DEPTH turns), conv_id, depth, chain (hash of the path so far), pos, last
-    (the conversation's last turn) and the formatted turn with its loss mask."""
+def numbered(turns: DataFrame) -> DataFrame:
+    """conv_id and place: a number per conversation, in the order of their shared paths."""
     kind = turns.schema["conv_id"].dataType.simpleString()
-    names = ["key", "conv_id", "depth", "chain", "pos", "last", "text", "mask_start", "mask_end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        id_type = None
-
-        def rows(first: pa.RecordBatch) -> Iterator[tuple]:
-            held: list[tuple] = []  # DEPTH rows at most, then the last one
-            key, conv, depth, pos, chain, begun = b"", None, 0, 0, b"", False
-
-            def flushed(end: bool) -> Iterator[tuple]:
-                keep = [] if end else held[-1:]
-                out = held if end else held[:-1]
-                for i, r in enumerate(out):
-                    yield (key, *r[:4], end and i + 1 == len(out), *r[4:])
-                held[:] = keep
-
-            def everything() -> Iterator[pa.RecordBatch]:
-                yield first
-                yield from batches
-
-            for conv_id, _, role, text in _rows(everything()):
+        conv, begun, depth, chain = None, False, 0, b""
+        for batch in batches:
+            depths, chains = [], []
+            for conv_id, h in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
                 if not begun or conv_id != conv:
-                    yield from flushed(True)
-                    key, conv, depth, pos, chain, begun = b"", conv_id, 0, 0, b"", True
-                segment, start, end = formatted(role, text)
-                chain = blake2b(chain + segment.encode(), digest_size=16).digest()
-                if depth < DEPTH:
-                    key += chain[:8]
-                else:
-                    yield from flushed(False)
-                held.append((conv_id, depth, chain, pos, segment, start, end))
-                depth, pos = depth + 1, pos + len(segment)
-            yield from flushed(True)
-
-        for first in batches:
-            id_type = first.schema.field(0).type
-            types = [pa.binary(), id_type, pa.int32(), pa.binary(), pa.int64(), pa.bool_(), pa.string(), pa.int32(), pa.int32()]
-            yield from _batches(rows(first), pa.schema(list(zip(names, types))))
-
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return map_in_arrow(ordered, run, f"key binary, conv_id {kind}, depth int, chain binary, pos long, last boolean, text string, mask_start int, mask_end int")
+                    conv, begun, depth, chain = conv_id, True, 0, b""
+                chain = blake2b(chain + h.to_bytes(8, "big", signed=True), digest_size=16).digest()
+                depths.append(depth)
+                chains.append(chain)
+                depth += 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(depths, pa.int64()), pa.array(chains, pa.binary())], ["conv_id", "depth", "chain"])
+
+    hashed = turns.select("conv_id", "turn", "role", "hash").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "hash")
+    steps = checkpointed(map_in_arrow(hashed, run, f"conv_id {kind}, depth long, chain binary"))
+    counted = checkpointed(steps.groupBy("chain").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = join_by_key(steps, counted, ["chain"], steps.count())
+    one = F.sort_array(F.collect_list(F.struct("depth", "chain")))
+    paths = shared.groupBy("conv_id").agg(F.concat_ws("", F.transform(one, lambda x: F.hex(x["chain"]))).alias("path"))
+    firsts = steps.where("depth = 0").select("conv_id", F.lit("").alias("path"))
+    every = paths.unionByName(firsts).groupBy("conv_id").agg(F.max("path").alias("path"))
+    return global_sequence(every, [F.col("path").asc(), F.col("conv_id").asc_nulls_first()], "place").select("conv_id", "place")
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
@@ -137,6 +123,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     """
     text = lambda c: F.coalesce(column(c).cast("string"), F.lit(""))
     turns = conversations.select("conv_id", column("turn").alias("turn"), text("role").alias("role"), text("text").alias("text"))
+    turns = turns.withColumn("hash", F.xxhash64("role", "text"))
     kind = turns.schema["conv_id"].dataType.simpleString()
     interval = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
     names = ["pack_id", "seq", "ended", "conv_id", "node", "parent", "emit_start", "emit_end", "pos_start", "mask_start", "mask_end", "attends", "text"]
@@ -145,40 +132,48 @@ def format_chats(conversations: DataFrame) -> DataFrame:
         task = TaskContext.get().partitionId()
 
         def rows(first: pa.RecordBatch) -> Iterator[tuple]:
-            path: list[tuple] = []  # chain, node, start, end, intervals of its ancestors
-            pack, seq, node, at, shared = -1, 0, 0, 0, False
+            path: list[tuple] = []  # chain, node, start, end, end position, intervals of its ancestors
+            pack, seq, node, at, shared, place, conv, depth, chain = -1, 0, 0, 0, False, None, None, 0, b""
 
             def everything() -> Iterator[pa.RecordBatch]:
                 yield first
                 yield from batches
 
-            for _, conv_id, depth, chain, pos, last, segment, start, end in _rows(everything()):
-                if depth == 0:
-                    shared = True
+            def ended() -> tuple:
+                return f"{task}-{pack}", seq, True, conv, path[depth - 1][1], None, None, None, None, None, None, None, None
+
+            for now, conv_id, role, text in _rows(everything()):
+                if now != place:
+                    if place is not None:
+                        yield ended()
+                        seq += 1
+                    place, conv, depth, chain, shared = now, conv_id, 0, b"", True
                     if pack < 0 or at >= PACK:
                         pack, seq, node, at, path = pack + 1, 0, 0, 0, []
-                name = f"{task}-{pack}"
+                segment, start, end = formatted(role, text)
+                chain = blake2b(chain + segment.encode(), digest_size=16).digest()
                 if not (shared and depth < len(path) and path[depth][0] == chain):
                     shared = False
                     del path[depth:]
-                    attends: tuple = ()
+                    attends, pos = (), 0
                     if path:
-                        *_, a, z, attends = path[-1]
+                        *_, a, z, pos, attends = path[-1]
                         attends = (*attends[:-1], (attends[-1][0], z)) if attends and attends[-1][1] == a else (*attends, (a, z))
-                    yield (name, seq, False, None, node, path[-1][1] if path else -1, at, at + len(segment), pos, start, end,
+                    yield (f"{task}-{pack}", seq, False, None, node, path[-1][1] if path else -1, at, at + len(segment), pos, start, end,
                            [{"start": a, "stop": z} for a, z in attends], segment)
-                    path.append((chain, node, at, at + len(segment), attends))
+                    path.append((chain, node, at, at + len(segment), pos + len(segment), attends))
                     seq, node, at = seq + 1, node + 1, at + len(segment)
-                if last:
-                    yield (name, seq, True, conv_id, path[depth][1], None, None, None, None, None, None, None, None)
-                    seq += 1
+                depth += 1
+            if place is not None:
+                yield ended()
 
         for first in batches:
             types = [pa.string(), pa.int64(), pa.bool_(), first.schema.field(1).type, pa.int64(), pa.int64(), *[pa.int64()] * 3, pa.int32(), pa.int32(), pa.list_(interval), pa.string()]
             yield from _batches(rows(first), pa.schema(list(zip(names, types))))
 
-    ordered = chained(turns).repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id", "depth")
-    return map_in_arrow(ordered, run, f"pack_id string, seq long, ended boolean, conv_id {kind}, node long, parent long, emit_start long, emit_end long, "
+    placed = turns.join(numbered(turns).withColumnRenamed("conv_id", "own"), F.expr("conv_id <=> own"))
+    ordered = placed.repartitionByRange("place").sortWithinPartitions("place", "turn", "role", "text")
+    return map_in_arrow(ordered.select("place", "conv_id", "role", "text"), run, f"pack_id string, seq long, ended boolean, conv_id {kind}, node long, parent long, emit_start long, emit_end long, "
                         "pos_start long, mask_start int, mask_end int, attends array<struct<start: long, stop: long>>, text string")
 
 
