@@ -135,11 +135,14 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                                               pa.array([r[1] for r in rows], pa.list_(pa.float32())), pa.array([r[2] for r in rows], pa.list_(pa.float32()))],
                                              ["label", "buckets", "vals", "stats"])
 
-    sample = _read(docs, doc_id, text, chars).join(F.broadcast(known), "doc_id").select("doc_id", "text", "chars", "label")
+    # one row of each id (the least by a hash of its text), so SAMPLE rows at most go to the driver
+    sample = (_read(docs, doc_id, text, chars).join(F.broadcast(known), "doc_id")
+              .groupBy("doc_id").agg(F.min_by(F.struct("text", "chars", "label"), F.struct(F.xxhash64("text"), F.xxhash64("chars"))).alias("row"))
+              .select("doc_id", "row.text", "row.chars", "row.label"))
     got = map_in_arrow(sample, extract, "label int, buckets array<int>, vals array<float>, stats array<float>").toArrow()
     cols = [got.column(c).combine_chunks() for c in ("buckets", "vals", "stats")]
     rows = [tuple(np.asarray(c[i].values) for c in cols) for i in range(got.num_rows)]
-    rows, y = rows[:2 * SAMPLE], np.array(got.column("label").to_pylist(), np.float64)[:2 * SAMPLE]  # repeated ids
+    y = np.array(got.column("label").to_pylist(), np.float64)
     order = sorted(range(len(rows)), key=lambda i: (y[i], rows[i][2].tobytes(), rows[i][0].tobytes()))  # whatever order the tasks ended in
     return fit([rows[i] for i in order], y[order])
 
