@@ -2,15 +2,16 @@ r"""Quality rules as weak supervision: rules vote or abstain, expectation-maximi
 
 Every rule looks at one property of a whole text and votes good (1), bad (-1) or abstains (0). The
 unknown true quality is a latent class; EM over the counts of vote patterns (at most 3^rules rows,
-whatever the corpus) estimates how often each rule votes either way for good and for bad texts.
+whatever the corpus) runs until it settles and estimates how often each rule votes either way for good
+and for bad texts.
 The posterior probability of the good class then replaces filtering by all rules at once. All of
 it is DataFrame functions; a run of EM sends a few sums to the driver per round.
 
 Words are ``[^\x20\x09-\x0D]+``. Windows of eight words are compared by 64-bit hashes.
 
 Defined cases: null or empty text: no words, fails the base rules. Null or repeated ids: a row each.
-Empty table: no rows (the rules' start values hold). Extra columns are kept by ``keep_good`` and
-not read otherwise.
+Empty table: no rows (the rules' start values hold). Extra columns, of any name,
+are kept by ``keep_good`` and not read otherwise.
 """
 from __future__ import annotations
 
@@ -18,12 +19,13 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from caresight.llm.common import checkpointed, column, table, written
+from caresight.llm.common import checkpointed, column, named_again, plainly_named, table, written
 
 GAP, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
 WINDOW = 8
-#: Rounds of EM at most, change in the share of good texts that ends it, and the start values.
-ROUNDS, CHANGE, PRIOR, VOTES_OF_GOOD, VOTES_OF_BAD = 20, 1e-4, 0.8, (0.9, 0.005), (0.65, 0.3)
+#: Change in the share of good texts that ends EM, rounds after which it is given up as an error, and
+#: the start values.
+CHANGE, ROUNDS, PRIOR, VOTES_OF_GOOD, VOTES_OF_BAD = 1e-4, 500, 0.8, (0.9, 0.005), (0.65, 0.3)
 # Function words of the four languages, common letters of symbol junk.
 FUNCTION_WORDS = ["the", "of", "and", "to", "in", "is", "that", "with", "der", "die", "und", "den", "ist", "von",
                   "de", "la", "le", "et", "les", "des", "que", "el", "en", "los", "las"]
@@ -111,7 +113,8 @@ class VoteModel:
 
 def fit(votes: DataFrame, names: list[str]) -> VoteModel:
     """EM over the counts of vote patterns (columns ``names``)."""
-    patterns = checkpointed(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1))  # 3^rules rows at most
+    # 3^rules rows at most, brought together once they are counted
+    patterns = checkpointed(votes.groupBy(*names).agg(F.count("*").alias("n")).repartition(1))
     model, before = VoteModel(names), None
     vote = {x: F.col(x) for x in names}
     for _ in range(ROUNDS):
@@ -119,15 +122,15 @@ def fit(votes: DataFrame, names: list[str]) -> VoteModel:
         sums = weighed.agg(F.sum("g").alias("g"), F.sum("b").alias("b"), *[
             F.sum(F.when(vote[x] == v, F.col(k)).otherwise(0)).alias(f"{k}{v}{x}") for x in names for k in "gb" for v in (1, -1)]).first()
         if sums["g"] is None:
-            break
+            return model
         for x in names:
             for good, k in ((True, "g"), (False, "b")):  # smoothed
                 model.chance[x][good] = tuple((sums[f"{k}{v}{x}"] + 1) / (sums[k] + 3) for v in (1, -1))
         model.good = min(max(sums["g"] / (sums["g"] + sums["b"]), 0.05), 0.95)
         if before is not None and abs(before - sums["g"]) <= CHANGE * (sums["g"] + sums["b"]):
-            break
+            return model
         before = sums["g"]
-    return model
+    raise RuntimeError(f"the votes' weights have not settled in {ROUNDS} rounds")
 
 
 def judged(docs: DataFrame, text: str = "text", wide: bool = False) -> tuple[DataFrame, Column, Column]:
@@ -151,8 +154,9 @@ def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that the base rules and the weighed votes keep, with all their columns."""
-    marked, _, kept = judged(docs, text, wide=True)
-    return marked.where(kept).select(*[column(c) for c in docs.columns])
+    plain = plainly_named(docs)
+    marked, _, kept = judged(plain, f"c{docs.columns.index(text)}", wide=True)
+    return named_again(marked.where(kept), docs)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
