@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from xxhash import xxh64_digest
 
-from caresight.llm.common import by_bytes, checkpointed, column, join_by_key, map_in_arrow, table
+from caresight.llm.common import by_bytes, checkpointed, column, join_by_key, map_in_arrow, named_again, plainly_named, table
 from caresight.llm.components import components
 
 SHINGLE, RADIUS, BLOCKS = 4, 4, 6
@@ -226,24 +226,26 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
     by_fp = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     roots = components(links(by_fp.select("fp"), radius, blocks))
     named = by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    keyed = checkpointed(named.join(smallest, "root").select("fp", "n", "component_id"))
+    named = checkpointed(named.withColumnRenamed("n", "rows"))
+    smallest = checkpointed(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n")))
+    keyed = checkpointed(join_by_key(named, smallest, ["root"], named.count()).select("fp", F.col("rows").alias("n"), "component_id"))
     return join_by_key(marked, keyed, ["fp"], marked.count()).select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of the first document (smallest id) of each group, all columns kept.
 
-    Rows that repeat an id count as one document, of which one row stays. Rows without an id are
-    told apart by their text and come after those that have one.
+    Rows that repeat an id (of any type that sorts) count as one document, of which one row stays.
+    Rows without an id are told apart by their text and come after those that have one.
     """
-    own, key = column(doc_id), "__llm_row"
-    named = F.struct(own.isNull().alias("missing"), F.coalesce(own, F.lit(0)).alias("id"),
-                     F.when(own.isNull(), F.sha2(F.coalesce(column(text), F.lit("")), 256)).otherwise("").alias("text"))
-    keyed = docs.withColumn(key, named)
-    groups = near_duplicates(keyed, size, radius, blocks, key, text)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    return keyed.join(first, key, "left_semi").dropDuplicates([key]).drop(key)
+    plain = plainly_named(docs)
+    own, body = F.col(f"c{docs.columns.index(doc_id)}"), F.col(f"c{docs.columns.index(text)}").cast("string")
+    named = F.struct(own.isNull().alias("missing"), own.alias("id"),
+                     F.when(own.isNull(), F.sha2(F.coalesce(body, F.lit("")), 256)).otherwise("").alias("text"))
+    keyed = plain.withColumn("key", named)
+    groups = near_duplicates(keyed, size, radius, blocks, "key", f"c{docs.columns.index(text)}")
+    first = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("first_key")).distinct()
+    return named_again(keyed.join(first, F.expr("key <=> first_key"), "left_semi").dropDuplicates(["key"]), docs)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
