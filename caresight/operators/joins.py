@@ -67,9 +67,7 @@ def assemble(spine: DataFrame, key: str | Sequence[str], metrics: Sequence[DataF
         out = out.join(m, keys, "left")
         metric_cols += [c for c in m.columns if c not in keys]
     defaults = defaults if defaults is not None else {c: 0 for c in metric_cols}
-    for c, v in defaults.items():
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
-    return out
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
 def exists_chain(rows: DataFrame, row_keys: Sequence[str], chain: Sequence[tuple[DataFrame, Sequence[str]]],

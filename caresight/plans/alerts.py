@@ -268,46 +268,56 @@ class AlertReport:
                 self._bucket_totals(self.action_timings, ["AlertId", "NpiId"], "AlertsActions"),
                 self._bucket_totals(self.action_timings, ["BenId", "NpiId"], "PatientsActions")]
 
+    #: The flag tuple as one number that sorts as the tuple does.
+    RANK = {"Less24": 4, "OneToThreeBD": 2, "MoreThreeBD": 1}
+
+    @cached_property
+    def per_alert(self) -> DataFrame:
+        """One row per kept alert: read, acted (0 or 1), and the best response of a read and of an
+        action (the flag tuple as a number, NULL without one), from one aggregation."""
+        rank = sum((F.col(f) * n for f, n in self.RANK.items()), F.lit(0))
+        parts = [(self.kept, {"NpiId": "NpiId", "BenId": "BenId", "kept": F.lit(1)}),
+                 (self.reads, {"read": F.lit(1)}), (self.actions, {"acted": F.lit(1)}),
+                 (self.read_timings, {"best_read": rank}), (self.action_timings, {"best_action": rank})]
+        kinds = {"NpiId": "long", "BenId": "long", "kept": "int", "read": "int", "acted": "int", "best_read": "int", "best_action": "int"}
+        rows = None
+        for df, has in parts:
+            part = df.select("AlertId", *[(F.col(has[c]) if isinstance(has.get(c), str) else has.get(c, F.lit(None))).cast(t).alias(c) for c, t in kinds.items()])
+            rows = part if rows is None else rows.unionByName(part)
+        return rows.groupBy("AlertId").agg(*[F.max(c).alias(c) for c in kinds]).where("kept = 1")
+
     @cached_property
     def engagement(self) -> DataFrame:
-        """Received / read / unread / acted / not-acted counts per provider in one
-        aggregation. AlertId is the key of the kept alerts, so alert counts are plain
-        conditional counts; only patient counts need DISTINCT. "Not read" keeps the
-        as-written meaning (alerts whose BenId is NULL, see ``not_read_as_written``)."""
-        read_ids = self.reads.select("AlertId").distinct().withColumn("_read", F.lit(True))
-        act_ids = self.actions.select("AlertId").distinct().withColumn("_acted", F.lit(True))
-        k = self.kept.join(read_ids, "AlertId", "left").join(act_ids, "AlertId", "left")
-        read, acted = F.coalesce("_read", F.lit(False)), F.coalesce("_acted", F.lit(False))
-        ben = F.col("BenId")
-        return k.groupBy("NpiId").agg(
-            F.count(F.lit(1)).alias("AlertsReceived"), F.countDistinct(ben).alias("PatientsReceived"),
-            count_if(read).alias("AlertsRead"), F.countDistinct(F.when(read, ben)).alias("PatientsRead"),
-            count_if(ben.isNull()).alias("AlertsNotRead"),
-            F.countDistinct(F.when(ben.isNull(), ben)).alias("PatientsNotRead"),
-            count_if(acted).alias("AlertsWActions"), F.countDistinct(F.when(acted, ben)).alias("PatientsWActions"),
-            count_if(~acted).alias("AlertsWNoActions"), F.countDistinct(F.when(~acted, ben)).alias("PatientsWNoActions"))
-
-    @cached_property
-    def all_buckets(self) -> DataFrame:
-        """The four best-bucket totals (alert/patient x read/action) in one aggregation."""
-        kinds = [(self.read_timings, ["AlertId", "NpiId"], "AlertsRead"),
-                 (self.read_timings, ["BenId", "NpiId"], "PatientsRead"),
-                 (self.action_timings, ["AlertId", "NpiId"], "AlertsActions"),
-                 (self.action_timings, ["BenId", "NpiId"], "PatientsActions")]
-        parts = [best_flags(t, per, self.FLAGS).select("NpiId", *self.FLAGS, F.lit(kind).alias("_kind"))
-                 for t, per, kind in kinds]
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        return u.groupBy("NpiId").agg(*[count_if((F.col("_kind") == kind) & (F.col(f) == 1)).alias(kind + f)
-                                        for _, _, kind in kinds for f in self.FLAGS])
+        """Received / read / unread / acted / not-acted counts and the four best-bucket totals per
+        provider: alerts are reduced to patients, patients to providers, so a distinct count is a
+        plain one and a large provider is reduced before each shuffle.
+
+        "Not read" keeps the as-written meaning (alerts whose BenId is NULL, see
+        ``not_read_as_written``); the alerts without a patient are one patient of the buckets and none
+        of the counts."""
+        count = lambda cond: F.sum(cond.cast("long"))
+        by_patient = self.per_alert.groupBy("NpiId", "BenId").agg(
+            F.count(F.lit(1)).alias("alerts"), F.count("read").alias("read"), F.count("acted").alias("acted"),
+            *[count(F.coalesce(F.col(best) == n, F.lit(False))).alias(f"{best}{n}") for best in ("best_read", "best_action") for n in self.RANK.values()],
+            F.max("best_read").alias("best_read"), F.max("best_action").alias("best_action"))
+        known = F.col("BenId").isNotNull()
+        some = lambda cond: count_if(known & cond)
+        buckets = [(kind, best) for kind, best in (("Read", "best_read"), ("Actions", "best_action"))]
+        return by_patient.groupBy("NpiId").agg(
+            F.sum("alerts").alias("AlertsReceived"), count_if(known).alias("PatientsReceived"),
+            F.sum("read").alias("AlertsRead"), some(F.col("read") > 0).alias("PatientsRead"),
+            F.sum(F.when(~known, F.col("alerts")).otherwise(0)).alias("AlertsNotRead"), F.lit(0).cast("long").alias("PatientsNotRead"),
+            F.sum("acted").alias("AlertsWActions"), some(F.col("acted") > 0).alias("PatientsWActions"),
+            F.sum(F.col("alerts") - F.col("acted")).alias("AlertsWNoActions"), some(F.col("acted") < F.col("alerts")).alias("PatientsWNoActions"),
+            *[F.sum(f"{best}{n}").alias(f"Alerts{kind}{f}") for kind, best in buckets for f, n in self.RANK.items()],
+            *[count_if(F.col(best) == n).alias(f"Patients{kind}{f}") for kind, best in buckets for f, n in self.RANK.items()])
 
     # ------------------------------------------------------------ assembly (C20)
     @cached_property
     def statistics(self) -> DataFrame:
         spine = (self.users.join(self.npis, "UserId")
                  .select("UserId", "NpiId", "NpiNum", "UserName", plus_concat("LN", F.lit(", "), "FN").alias("Provider")))
-        return assemble(spine, "NpiId", [self.engagement, self.all_buckets]).distinct()
+        return assemble(spine, "NpiId", [self.engagement]).distinct()
 
     # ------------------------------------------------------------ enrichment
     @cached_property
@@ -349,7 +359,8 @@ class AlertReport:
     def report(self) -> DataFrame:
         s = self.statistics.alias("a")
         em = self.entity_map.alias("b")
-        tin = self.tin_map.select(F.col("TIN").alias("_ttin"), F.col("Consultant").alias("_tcons"))
+        # as written, a practice's row comes once for each of its providers: joined once, with their number
+        tin = self.tin_map.groupBy(F.col("TIN").alias("_ttin"), F.col("Consultant").alias("_tcons")).agg(F.count(F.lit(1)).alias("_times"))
         npi = self.npi_map.select(F.col("NPI").alias("_nnpi"), F.col("Consultant").alias("_ncons"))
         multi = self.npi_map.select(F.col("TIN").alias("_mtin")).distinct().withColumn("_multi", F.lit(True))
         e = self.quality_table.select(F.col("TIN").alias("_etin"), F.col("NPI").alias("_enpi"),
@@ -359,6 +370,7 @@ class AlertReport:
              .join(npi, F.col("a.NpiNum") == F.col("_nnpi"), "left")
              .join(multi, F.col("b.TIN") == F.col("_mtin"), "left")
              .join(e, (F.col("a.NpiNum") == F.col("_enpi")) & (F.col("b.TIN") == F.col("_etin")), "left"))
+        j = j.withColumn("_time", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_times").cast("int"), F.lit(1)))))
         consultant = F.coalesce(F.when(F.coalesce(F.col("_multi"), F.lit(False)), F.col("_ncons"))
                                 .otherwise(F.col("_tcons")), F.lit("no consultant"))
         c = F.col

@@ -14,7 +14,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caresight.sources.tables import TABLES, read_table, stage
+from caresight.sources.tables import TABLES, read_table, stage, view
 
 
 def _dx(n: str) -> str:
@@ -26,6 +26,11 @@ def _dx(n: str) -> str:
             f"when ({n}) % 25 = 11 then 'C189' else 'I10' end")
 
 
+def _tin(n: str, step: int = 0) -> str:
+    """Practice number of a provider: provider ids are multiples of 3, so eight share a practice."""
+    return f"cast(cast(floor({n} / 24) as bigint) + {step} as string)"
+
+
 def _desc(code: str) -> str:
     return f"concat('Diagnosis ', {code})"
 
@@ -120,8 +125,11 @@ select UserId as NpiId, UserId as PhysicianUserId,
        case when UserId % 24 = 0 then 1 else 0 end as isMAProvider
 from {users} where UserId % 3 = 0""",
     # each provider's subscribers: the users whose ids lie 0, 10, .. 40 above the provider's
-    "subs": "\nunion all".join(f"""
-select n.NpiId, u.UserId from {{npis}} n join {{users}} u on u.UserId = n.NpiId + {k}""" for k in range(0, 50, 10)),
+    "subs": """
+select n.NpiId, u.UserId
+from (select NpiId, NpiId + k.more as wanted from {npis} join (values (0, 0), (0, 10), (0, 20), (0, 30), (0, 40),
+        (1, 0), (1, 10), (1, 20), (1, 30), (1, 40)) as k(odd, more) on k.odd = NpiId % 2) n
+join {users} u on u.UserId = n.wanted""",
     "alerts": """
 select event_id as AlertId, user_id - user_id % 3 as NpiId,
        case when event_id % 50 = 0 then cast(null as bigint) else user_id * 8 + event_id % 8 end as BenId,
@@ -134,40 +142,30 @@ union all select cast(null as bigint) as BenId""",
     "user_alerts": None,
     "alert_actions": """
 select AlertActionId, Text from (values (1, 'Called patient'), (2, 'No Action Taken')) as t(AlertActionId, Text)""",
-    "tin_consultant": """
-select concat('T', cast(NpiId % 8 as string)) as TIN,
-       case NpiId % 3 when 0 then 'Alice' when 1 then 'Bob' else 'Carol' end as Provider_Consultant,
-       concat('Co', cast(NpiId % 2 as string)) as Company, NpiNum as NPI,
-       case when NpiId % 4 = 0 then 1 else 0 end as multi_consultant_tin, '2024-01' as dataset
-from {npis}
-union all
-select concat('T', cast(NpiId % 8 as string)),
-       case (NpiId + 1) % 3 when 0 then 'Alice' when 1 then 'Bob' else 'Carol' end,
-       concat('Co', cast(NpiId % 2 as string)), NpiNum,
-       case when NpiId % 4 = 0 then 1 else 0 end, '2023-12'
-from {npis}""",
-    "assignment": """
-select distinct cast(a.BenId as string) as Beneficiary_ID, concat('T', cast(n.NpiId % 8 as string)) as TIN,
-       n.NpiNum as Npi, '2023' as Year, '04' as Period
-from {alerts} a join {npis} n on a.NpiId = n.NpiId where a.BenId is not null
-union all
-select distinct cast(a.BenId as string), concat('T', cast(n.NpiId % 8 as string)), n.NpiNum, '2024', '00'
-from {alerts} a join {npis} n on a.NpiId = n.NpiId where a.BenId is not null
-union all
-select distinct cast(a.BenId as string), concat('T', cast(n.NpiId % 8 as string)), n.NpiNum, '2023', '03'
-from {alerts} a join {npis} n on a.NpiId = n.NpiId where a.BenId is not null and a.BenId % 2 = 0""",
+    # a practice has one consultant; every fourth one has several, by provider
+    "tin_consultant": f"""
+select n.TIN, case (case when n.several = 1 then n.provider else n.practice end + d.older) % 3 when 0 then 'Alice' when 1 then 'Bob' else 'Carol' end
+         as Provider_Consultant,
+       concat('Co', cast(n.practice % 2 as string)) as Company, n.NpiNum as NPI, n.several as multi_consultant_tin, d.dataset
+from (select concat('T', {_tin('NpiId')}) as TIN, NpiNum, cast(floor(NpiId / 24) as bigint) as practice, cast(floor(NpiId / 3) as bigint) as provider,
+             case when cast(floor(NpiId / 24) as bigint) % 4 = 0 then 1 else 0 end as several, NpiId % 2 as odd from {{npis}}) n
+join (values (0, '2024-01', 0), (0, '2023-12', 1), (1, '2024-01', 0), (1, '2023-12', 1)) as d(odd, dataset, older) on d.odd = n.odd""",
+    # each patient's provider, by period; every second patient was assigned a period earlier too
+    "assignment": f"""
+select distinct cast(a.BenId as string) as Beneficiary_ID, concat('T', {_tin('n.NpiId')}) as TIN, n.NpiNum as Npi, p.Year, p.Period
+from {{alerts}} a join {{npis}} n on a.NpiId = n.NpiId
+join (values (0, '2023', '04'), (0, '2024', '00'), (0, '2023', '03'), (1, '2023', '04'), (1, '2024', '00')) as p(odd, Year, Period)
+  on p.odd = a.BenId % 2""",
     "assignment_flat": """
 select Beneficiary_ID, TIN, Npi, Year, Period from {assignment} where Period <> '00'""",
-    "master_view": """
-select NpiNum as NPI, concat('T', cast(NpiId % 8 as string)) as TIN,
-       concat('Entity T', cast(NpiId % 8 as string)) as Entity, 'ACO-2024' as ACOR,
+    "master_view": f"""
+select NpiNum as NPI, concat('T', {_tin('NpiId')}) as TIN, concat('Entity T', {_tin('NpiId')}) as Entity, 'ACO-2024' as ACOR,
        case when NpiId % 9 = 0 then 0 else 1 end as NPI_Approval,
        case when NpiId % 10 = 0 then 0 else 1 end as TIN_Approval
-from {npis}
+from {{npis}}
 union all
-select NpiNum, concat('T', cast((NpiId + 1) % 8 as string)), concat('Entity T', cast((NpiId + 1) % 8 as string)),
-       'ACO-2023', 1, 1
-from {npis}""",
+select NpiNum, concat('T', {_tin('NpiId', 1)}), concat('Entity T', {_tin('NpiId', 1)}), 'ACO-2023', 1, 1
+from {{npis}}""",
     "practice_mapping": None,  # generated below: one block per (metric, eligibility, dataset)
     # ---------------------------------------------------------------- care tracking
     "tracking": """
@@ -224,21 +222,19 @@ select n_nationkey as EntityId, n_name as EntityName,
 
 
 def _practice_mapping() -> str:
-    """npis x 2 metrics x 2 eligibilities x 2 datasets, quarter values as text."""
-    blocks = []
-    for metric, mk in (("30-Day Readmission Rate", 1), ("% PDV", 3)):
-        for elig, ek in (("CMS", 0), ("Formulated", 2)):
-            for dataset in ("QM-2023", "QM-2024"):
-                q = [f"cast(cast((q.c{i} + {mk + ek}) * 0.25 as decimal(10,2)) as string)" for i in range(1, 5)]
-                drop = " where n.NpiId % 7 <> 0" if metric.startswith("30") else ""
-                blocks.append(f"""
-select concat('T', cast(n.NpiId % 8 as string)) as TIN, n.NpiNum as NPI, '{metric}' as Metric,
-       '{elig}' as Eligibility, {q[0]} as QTR1, {q[1]} as QTR2, {q[2]} as QTR3,
+    """npis x 2 metrics x 2 eligibilities x 2 datasets, quarter values as text; every seventh provider
+    has no readmission rate."""
+    rows = [(some, metric, elig, mk + ek, dataset) for some in (0, 1)
+            for metric, mk in (("30-Day Readmission Rate", 1), ("% PDV", 3)) if some or mk == 3
+            for elig, ek in (("CMS", 0), ("Formulated", 2)) for dataset in ("QM-2023", "QM-2024")]
+    kinds = ", ".join(f"({some}, '{metric}', '{elig}', {add}, '{dataset}')" for some, metric, elig, add, dataset in rows)
+    q = [f"cast(cast((q.c{i} + k.plus) * 0.25 as decimal(10,2)) as string)" for i in range(1, 5)]
+    return f"""
+select concat('T', {_tin('n.NpiId')}) as TIN, n.NpiNum as NPI, k.Metric, k.Eligibility, {q[0]} as QTR1, {q[1]} as QTR2, {q[2]} as QTR3,
        case when n.NpiId % 5 = 0 then cast(null as string) else {q[3]} end as QTR4,
-       '{dataset}' as DATASET, '2024' as year,
-       case when n.NpiId % 6 = 0 then 'Assigned' else 'All' end as MemberSource
-from {{npis}} n join {{practice_counts}} q on q.user_id = n.NpiId{drop}""")
-    return "\nunion all".join(blocks)
+       k.DATASET, '2024' as year, case when n.NpiId % 6 = 0 then 'Assigned' else 'All' end as MemberSource
+from {{npis}} n join {{practice_counts}} q on q.user_id = n.NpiId
+join (values {kinds}) as k(rated, Metric, Eligibility, plus, DATASET) on k.rated = case when n.NpiId % 7 <> 0 then 1 else 0 end"""
 
 
 ADAPTERS["practice_counts"] = """
@@ -300,15 +296,21 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._made: dict[str, DataFrame] = {}
+        self._views: dict[str, str] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:
             return read_table(self.spark, self.sf_dir, name)
         if name not in self._made:
-            made = self.spark.sql(ADAPTERS[name], **{d: self[d] for d in deps(name)})
+            made = self.spark.sql(_REF.sub(lambda m: self._view(m.group(1)), ADAPTERS[name]))
             self._made[name] = stage(made) if name in self.STAGED else made
         return self._made[name]
 
+    def _view(self, name: str) -> str:
+        if name not in self._views:
+            self._views[name] = view(self[name])
+        return self._views[name]
+
 
 def with_clause(*names: str) -> str:
     """``WITH a AS (...), b AS (...)`` for the DuckDB oracle, dependencies first."""

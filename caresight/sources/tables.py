@@ -53,17 +53,19 @@ def extract_claims(df: DataFrame, since: str | None = None, cols: Iterable[str]
 
 
 class Owned:
-    """Persisted intermediates that belong to one result.
+    """Persisted intermediates and views that belong to one result.
 
-    ``stage`` registers with the innermost open owner; ``release`` drops the frames' blocks.
-    ``owned_by`` ties the release to the result frame's lifetime. (A frame derived from the
-    result stays right after that: Spark computes the blocks again.)
+    ``stage`` and ``view`` register with the innermost open owner; ``release``
+    drops the frames' blocks, then the views (dropping a view also drops the blocks of its plan, so
+    not before). ``owned_by`` ties the release to the result frame's lifetime.
+    (A frame derived from the result stays right after that: Spark computes the blocks again.)
     """
 
     _open: list[Owned] = []
 
     def __init__(self) -> None:
         self.frames: list = []  # their JVM handles: a result may be one of them
+        self.views: list[tuple[SparkSession, str]] = []
 
     def __enter__(self) -> Owned:
         Owned._open.append(self)
@@ -75,6 +77,9 @@ class Owned:
     def release(self) -> None:
         while self.frames:
             self.frames.pop().unpersist()
+        while self.views:
+            spark, name = self.views.pop()
+            spark.catalog.dropTempView(name)
 
 
 _LOOSE = Owned()  # of frames staged outside any owner
@@ -99,6 +104,14 @@ def stage(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def view(df: DataFrame) -> str:
+    """A name for ``df`` in SQL text, valid as long as the result it belongs to."""
+    name = f"caresight_{uuid.uuid4().hex}"
+    df.createTempView(name)
+    _owner().views.append((df.sparkSession, name))
+    return name
+
+
 def scratch_folder(spark: SparkSession, kind: str) -> str:
     """A new folder below the cluster's shared checkpoint folder, deleted when the driver ends."""
     from caresight.session import ensure_checkpoint_dir
@@ -127,9 +140,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet",
     """Write a final result set; ``display_names`` renames columns to report captions.
 
     ``single_file`` is for small final reports only (it funnels rows into one task)."""
-    out = df
-    for src, dst in (display_names or {}).items():
-        out = out.withColumnRenamed(src, dst)
+    out = df.withColumnsRenamed(dict(display_names or {}))
     if single_file:
         out = out.coalesce(1)
     writer = out.write.mode("overwrite")
