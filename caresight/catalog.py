@@ -57,6 +57,13 @@ _onc_query("oncology_final", lambda j: j.final)
 _onc_query("oncology_detail", lambda j: onc.detail(j.final))
 _onc_query("cost_by_body_area", lambda j: onc.cost_by_body_area(j.final, "7"))
 _onc_query("cost_by_area_modality", lambda j: onc.cost_by_area_modality(j.final, "3"))
+@register("cost_by_area_modality_sql", ONC_SQL["cost_by_area_modality"])
+def _cost_by_area_modality_sql(spark, sf_dir):
+    from caresight.functions.sql import create_reports
+    create_reports(spark, _onc(spark, sf_dir))
+    return spark.sql("SELECT * FROM cost_by_area_modality('3')")
+
+
 _onc_query("sessions_per_course", lambda j: onc.sessions_per_course(j.final))
 _onc_query("cost_by_phase", lambda j: onc.cost_by_phase(j.final))
 
@@ -203,6 +210,7 @@ _act_query("date_window_variants", lambda a: a.tracking.select(
 from caresight.oracle.operators import SQL as OP_SQL  # noqa: E402
 from caresight.functions import codes  # noqa: E402
 from caresight.functions.params import split_param, string_split  # noqa: E402
+from caresight.functions.sql import create_splitters  # noqa: E402
 from caresight.functions.scalars import (boundary_diff, charindex, fallback, float_label, plus_concat,  # noqa: E402
                                          signed_amount, tsql_concat, tsql_len, utc_to_eastern, valid_npi,
                                          weekday_mon0, weekday_name)
@@ -591,6 +599,28 @@ def _string_split(spark, sf_dir):
     return string_split(c, "s", ";").select("c_custkey", "value")
 
 
+@op("split_param_sql")
+def _split_param_sql(spark, sf_dir):
+    create_splitters(spark)
+    p = src.read_table(spark, sf_dir, "part").select("p_partkey", _split_src().alias("s"))
+    return spark.sql(f"SELECT p.p_partkey, t.ordinal, t.Param FROM {src.view(p)} p, LATERAL split_param(p.s, ',', 30) t")
+
+
+@op("string_split_sql")
+def _string_split_sql(spark, sf_dir):
+    create_splitters(spark)
+    c = src.read_table(spark, sf_dir, "customer")
+    return spark.sql(f"""SELECT c.c_custkey, t.piece AS value FROM {src.view(c)} c, LATERAL string_split(concat(c.c_mktsegment, ';',
+        CASE WHEN c.c_custkey % 4 = 0 THEN '' ELSE c.c_name END, CASE WHEN c.c_custkey % 6 = 0 THEN ';' ELSE '' END), ';') t""")
+
+
+@op("split_join_sql")
+def _split_join_sql(spark, sf_dir):
+    create_splitters(spark)
+    return spark.sql(f"""SELECT ID, Insurance FROM {src.view(_inp(spark, sf_dir)["patients"])}
+        WHERE Insurance IN (SELECT trim(piece) FROM string_split('AUTOMOBILE;  BUILDING ;MACHINERY', ';'))""")
+
+
 @op("split_join")
 def _split_join(spark, sf_dir):
     param = spark.range(1).select(F.lit("AUTOMOBILE;  BUILDING ;MACHINERY").alias("p"))

@@ -173,3 +173,6 @@ SQL = {
     "split_join": w("patients") + """select ID, Insurance from patients
         where Insurance in (select trim(unnest(string_split('AUTOMOBILE;  BUILDING ;MACHINERY', ';'))))""",
 }
+
+# The splitters called from SQL text give what their DataFrame forms give.
+SQL |= {f"{name}_sql": SQL[name] for name in ("split_param", "string_split", "split_join")}
