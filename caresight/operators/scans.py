@@ -9,8 +9,9 @@
 The first three scan rows in a total order. Instead of a window over the whole table (one
 partition) or over one key (one task for a hot key), rows are range-partitioned on the
 *full* sort key, so a hot key is spread over many partitions. Each partition is scanned
-locally, and what a partition needs from the partitions before it is carried in through
-a summary that has at most one row per (partition, key). The range partitioning is pinned
+locally, and what a partition needs from the others is carried in through a summary of the
+keys that cross a boundary: a partition's first and last key, so at most two rows per
+partition, which are broadcast. The range partitioning is pinned
 by writing it, with partition id and position recorded as columns, to a table in the
 shared ``spark.checkpoint.dir`` folder, so ids and positions cannot change if tasks or
 executors are re-run.
@@ -44,6 +45,14 @@ def _pinned_ranges(df: DataFrame, order: Sequence[Column], n: int | None,
     return spark.read.parquet(path)
 
 
+def _crossing(summary: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Of a summary per (partition, key) the rows of each partition's first and last key: rows are in
+    order of the key, so no other key lies in two partitions."""
+    key = F.struct(*by)
+    edges = summary.groupBy(_PID).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    return summary.join(F.broadcast(edges), _PID).where((key == F.col("_lo")) | (key == F.col("_hi"))).drop("_lo", "_hi")
+
+
 def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str = "seq",
                     num_partitions: int | None = None) -> DataFrame:
     """Dense 1..N numbering in ``order`` (which must be a total order) without a
@@ -120,13 +129,13 @@ def asof_join(left: DataFrame, anchors: DataFrame, by: Sequence[str], left_ts: s
 
     # Carry-in: best anchor of each (partition, key) -- NULL where a partition holds only
     # rows of that key -- then the best over all earlier partitions of the same key.
-    per_part = ranged.groupBy(_PID, *by).agg(best("_anchor").alias("_p"))
+    per_part = _crossing(ranged.groupBy(_PID, *by).agg(best("_anchor").alias("_p")), by)
     carry_w = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_part.select(_PID, *by, best("_p").over(carry_w).alias("_carry"))
 
     pick = F.least if fwd else F.greatest
     joined = (scanned.where(F.col("_tag") == 1)
-                     .join(carry, [_PID, *by], "left")
+                     .join(F.broadcast(carry), [_PID, *by], "left")  # two rows per partition at most
                      .withColumn("_hit", pick("_local", "_carry")))
     out = [F.col(f"_row.{c}").alias(c) for c in lcols]
     out += [F.col("_hit.ts").alias(prefix + anchor_ts)]
@@ -147,7 +156,7 @@ def anchor_groups(df: DataFrame, by: Sequence[str], ts: str, tie: Sequence[str],
     number. A NULL key or ts matches nothing: such an anchor is numbered but never found, such a
     row gets NULL. Rows are range-partitioned on (by, ts), so rows sharing a key and ts stay in
     one partition and RANGE frames see all same-ts peers; a hot key spans many partitions
-    and is carried across them through one summary row per (partition, key).
+    and is carried across them by a broadcast summary of two rows per partition at most.
     """
     order = [*[F.col(b) for b in by], F.col(ts), *[F.col(t) for t in tie]]
     tagged = df.withColumn("_anchor", is_anchor).withColumn("_look", look)
@@ -176,12 +185,12 @@ def anchor_groups(df: DataFrame, by: Sequence[str], ts: str, tie: Sequence[str],
              .withColumn("_lf", F.min(fwd).over(part.orderBy(F.col(ts).desc()).rangeBetween(*upto))))
 
     # 3. carry from earlier (backward) / later (forward) partitions of the same key
-    per = numbered.groupBy(_PID, *by).agg(F.max(back).alias("_pb"), F.min(fwd).alias("_pf"))
+    per = _crossing(numbered.where(known).groupBy(_PID, *by).agg(F.max(back).alias("_pb"), F.min(fwd).alias("_pf")), by)
     before = (Window.unboundedPreceding, -1)
     carry = per.select(_PID, *by,
                        F.max("_pb").over(Window.partitionBy(*by).orderBy(F.col(_PID).asc()).rowsBetween(*before)).alias("_cb"),
                        F.min("_pf").over(Window.partitionBy(*by).orderBy(F.col(_PID).desc()).rowsBetween(*before)).alias("_cf"))
-    j = local.join(carry, [_PID, *by], "left")
+    j = local.join(F.broadcast(carry), [_PID, *by], "left")  # two rows per partition at most
     grp = (F.when(F.col("_anchor"), F.col("_grp"))
            .when(known & (F.col("_look") == "backward"), -F.greatest("_lb", "_cb")["g"])
            .when(known & (F.col("_look") == "forward"), F.least("_lf", "_cf")["g"]))
