@@ -43,47 +43,61 @@ def filter_code_set(df: DataFrame, col: str, codes: Sequence[str] | DataFrame, t
     """Keep rows whose code is in the set: an IN-list, or a left-semi join for a set given as a
     table (Spark broadcasts it when its measured size allows).
 
-    Trimmed codes cannot be compared in the scan; a condition on the stored spellings (the code
-    and the code with trailing blanks, as fixed-width sources have them) is added that can, and
-    that every match meets."""
+    Trimmed codes cannot be compared in the scan; a condition on the stored spellings that every
+    match meets is added: they begin with the first characters of some code, or with a blank.
+    Parquet skips the row groups whose spellings all begin otherwise."""
     key = _key(col, trim)
     if isinstance(codes, DataFrame):
         return df.join(code_table(codes, code_col).withColumnRenamed("code", "_code"), key == F.col("_code"), "left_semi")
     if not trim:
         return df.where(F.col(col).isin(*codes))
-    # every spelling lies between the least and the greatest code, blanks included: a pushed range
-    low, high = min(codes), max(codes)
-    return df.where((F.col(col) <= high + "~") & ((F.col(col) >= low) | F.col(col).startswith(" "))).where(key.isin(*codes))
+    begins = F.col(col).startswith(" ")
+    for prefix in sorted({c[:PREFIX] for c in codes}):
+        begins = begins | F.col(col).startswith(prefix)
+    return df.where(begins).where(key.isin(*codes))
 
 
-def in_set(col: Column, codes: Sequence[str]) -> Column:
-    return F.coalesce(col.isin(*codes), F.lit(False))
+#: Characters of a code that its stored spelling is known by in a scan; codes of a set that are broadcast.
+PREFIX, BROADCAST_CODES = 3, 100_000
 
 
-def _hits(df: DataFrame, cols: Sequence[str], codes: DataFrame, code_col: str) -> DataFrame:
-    """``df`` with ``_hit0``, ``_hit1``, ...: the column's code where the table has it. The table
-    has each code once, so no row is multiplied; joins are broadcast when it is small."""
+def _first_hit(df: DataFrame, cols: Sequence[str], codes: DataFrame, code_col: str) -> DataFrame:
+    """``df`` with ``_hit``: the position of the first of ``cols`` whose code the table has, or NULL.
+
+    A table of at most ``BROADCAST_CODES`` codes (counted) is broadcast, and probed for each column
+    in one stage. A larger one is met once, whatever the number of columns, by the different
+    combinations of codes that the rows hold: their codes as rows go through one semi join, the
+    first position comes back per combination, and the rows take it by one join.
+    """
     table = code_table(codes, code_col)
-    for i, c in enumerate(cols):
-        df = df.join(table.withColumnRenamed("code", f"_hit{i}"), F.col(c) == F.col(f"_hit{i}"), "left")
-    return df
+    if table.limit(BROADCAST_CODES + 1).count() <= BROADCAST_CODES:
+        small = F.broadcast(table)
+        for i, c in enumerate(cols):
+            df = df.join(small.withColumnRenamed("code", f"_hit{i}"), F.col(c) == F.col(f"_hit{i}"), "left")
+        found = F.coalesce(*[F.when(F.col(f"_hit{i}").isNotNull(), F.lit(i)) for i in range(len(cols))])
+        return df.withColumn("_hit", found).drop(*[f"_hit{i}" for i in range(len(cols))])
+    # codes hold no control characters, so the joined text stands for the combination
+    keyed = df.withColumn("_codes", F.concat_ws("\x1f", *[F.coalesce(F.col(c), F.lit("")) for c in cols]))
+    each = keyed.select("_codes").distinct().select("_codes", F.posexplode(F.split("_codes", "\x1f", -1)).alias("_hit", "_code"))
+    first = (each.where("_code <> ''").join(table, F.col("_code") == F.col("code"), "left_semi")
+             .groupBy("_codes").agg(F.min("_hit").alias("_hit")))
+    return keyed.join(first, "_codes", "left").drop("_codes")
 
 
 def any_in_set(df: DataFrame, cols: Sequence[str], codes: DataFrame, out: str, code_col: str = "code") -> DataFrame:
     """``df`` with ``out``: whether any of several columns holds a code of the table."""
-    hits = [f"_hit{i}" for i in range(len(cols))]
-    return _hits(df, cols, codes, code_col).withColumn(out, F.coalesce(*hits).isNotNull()).drop(*hits)
+    return _first_hit(df, cols, codes, code_col).withColumn(out, F.col("_hit").isNotNull()).drop("_hit")
 
 
 def first_matching(df: DataFrame, pairs: Sequence[tuple[str, str]], codes: DataFrame,
                    out_code: str, out_desc: str, keep_unmatched: bool = False, code_col: str = "code") -> DataFrame:
     """The first (code, description) column pair whose code is in the table ``codes``; rows where
     no column matches are dropped unless ``keep_unmatched``."""
-    hits = [f"_hit{i}" for i in range(len(pairs))]
-    found = _hits(df, [c for c, _ in pairs], codes, code_col)
-    desc = F.coalesce(*[F.when(F.col(h).isNotNull(), F.struct(F.col(d).alias("d"))) for h, (_, d) in zip(hits, pairs)])["d"]
-    res = found.withColumn(out_desc, desc).withColumn(out_code, F.coalesce(*hits)).drop(*hits)
-    return res if keep_unmatched else res.where(F.col(out_code).isNotNull())
+    found = _first_hit(df, [c for c, _ in pairs], codes, code_col)
+    if not keep_unmatched:
+        found = found.where(F.col("_hit").isNotNull())
+    pick = lambda cols: F.coalesce(*[F.when(F.col("_hit") == i, F.col(c)) for i, c in enumerate(cols)])
+    return found.withColumns({out_code: pick([c for c, _ in pairs]), out_desc: pick([d for _, d in pairs])}).drop("_hit")
 
 
 def optional_in(df: DataFrame, col: str | Column, values: Sequence | DataFrame | None,
