@@ -265,6 +265,26 @@ def _report_sink(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("published_report", ONC_SQL["cost_by_body_area"])
+def _published_report(spark, sf_dir):
+    """Published under its captions over a former result, and read back by column position."""
+    path = src.scratch_folder(spark, "published")
+    report = onc.cost_by_body_area(_onc(spark, sf_dir).final, "7")
+    src.publish_report(report.limit(0), path, onc.BODY_AREA_CAPTIONS)
+    src.publish_report(report, path, onc.BODY_AREA_CAPTIONS)
+    return spark.read.parquet(path).withColumnsRenamed({caption: name for name, caption in onc.BODY_AREA_CAPTIONS.items()})
+
+
+@register("catalog_report", ACTION_SQL["action_completion_filtered"])
+def _catalog_report(spark, sf_dir):
+    """The action report from catalog tables of two databases."""
+    import hashlib
+    mark = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    names = {**src.add_to_catalog(spark, sf_dir, f"caresight_care_{mark}", ["orders", "customer"]),
+             **src.add_to_catalog(spark, sf_dir, f"caresight_network_{mark}", ["supplier", "nation", "region"])}
+    return act.ActionCompletion(Inputs(spark, tables=src.CatalogTables(spark, names)), act.ActionParams(**_FILTERED)).result
+
+
 @op("latest_snapshot")
 def _latest_snapshot(spark, sf_dir):
     return latest_snapshot(_inp(spark, sf_dir)["master_view"], "ACOR").select("NPI", "TIN", "Entity", "ACOR")

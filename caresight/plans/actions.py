@@ -30,6 +30,10 @@ ROLE_TIERS = (("SUPERVISOR", "REPORT"), ("PROVIDER", "REVIEWER USER"), ("USER",
 SEE_ALL_CHAIN = ("SUPERVISOR", "REPORT")
 
 
+# Captions of the published report.
+CAPTIONS = {"category": "Category", "total_action": "TotalAction", "total_act_percentage": "TotalActPecentage", "aggregated_total": "AggregatedTotal"}
+
+
 @dataclass
 class ActionParams:
     login: int

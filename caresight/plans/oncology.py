@@ -55,6 +55,16 @@ FINAL_COLS = ["part_ab", BENE, "cur_clm_uniq_id", "clm_from_dt", "clm_line_num",
               "clm_line_srvc_unit_qty", "clm_header_pmt_amnt", "clm_line_pmt_amnt"]
 
 
+# Captions of the published reports.
+BODY_AREA_CAPTIONS = {"body_area": "Body_Area", "total_cost": "TOTAL_COST", "distinct_patients": "# Distince Patients",
+                      "treatment_deliveries": "# Treatment Delivery"}
+AREA_MODALITY_CAPTIONS = {"body_area": "Body_Area", "treatment_type": "Treatment_Type", "total_cost": "Total_Cost",
+                          "total_treatments": "Total_Treatments", "distinct_patients": "# Distince Patients",
+                          "treatment_deliveries": "# Treatment Delivery"}
+DETAIL_CAPTIONS = {"part_ab": "PartA/B", BENE: "Beneficiary_ID", "treatment_group": "Treatment_Group", "treatment_type": "Treatment_Type",
+                   "treatment_process": "Treatment_Process", "body_area": "Body_Area"}
+
+
 def classify_stage(df: DataFrame, col: str = CODE, out: str = "treatment_process") -> DataFrame:
     return classify(df, col, STAGE_CODES, out, UNKNOWN)
 

@@ -14,7 +14,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caresight.sources.tables import TABLES, read_table, stage, view
+from caresight.sources.tables import TABLES, CatalogTables, read_table, stage, view
 
 
 def _dx(n: str) -> str:
@@ -293,14 +293,15 @@ class Inputs:
 
     STAGED = {"claim_base", "npis", "alerts", "action_logs", "user_alerts", "practice_counts", "assignment", "tracking", "patients"}
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, tables: CatalogTables | None = None):
+        """Base tables are the files of ``sf_dir``, or those of ``tables``."""
+        self.spark, self.sf_dir, self.tables = spark, sf_dir, tables
         self._made: dict[str, DataFrame] = {}
         self._views: dict[str, str] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return read_table(self.spark, self.sf_dir, name)
+            return self.tables[name] if self.tables else read_table(self.spark, self.sf_dir, name)
         if name not in self._made:
             made = self.spark.sql(_REF.sub(lambda m: self._view(m.group(1)), ADAPTERS[name]))
             self._made[name] = stage(made) if name in self.STAGED else made

@@ -27,6 +27,30 @@ def read_source(spark: SparkSession, name: str, jdbc: Mapping[str, str] | None =
     return spark.read.format("jdbc").options(**jdbc_options(name, jdbc)).load()
 
 
+class CatalogTables:
+    """Base tables of a job in the session catalog, under any databases: indexed by the job's name
+    for a table, read as the catalog's."""
+
+    def __init__(self, spark: SparkSession, names: Mapping[str, str], jdbc: Mapping[str, Mapping[str, str]] | None = None):
+        """``names``: catalog table of each name; ``jdbc``: options of those that are remote."""
+        self.spark, self.names, self.jdbc = spark, names, jdbc or {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return read_source(self.spark, self.names[name], self.jdbc.get(name))
+
+
+def add_to_catalog(spark: SparkSession, sf_dir: str, database: str, names: Iterable[str]) -> dict[str, str]:
+    """External tables over stored files in a database of the session catalog, made if need be;
+    dropping them leaves the files. Returns their names for ``CatalogTables``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{scratch_folder(spark, 'database')}'")
+    made = {}
+    for name in names:
+        made[name] = f"{database}.{name}"
+        if not spark.catalog.tableExists(made[name]):
+            spark.catalog.createTable(made[name], path=os.path.join(sf_dir, f"{name}.parquet"), source="parquet")
+    return made
+
+
 def jdbc_options(name: str, given: Mapping[str, str]) -> dict[str, str]:
     """Options of a remote scan: pushdown on; a parallel read needs its column and both bounds."""
     options = {"dbtable": name, "pushDownPredicate": "true", "pushDownAggregate": "true", "fetchsize": "10000", **given}
@@ -135,6 +159,30 @@ def save_cohort(df: DataFrame, path: str, partition_by: Iterable[str] | None = N
     return df.sparkSession.read.parquet(path)
 
 
+def publish_report(df: DataFrame, path: str, captions: Mapping[str, str] | None = None) -> None:
+    """Replace the report at ``path`` (Parquet) in one step, its columns named by ``captions``.
+
+    The new result is written aside; only when all of it is there do the folders change places. A
+    write that fails leaves the former result as it was, and readers see one or the other.
+    """
+    spark = df.sparkSession
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    target, aside, former = paths(path), paths(f"{path}.next-{uuid.uuid4().hex}"), paths(f"{path}.former-{uuid.uuid4().hex}")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.withColumnsRenamed(dict(captions or {})).write.option("parquet.enable.summary-metadata", "false").parquet(aside.toString())
+        had = files.exists(target)
+        if had and not files.rename(target, former):
+            raise OSError(f"cannot move the former result at {path}")
+        if not files.rename(aside, target):
+            if had:
+                files.rename(former, target)
+            raise OSError(f"cannot move the new result to {path}")
+    finally:
+        files.delete(aside, True)
+    files.delete(former, True)
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet",
                  display_names: Mapping[str, str] | None = None, single_file: bool = False) -> None:
     """Write a final result set; ``display_names`` renames columns to report captions.
