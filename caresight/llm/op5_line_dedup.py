@@ -20,7 +20,8 @@ A template that occurs in two different documents or more is recurring: its line
 document with the smallest id and are dropped from all others. Whole copies of a text so lose all
 their lines but once.
 
-Equal lines are merged inside each task before the one shuffle by leaf, and the lines' fate goes
+Texts are read once for their lines, which are kept in the shared folder with the documents that have
+them. Equal lines of some MB of text are merged before the one shuffle by leaf, and the lines' fate goes
 back by ``join_by_key``: a line that a third of all documents share fills no task. A leaf is settled by
 one task that holds two bytes for each token behind the leading ones of its different lines.
 
@@ -32,62 +33,110 @@ kept by ``drop_recurring``; n_chars is renewed.
 """
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegralType, StructType
-from xxhash import xxh32_intdigest, xxh64_intdigest
 
-from caresight.llm.common import by_bytes, checkpointed, column, join_by_key, map_in_arrow, named_again, plainly_named, table
+from caresight.llm.common import by_bytes, checkpointed, column, join_by_key, map_in_arrow, named_again, plainly_named, table, written
 
 #: Leading tokens, similarity, fixed tokens of which one may differ.
 HEAD, SIMILAR, EXACT = 4, 0.8, 5
-#: Different lines that a task merges before it passes them on; rows of a leaf stream at a time;
-#: templates of a leaf from which on the index is used.
-MERGED, ROWS, INDEXED = 50_000, 20_000, 32
-DIGITS, DIGIT, GAPS = b"0123456789", re.compile(rb"\d"), b" \t\n\r\x0b\x0c"
-VARIABLE = b"<*>"
-
-
-def masked(line: bytes) -> tuple[list[bytes], int] | None:
-    """A line's tokens, those with a digit as <*> (unless all are), and how many are fixed; None if
-    it has no token."""
-    tokens = line.split()
-    if not tokens:
-        return None
-    if DIGIT.search(line):
-        general = [VARIABLE if len(t.translate(None, DIGITS)) < len(t) else t for t in tokens]
-        fixed = len(tokens) - general.count(VARIABLE)
-        return (general, fixed) if fixed else (tokens, 0)
-    return tokens, len(tokens)
-
-
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
-
-
-def signature(tokens: list[bytes]) -> int:
-    return _signed(xxh64_intdigest(b" ".join(tokens)))
-
-
-def leaf(tokens: list[bytes]) -> int:
-    return _signed(xxh64_intdigest(b" ".join(tokens[:HEAD]), len(tokens)))
-
-
-class _TokenHashes(dict):
-    """16-bit hash of each token (0: variable), remembered within a bound."""
-
-    def __missing__(self, token: bytes) -> int:
-        if len(self) > 100_000:
-            self.clear()
-        self[token] = h = 0 if token == VARIABLE else xxh32_intdigest(token) % 65535 + 1
-        return h
-
-
-_token_hashes = _TokenHashes()
+#: Bytes of text whose lines are worked on at a time; rows of a leaf that stream at a time; templates of
+#: a leaf from which on the index is used.
+GROUP_BYTES, ROWS, INDEXED = 1 << 23, 20_000, 32
+GAPS = " \t\r\x0b\x0c"
+VARIABLE = "<*>"
+
+
+class Lines:
+    """The lines of some texts, by Arrow: what each is in the tree.
+
+    ``text`` and ``line`` give the text's number and the line's 64-bit signature for each line in its order,
+    ``some`` whether it has a token. Tokens are hashed once each (64 bits), a line's signature is a
+    polynomial of its tokens' hashes.
+    """
+
+    STEP = 0x9E3779B97F4A7C15 | 1  # fixed value: odd, 2^64 over the golden ratio
+
+    def __init__(self, texts: pa.Array):
+        # taken anew: string kernels of a slice with an offset
+        lists = pc.split_pattern(pc.fill_null(texts, "").take(pa.array(np.arange(len(texts)))), "\n")
+        numbered = pc.list_flatten(lists).dictionary_encode()
+        which = numbered.indices.to_numpy()
+        self.text = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+        split = pc.ascii_split_whitespace(numbered.dictionary)
+        tokens = pc.list_flatten(split)
+        full = pc.not_equal(tokens, "").to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy())[full]
+        tokens = tokens.filter(pa.array(full)).dictionary_encode()
+        width = np.bincount(owner, minlength=len(split))
+        starts = np.cumsum(width) - width
+        place = np.arange(len(owner)) - starts[owner]
+        # hashes of the different tokens; those with a digit count as the variable
+        own, digit = self._hashed(tokens.dictionary)
+        at = tokens.indices.to_numpy()
+        variable = digit[at]
+        fixed = width - np.bincount(owner, variable, len(split)).astype(np.int64)
+        raw = fixed[owner] == 0  # a line without a fixed token is taken as it stands
+        hashes = np.where(variable & ~raw, self._hashed(pa.array([VARIABLE], pa.string()))[0], own[at])
+        sums = self._sums(hashes, place, self.STEP)
+        self.starts, self.width, self.fixed, self.variable, self.place, self.owner = starts, width, fixed, variable, place, owner
+        self.small = (own % np.uint64(65535) + np.uint64(1)).astype(np.uint16)[at]
+        self.lines = self._mixed(sums[starts + width] - sums[starts], width)
+        self.heads = self._mixed(sums[starts + np.minimum(width, HEAD)] - sums[starts], width + (1 << 32))
+        self.which, self.line, self.some = which, self.lines[which], width[which] > 0
+
+    @staticmethod
+    def _sums(values: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
+        """Running sums, from 0, of the values times powers of an odd step by their places, modulo 2^64."""
+        powers = np.cumprod(np.append(np.ones(1, np.uint64), np.full(int(place.max(initial=0)), step, np.uint64)))
+        return np.append(np.zeros(1, np.uint64), np.cumsum(values * powers[place], dtype=np.uint64))
+
+    @staticmethod
+    def _hashed(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """64-bit hash of each string (the same in every task), and whether it holds a digit."""
+        _, ends, body = tokens.buffers()
+        ends = np.frombuffer(ends, np.int32)[tokens.offset:tokens.offset + len(tokens) + 1].astype(np.int64)
+        sizes = np.diff(ends)
+        bytes_ = np.frombuffer(body or b"", np.uint8)[ends[0]:ends[-1]] if len(tokens) else np.zeros(0, np.uint8)
+        place = np.arange(len(bytes_)) - np.repeat(ends[:-1] - ends[0], sizes)
+        # each byte is spread over 64 bits before it is weighted by its place
+        spread = (bytes_.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)  # fixed value: odd
+        sums = Lines._sums(spread ^ (spread >> np.uint64(32)), place, 0xCA5A826395121157)  # fixed value: odd
+        digits = np.append(0, np.cumsum((bytes_ >= 48) & (bytes_ <= 57)))
+        at = ends - ends[0]
+        return Lines._mixed(sums[at[1:]] - sums[at[:-1]], sizes).view(np.uint64), digits[at[1:]] > digits[at[:-1]]
+
+    @staticmethod
+    def _mixed(h: np.ndarray, width: np.ndarray) -> np.ndarray:
+        """Bits spread over the whole number (the finaliser of a 64-bit mixer), as signed numbers."""
+        h = h + width.astype(np.uint64) * np.uint64(Lines.STEP)
+        for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):  # fixed values
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(times)
+        return (h ^ (h >> np.uint64(31))).view(np.int64)
+
+    def once(self) -> tuple[np.ndarray, np.ndarray]:
+        """(text, number of the line) of each line with a token, once for each text."""
+        some = np.flatnonzero(self.some)
+        pair = np.unique(np.stack([self.text[some], self.which[some]]), axis=1) if len(some) else np.zeros((2, 0), np.int64)
+        return pair[0], pair[1]
+
+    def leaves(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Leaf, fixed leading tokens and the other tokens' 16-bit hashes (0: variable) of the given lines
+        (their numbers); a line that must be met whole has none."""
+        grown = self.fixed >= EXACT
+        leaf = np.where(grown, self.heads, self.lines)[lines]
+        lead = np.bincount(self.owner[(self.place < HEAD) & ~self.variable], minlength=len(self.width))
+        tail = (self.place >= HEAD) & grown[self.owner]
+        small = np.where(self.variable, 0, self.small).astype(">u2")
+        sizes = np.where(grown, np.maximum(self.width - HEAD, 0), 0)
+        ends = np.concatenate([[0], np.cumsum(2 * sizes)]).astype(np.int64)
+        body = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(small[tail].tobytes())])
+        return leaf, np.where(grown, lead, 0)[lines], body.take(pa.array(lines)).cast(pa.binary())
 
 
 def row_key(doc_id: Column, text: Column, integral: bool) -> Column:
@@ -98,45 +147,30 @@ def row_key(doc_id: Column, text: Column, integral: bool) -> Column:
 
 
 def _lines(read: DataFrame) -> DataFrame:
-    """leaf, line, fixed (leading tokens that are), tokens (16-bit hashes of the others), first, last
-    (documents), n: different lines, merged by task. A line that must be met whole has no tokens."""
+    """doc and line for each line with a token, once for each document of a group of texts; the group's
+    first row of a line also has leaf, fixed (leading tokens that are), tokens (16-bit hashes of the
+    others), first, last (documents) and n, all for the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, list] = {}
-
-        def passed_on() -> pa.RecordBatch:
-            cols = list(zip(*seen.values())) or [[]] * 6
-            out = [pa.array(cols[0], pa.int64()), pa.array(list(seen), pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
-                   *[pa.array(c, pa.int64()) for c in cols[3:]]]
-            seen.clear()
-            return pa.RecordBatch.from_arrays(out, ["leaf", "line", "fixed", "tokens", "first", "last", "n"])
-
-        for batch in by_bytes(batches, 1, 1 << 22):
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = set()
-                for raw in set(text.encode().split(b"\n")):
-                    got = masked(raw)
-                    if got is None:
-                        continue
-                    tokens, fixed = got
-                    line = signature(tokens)
-                    if line in own:
-                        continue
-                    own.add(line)
-                    known = seen.get(line)
-                    if known is not None:
-                        known[3], known[4], known[5] = min(known[3], doc), max(known[4], doc), known[5] + 1
-                    elif fixed < EXACT:
-                        seen[line] = [line, 0, b"", doc, doc, 1]
-                    else:
-                        tail = tokens[HEAD:]
-                        ahead = HEAD - tokens[:HEAD].count(VARIABLE)
-                        seen[line] = [leaf(tokens), ahead, np.array([_token_hashes[t] for t in tail], ">u2").tobytes(), doc, doc, 1]
-            if len(seen) > MERGED:
-                yield passed_on()
-        yield passed_on()
-
-    return map_in_arrow(read, run, "leaf long, line long, fixed long, tokens binary, first long, last long, n long")
+        for batch in by_bytes(batches, 1, GROUP_BYTES):
+            lines = Lines(batch.column(1))
+            text, number = lines.once()
+            docs = batch.column(0).to_numpy(zero_copy_only=False)[text]
+            by = np.lexsort((docs, lines.lines[number]))
+            docs, number = docs[by], number[by]
+            sign = lines.lines[number]
+            # rows that repeat an id are one document
+            kept = np.append(True, (sign[1:] != sign[:-1]) | (docs[1:] != docs[:-1]))[:len(sign)]
+            docs, number, sign = docs[kept], number[kept], sign[kept]
+            new = np.append(True, sign[1:] != sign[:-1])[:len(sign)]
+            heads = np.flatnonzero(new)
+            n = np.diff(heads, append=len(sign))
+            leaf, fixed, tokens = lines.leaves(number[heads])
+            place = np.cumsum(new) - 1
+            wide = [x.take(pa.array(place, mask=~new)) for x in (pa.array(leaf), pa.array(fixed), tokens, pa.array(docs[heads]), pa.array(docs[heads + n - 1]), pa.array(n))]
+            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(sign), *wide], ["doc", "line", "leaf", "fixed", "tokens", "first", "last", "n"])
+
+    return written(map_in_arrow(read, run, "doc long, line long, leaf long, fixed long, tokens binary, first long, last long, n long"))
 
 
 class _Index:
@@ -196,9 +230,9 @@ def templates(lines: np.ndarray, ahead: int, similar: float = SIMILAR, indexed:
     return out
 
 
-def recurring(read: DataFrame) -> DataFrame:
+def recurring(lines: DataFrame) -> DataFrame:
     """line, template, keep (document that keeps it), n (documents with the line) of recurring templates."""
-    merged = (_lines(read).repartition("leaf").groupBy("leaf", "line")
+    merged = (lines.where("leaf is not null").drop("doc").repartition("leaf").groupBy("leaf", "line")
               .agg(F.first("fixed").alias("fixed"), F.first("tokens").alias("tokens"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")))
 
     def settled(t: pa.Table) -> pa.RecordBatch:
@@ -246,18 +280,9 @@ def recurring(read: DataFrame) -> DataFrame:
 
 def _dropped(read: DataFrame) -> DataFrame:
     """doc, lines: the lines that each document loses."""
-    again = checkpointed(recurring(read))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 1, 1 << 22):
-            docs, lines = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = {signature(got[0]) for got in map(masked, set(text.encode().split(b"\n"))) if got}
-                docs += [doc] * len(own)
-                lines += own
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(lines, pa.int64())], ["doc", "line"])
-
-    facts = map_in_arrow(read, run, "doc long, line long")
+    lines = _lines(read)
+    again = checkpointed(recurring(lines))
+    facts = lines.select("doc", "line")
     total = again.agg(F.sum("n")).first()[0] or 0
     lost = join_by_key(facts, again.select("line", "keep", "n"), ["line"], total).where("doc != keep")
     return lost.groupBy("doc").agg(F.collect_set("line").alias("lines"))
@@ -279,23 +304,24 @@ def _freed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     schema = StructType(list(plain.schema.fields)).add("had", "long").add("lost", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, at, 1 << 22):
-            texts, had, lost = [], [], []
-            for t, gone in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                lines = (t or "").encode().split(b"\n")
-                full = [bool(x.strip(GAPS)) for x in lines]
-                had.append(sum(full))
-                if gone:
-                    gone = set(gone)
-                    stay = [not (m := masked(x)) or signature(m[0]) not in gone for x in lines]
-                    t = b"\n".join([x for x, s in zip(lines, stay) if s]).decode()
-                    lost.append(sum(f and not s for f, s in zip(full, stay)))
-                else:
-                    lost.append(0)
-                texts.append(t)
+        for batch in by_bytes(batches, at, GROUP_BYTES):
+            texts = batch.column(at).to_pylist()
+            had, lost = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+            gone = batch.column(batch.num_columns - 1)
+            losing = np.flatnonzero(pc.fill_null(pc.list_value_length(gone), 0).to_numpy(zero_copy_only=False)).tolist()
+            lines = Lines(batch.column(at).take(pa.array(losing, pa.int64())))
+            ends = np.searchsorted(lines.text, np.arange(len(losing) + 1)).tolist()
+            for k, row in enumerate(losing):
+                a, z = ends[k], ends[k + 1]
+                go = lines.some[a:z] & np.isin(lines.line[a:z], gone[row].values.to_numpy())
+                lost[row] = np.count_nonzero(go)
+                texts[row] = "\n".join([x for x, g in zip(texts[row].split("\n"), go.tolist()) if not g])
+                had[row] = np.count_nonzero(lines.some[a:z])
+            for row in set(range(len(texts))).difference(losing):
+                had[row] = sum([bool(x.strip(GAPS)) for x in (texts[row] or "").split("\n")])
             cols = list(batch.columns[:-1])
             cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(had, pa.int64()), pa.array(lost, pa.int64())], schema.names)
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(had), pa.array(lost)], schema.names)
 
     return map_in_arrow(joined, run, schema)
 
