@@ -36,6 +36,8 @@ from caresight.llm.common import by_bytes, checkpointed, column, ensure_checkpoi
 
 #: Lines per block of the index, bytes after which a task begins another file, open files kept.
 BLOCK, FILE_BYTES, OPEN = 500, 1 << 30, 32
+#: Records that a task of a look-up reads, about.
+READ = 8_000
 #: The pages have no time of capture.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -243,7 +245,9 @@ def look_up(archive: Archive, keys: DataFrame, payload: bool = True) -> DataFram
     arrow = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload", pa.binary()),
                        ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())])
     routed = map_in_arrow(keys.select("key").distinct(), route, "key string, part int")
-    return map_in_arrow(routed.repartition("part").sortWithinPartitions("part", "key"), fetch,
+    # by the records to be read, not by the bytes of their keys; a key with many captures lies in several files
+    tasks = max(1, -(-archive.captures.count() // READ))
+    return map_in_arrow(routed.repartitionByRange(tasks, "part", "key").sortWithinPartitions("part", "key"), fetch,
                         "key string, page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long")
 
 
