@@ -14,8 +14,8 @@ RADIUS 16 takes in all but about one in a hundred of the cases just at the thres
 Fingerprints are only taken where a window can match: shingles that no item has may carry at most
 1 - threshold of its weight. This loses nothing, as they count in full in the union.
 
-The items go to the tasks in slices of SLICE_WORDS words at most (the benchmark's size is measured
-first); each slice is a pass over the documents. Documents are never shuffled.
+The items go to the tasks in slices of about SLICE_WORDS words or SLICE_ITEMS items at most (the
+benchmark's size is measured first; rows that repeat an item are one); each slice is a pass over the documents. Documents are never shuffled.
 
 Defined cases: null or empty text: never contaminated. Items without words: match nothing. Texts
 shorter than an item are one window. Null ids are returned as they are. Repeated rows: a result for
@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from caresight.llm.common import by_bytes, column, map_in_arrow, table, word_hashes
 
 SHINGLE, THRESHOLD, RADIUS, BLOCKS = 5, 0.8, 16, 6
-#: Words of items per slice; bits of the filter of shingles.
-SLICE_WORDS, FILTER_BITS = 2_000_000, 22
+#: Words and items per slice (an item's index entries take some 3 KB); bits of the filter of shingles.
+SLICE_WORDS, SLICE_ITEMS, FILTER_BITS = 2_000_000, 20_000, 22
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -170,9 +170,9 @@ class Items:
 
 def slices(benchmark: DataFrame, threshold: float, radius: int, blocks: int, item_id: str = "item_id", text: str = "text") -> Iterator[Items]:
     """The benchmark in parts of bounded size."""
-    items = benchmark.select(column(item_id).alias("i"), F.coalesce(column(text).cast("string"), F.lit("")).alias("t"))
-    words = F.size(F.split("t", r"\s+"))
-    parts = max(1, math.ceil((items.agg(F.sum(words)).first()[0] or 0) / SLICE_WORDS))
+    items = benchmark.select(column(item_id).alias("i"), F.coalesce(column(text).cast("string"), F.lit("")).alias("t")).distinct()
+    words, n = items.agg(F.sum(F.size(F.split("t", r"\s+"))), F.count("*")).first()
+    parts = max(1, math.ceil((words or 0) / SLICE_WORDS), math.ceil(n / SLICE_ITEMS))
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part).collect()  # about SLICE_WORDS words
         yield Items([(r.i, r.t) for r in rows], threshold, radius, blocks)
