@@ -1,5 +1,6 @@
 """The registered queries against their SQL, and the pipeline against its stages."""
 import os
+import random
 import sys
 
 import duckdb
@@ -49,3 +50,23 @@ def test_every_stage_does_its_part(spark):
     final = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in final.select("doc_id").collect()} == ids
     assert final.columns == ["doc_id", "token_ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_pipeline_on_null_empty_repeated_and_long_rows(spark, tmp_path):
+    """Null ids and texts, empty and very long texts, repeated rows and an empty table go through all stages."""
+    rng = random.Random(2)
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500)]
+    good = lambda k: " ".join(f"the {rng.choice(words)} of {rng.choice(words)} and {rng.choice(words)} is in." for _ in range(k))
+    texts = [good(30) for _ in range(6)]
+    rows = [(1, texts[0]), (2, texts[1]), (2, texts[1]), (3, None), (4, ""), (5, " \n\t "), (None, texts[2]), (None, None), (6, texts[3] + "\n" + texts[0]), (7, good(6000)), (8, texts[0])]
+    full = [(i, t, "en", "s", len(t or "")) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    bench = spark.createDataFrame([(1, None), (2, "nothing of this kind here at all")], "item_id long, text string")
+    for name, data in (("rows", full), ("none", [])):
+        bench.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        spark.createDataFrame(data, schema).repartition(3).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/rows").collect()
+    ids = [r.doc_id for r in got]
+    # the copy of document 1 and the repeated row go; what has no words fails the base rules
+    assert sorted(ids, key=str) == sorted([1, 2, 6, 7, None], key=str) and all(r.n_tokens == len(r.token_ids) > 0 for r in got)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0

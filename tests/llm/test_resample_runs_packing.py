@@ -70,6 +70,17 @@ def test_resampling_equals_the_plain_sums(spark, docs, order, buckets):
     assert got == plain_resampling(rows, targets, order, buckets)
 
 
+def test_features_of_slices(docs):
+    import pyarrow as pa
+    texts = pa.array([r.text for r in docs.collect()] + ["Ünïcode É漢字 Aé", None, ""], pa.string())
+    for order in (1, 2, 3):
+        whole = o11.Features(texts, order, 10_000)
+        for at in (1, 50, len(texts) - 3):
+            part = o11.Features(texts.slice(at), order, 10_000)
+            assert part.n_words.tolist() == whole.n_words.tolist()[at:] and part.n.tolist() == whole.n.tolist()[at:]
+            assert part.bucket.tolist() == whole.bucket.tolist()[sum(whole.n[:at]):]
+
+
 def test_resampling_on_odd_tables(spark, odd):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "the same text ha ha"), (None, "ünïcode words")], "item_id long, text string")
     want = plain_resampling([(r[0], r[1]) for r in ODD], [None, "", "the same text ha ha", "ünïcode words"], 2, 50, (1, 2), 9)
@@ -204,7 +215,7 @@ def test_ids_are_the_librarys(docs, library):
 
 def test_ids_of_a_text_over_many_spans(library, monkeypatch):
     monkeypatch.setattr("caresight.llm.textunits.spans.__defaults__", (500,))
-    monkeypatch.setattr(o13, "GROUP_BYTES", 2000)
+    monkeypatch.setattr("caresight.llm.unitids.GROUP_BYTES", 2000)
     text = " ".join(["some words, and\nlines", "漢字 かな", "with  gaps"][i % 3] + str(i) for i in range(3000))
     assert o13.encoder(PATH).encode([text])[0].tolist() == library(text)
 

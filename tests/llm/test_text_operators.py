@@ -103,6 +103,13 @@ def test_decontamination_on_odd_tables(spark, odd):
     assert o1.contaminated(odd, bench.limit(0)).count() == 0 and o1.contaminated(odd.limit(0), bench).count() == 0
 
 
+def test_decontamination_in_slices_of_few_items(spark, docs, monkeypatch):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    whole = Counter(map(tuple, o1.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(o1, "SLICE_ITEMS", 40)
+    assert Counter(map(tuple, o1.contaminated(docs, bench.union(bench.limit(50))).collect())) == whole
+
+
 # 2 ------------------------------------------------------------------------------------------
 
 def simhash(text):
@@ -213,7 +220,7 @@ def test_units_add_up_on_random_text():
     alphabet = "aab Ab  \n\t\x0b\x1c\x85 　'’s.1½é漢🎉<|endoftext|>"
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(3000)]
     texts += ["a" * 3000, "ab" * 2000, " " * 500, "x" + " " * 300 + "y", "".join(rng.choices("abc", k=4000)), "".join(rng.choices("abc", k=9000)) + " b" * 50]
-    assert [list(np.frombuffer(x, np.int32)) for x in own.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+    assert [x.tolist() for x in own.encode(texts)] == [library.encode_ordinary(t) for t in texts]
     assert counter.counts(texts) == [len(x) for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -223,7 +230,7 @@ def test_long_texts_are_cut_at_safe_places(monkeypatch):
     own = o8.coder(path, pattern)
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=own.ranks, special_tokens={})
     monkeypatch.setattr("caresight.llm.textunits.spans.__defaults__", (50,))
-    assert np.frombuffer(own.encode([LONG[:20_000]])[0], np.int32).tolist() == library.encode_ordinary(LONG[:20_000])
+    assert own.encode([LONG[:20_000]])[0].tolist() == library.encode_ordinary(LONG[:20_000])
 
 
 # 4 ------------------------------------------------------------------------------------------
@@ -264,25 +271,102 @@ def test_trigram_queries_hold_for_every_match():
 
 # 5 ------------------------------------------------------------------------------------------
 
+def number_of(token):
+    import pyarrow as pa
+    return int(o5.Lines._hashed(pa.array([token.decode()], pa.string()))[0][0]) % 65535 + 1
+
+
+def plain_line(raw):
+    """(way down the tree, fixed leading tokens, other tokens as numbers) of a line, or the line itself if it must recur as it is."""
+    tokens = raw.split()
+    general = ["<*>" if re.search(rb"[0-9]", t) else t for t in tokens]
+    fixed = sum(t != "<*>" for t in general)
+    if fixed < 5:
+        return ("whole", tuple(general if fixed else tokens)), 0, ()
+    return (len(tokens), tuple(general[:4])), sum(t != "<*>" for t in general[:4]), tuple(0 if t == "<*>" else number_of(t) for t in general[4:])
+
+
+def plain_templates(lines, ahead):
+    """Number of the template of each line: every line is compared with every template."""
+    made, out = [], []
+    for line in lines:
+        fixed = [k for k, x in enumerate(line) if x]
+        same = [sum(t[k] == line[k] for k in fixed) for t in made]
+        best = same.index(max(same)) if made else -1
+        if made and len(fixed) - same[best] <= int(0.2 * (ahead + len(fixed)) + 1e-9):
+            made[best] = [x if x == y else 0 for x, y in zip(made[best], line)]
+        else:
+            made.append(list(line))
+            best = len(made) - 1
+        out.append(best)
+    return out
+
+
+def plain_line_dedup(rows):
+    """{row: text that is left}: for rows whose ids are all known and different."""
+    leaves = defaultdict(lambda: defaultdict(set))
+    ahead = {}
+    for d, text in rows:
+        for raw in (text or "").encode().split(b"\n"):
+            if raw.split():
+                way, fixed, tail = plain_line(raw)
+                leaves[way][tail].add(d)
+                ahead[way] = fixed
+    keep = {}
+    for way, lines in leaves.items():
+        ordered = sorted(lines, key=lambda t: np.array(t, ">u2").tobytes())
+        numbers, docs = plain_templates(ordered, ahead[way]), defaultdict(set)
+        for t, k in zip(ordered, numbers):
+            docs[k] |= lines[t]
+        for t, k in zip(ordered, numbers):
+            keep[way, t] = min(docs[k])
+    return {d: b"\n".join(raw for raw in (text or "").encode().split(b"\n") if not raw.split() or keep[plain_line(raw)[::2]] == d).decode() for d, text in rows}
+
+
 def test_lines_of_recurring_templates_stay_once(spark):
     passage = " ".join(f"p{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
-    rows = [(d, f"unique {' '.join(chr(97 + d % 26) + chr(97 + d // 26) + chr(97 + k) for k in range(9))} line\n{passage}\nok go\nlog entry number {d} was written to disk in {d * 3} ms\n") for d in range(40)]
+    rows = [(d, f"unique {' '.join(chr(97 + d % 26) + chr(97 + d // 26) + chr(97 + k) for k in range(9))} line\n{passage}\nok go\nlog entry number {d} was written to disk in {d * 3} ms\n{d} {d + 1}") for d in range(40)]
     rows += [(100, rows[7][1]), (101, "one field changes here named alpha in this rather long line of text"), (102, "one field changes here named beta in this rather long line of text"), (103, "ok go\nok go")]
     got = {r.doc_id: r for r in o5.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
     assert got[0].text == rows[0][1]
     for d in range(1, 40):
-        assert got[d].text == rows[d][1].split("\n")[0] + "\nok go\n" and got[d].n_dropped == 2
-    assert got[100].text == "ok go\n" and got[103].text == "ok go\nok go"
+        assert got[d].text == rows[d][1].split("\n")[0] + f"\n{d} {d + 1}" and got[d].n_dropped == 3  # rows of numbers recur as they stand
+    assert got[100].text == "" and got[100].n_lines == 0 and got[103].text == ""
     assert got[101].n_dropped == 0 and got[102].text == "" and got[102].n_lines == 0
 
 
-def test_templates_do_not_depend_on_partitions_and_divide_large_nodes(docs, monkeypatch):
-    one, many = (Counter(map(tuple, o5.line_dedup(docs.repartition(n)).select("doc_id", "text").collect())) for n in (1, 7))
-    assert one == many
-    rng = np.random.default_rng(0)
-    node = sorted((rng.integers(1, 5, 8).astype(np.uint16) for _ in range(400)), key=lambda x: x.tobytes())
-    ranges = sorted(o5._nodes(node, 0, 32))
-    assert [a for a, _ in ranges][1:] == [z for _, z in ranges][:-1] and ranges[-1][1] == 400 and max(z - a for a, z in ranges) <= 32
+def test_line_dedup_equals_the_plain_tree(spark, docs):
+    rows = pairs(docs)
+    rng = random.Random(1)
+    words = ["red", "green", "blue", "cyan", "pink"]
+    for d in range(1000, 1300):  # a leaf of many lines, some of whose tokens are variable
+        rows.append((d, "\n".join(f"the same opening of five {' '.join(rng.choice([*words, str(rng.randrange(99))]) for _ in range(5))}" for _ in range(4)) + f"\nmenu {d % 7}\nfoot"))
+    want = plain_line_dedup(rows)
+    for parts in (1, 7):
+        got = o5.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        assert {r.doc_id: r.text or "" for r in got} == want
+
+
+@pytest.mark.parametrize("n", [10, 100, 1000, 5000])
+@pytest.mark.parametrize("width,tokens", [(3, 9), (8, 4), (12, 30)])
+def test_templates_of_a_leaf_do_not_depend_on_the_index(n, width, tokens):
+    rng = np.random.default_rng(n + width)
+    lines = rng.integers(1, tokens, (n, width)).astype(np.uint16)
+    lines[rng.random((n, width)) < 0.1] = 0
+    lines = np.unique(lines, axis=0)
+    for ahead in (4, 11):
+        own = o5.templates(lines, ahead)
+        assert own == o5.templates(lines, ahead, indexed=1 << 30) and len(set(own)) <= len(lines)
+        if n <= 1000:
+            assert own == plain_templates(lines.tolist(), ahead)
+
+
+def test_a_verdict_does_not_depend_on_the_other_lines_of_a_leaf(spark):
+    lines = [(1, "alpha beta gamma delta one two three four"), (2, "alpha beta gamma delta one two three five")]
+    for others in (40, 900):
+        rows = lines + [(10 + k, f"alpha beta gamma delta {' '.join(chr(97 + int(c)) * 3 for c in f'{k:04d}')}") for k in range(others)]
+        got = {r.doc_id: r.text for r in o5.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert sorted([got[1], got[2]]) == sorted(["", lines[0][1]]) or sorted([got[1], got[2]]) == sorted(["", lines[1][1]])
 
 
 def test_line_dedup_on_odd_tables(spark, odd):
@@ -292,6 +376,34 @@ def test_line_dedup_on_odd_tables(spark, odd):
     assert o5.drop_recurring(odd.limit(0)).count() == 0
 
 
+NAMES = ["__t", "__v", "__w", "__m", "__llm_row", "key", "c0", "c1", "doc_id `x`", "n_words"]
+
+
+def test_stages_keep_columns_of_any_name_and_take_string_ids(spark):
+    rng = random.Random(6)
+    good = " ".join(f"the {rng.randrange(10**6)}th of word{rng.randrange(10**6)} and is in place{rng.randrange(10**6)}." for _ in range(12))
+    schema = "doc_id string, text string, " + ", ".join("`" + n.replace("`", "``") + "` string" for n in NAMES)
+    rows = [("a", good, *NAMES), ("b", good, *NAMES), (None, good + " more", *NAMES), (None, None, *NAMES), ("c", "too short", *NAMES)]
+    df = spark.createDataFrame(rows, schema)
+    kept = o7.keep_good(df)
+    assert kept.columns == df.columns and sorted(map(tuple, kept.collect()), key=str) == sorted(rows[:3], key=str)
+    left = o2.drop_near_duplicates(df)
+    assert left.columns == df.columns and left.dtypes == df.dtypes
+    got = left.collect()
+    assert all(tuple(r)[2:] == tuple(NAMES) for r in got) and {"a", "c"} <= {r.doc_id for r in got} and "b" not in {r.doc_id for r in got}
+    assert o1.drop_contaminated(df, spark.createDataFrame([(1, "too short")], "item_id long, text string")).columns == df.columns
+
+
+def test_line_dedup_keeps_columns_of_any_name_and_takes_string_ids(spark):
+    names = ["doc", "gone", "had", "lost", "c0", "__doc", "lines", "t", "n"]
+    df = spark.createDataFrame([("x", "a shared line of six words\nown line one x", *names), ("y", "a shared line of six words\nquite another of y", *names), (None, "third", *names)],
+                               "doc_id string, text string, " + ", ".join(f"`{n}` string" for n in names))
+    left = o5.drop_recurring(df)
+    assert left.columns == df.columns
+    rows = left.collect()
+    assert len(rows) == 3 and all(r[n] == n for r in rows for n in names) and sum("shared" in r.text for r in rows) == 1
+
+
 # 6 ------------------------------------------------------------------------------------------
 
 def test_archive_round_trip_and_index(spark, tmp_path):
@@ -430,6 +542,19 @@ def test_chats_come_back_and_shared_turns_are_emitted_once(spark, monkeypatch):
     assert o10.read_back(o10.format_chats(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("deep", [20, 100])
+def test_deep_shared_turns_are_emitted_once_per_pack(spark, deep):
+    rows = [(c, t, "user" if t % 2 else "assistant", f"shared {t}") for c in range(40) for t in range(deep)]
+    rows += [(c, deep, "user", f"one of two {c % 2}") for c in range(40)] + [(c, deep + 1, "assistant", f"own {c}") for c in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    packs = o10.format_chats(df.repartition(5)).cache()
+    nodes = packs.where("not ended")
+    ranges = packs.select("pack_id").distinct().count()
+    assert nodes.count() <= ranges * deep + ranges + 1 + 40
+    assert nodes.groupBy("pack_id", "text", "parent").count().where("count > 1").count() == 0
+    assert {tuple(r)[:5] for r in o10.read_back(packs).collect()} == chats(rows)
+
+
 def test_escaping_is_reversible():
     rng = random.Random(9)
     for _ in range(3000):
