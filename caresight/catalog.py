@@ -133,6 +133,9 @@ _alert_query("bucket_totals", lambda r: r.bucket_totals[2])
 _alert_query("engagement_counts", lambda r: r.statistics.select(
     "NpiId", "AlertsReceived", "PatientsReceived", "AlertsRead", "PatientsRead", "AlertsNotRead",
     "PatientsNotRead", "AlertsWActions", "AlertsWNoActions", "PatientsWActions", "PatientsWNoActions"))
+_alert_query("alert_beneficiaries", lambda r: r.beneficiaries)
+register("first_read_converted", ALERT_SQL["first_read_converted"])(
+    lambda spark, sf_dir: AlertReport(Inputs(spark, sf_dir), "2023-12-31", "2024-01-31", ["Alice", "Bob"], convert_views=True).first_reads)
 _alert_query("alerts_not_read", lambda r: r.alerts_not_read)
 _alert_query("not_read_as_written", lambda r: r.not_read_as_written)
 _alert_query("alert_statistics", lambda r: r.statistics)
@@ -194,6 +197,7 @@ _act_query("percent_of_total", lambda a: a.result.where(~F.col("category").start
 _act_query("resolve_role", lambda a: act.role_tiers(a.inp["ct_user_roles"], a.inp["ct_roles"]))
 _act_query("role_scope", lambda a: a.tracking.where(
     act.role_scope(F.col("CreatedBy"), a.role, a.p.login, [])).select("Id", "CreatedBy"))
+_act_query("role_scope_strict", lambda a: a._scoped(a.tracking).select("Id", "CreatedBy"), dict(login=7, strict=True))
 _act_query("exists_chain", lambda a: a.patients.select("ID"), dict(login=0))
 _act_query("optional_multi_filter", lambda a: optional_in(
     a.inp["patients"], "Insurance", "AUTOMOBILE;BUILDING;MACHINERY".split(";")).select("ID", "Insurance"))

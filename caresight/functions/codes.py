@@ -6,8 +6,6 @@ CASE over hashed IN-sets, evaluated inside whole-stage codegen) or a dimension D
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------------------
 # FIXED VALUES — must equal the reference's code lists for right results.
@@ -113,25 +111,3 @@ UNKNOWN = "Unknown"
 
 # Procedure codes kept on claim lines: office visits plus treatments (172).
 LINE_CODES = OFFICE_VISIT_CODES + TREATMENT_CODES
-
-
-def first_label_per_code(mapping: dict[str, tuple[str, ...]]) -> list[tuple[str, str]]:
-    """(code, label) pairs where an earlier label wins, as a CASE would decide."""
-    seen: dict[str, str] = {}
-    for label, codes in mapping.items():
-        for code in codes:
-            seen.setdefault(code, label)
-    return list(seen.items())
-
-
-def code_dim(spark: SparkSession, mapping: dict[str, tuple[str, ...]],
-             code_col: str = "code", label_col: str = "label") -> DataFrame:
-    """A code -> label dimension table built from a fixed mapping (bounded size)."""
-    schema = T.StructType([T.StructField(code_col, T.StringType(), False),
-                           T.StructField(label_col, T.StringType(), False)])
-    return spark.createDataFrame(first_label_per_code(mapping), schema)
-
-
-def code_set(spark: SparkSession, codes: tuple[str, ...], col: str = "code") -> DataFrame:
-    schema = T.StructType([T.StructField(col, T.StringType(), False)])
-    return spark.createDataFrame([(c,) for c in dict.fromkeys(codes)], schema)

@@ -51,10 +51,6 @@ def weekday_name(ts: ColumnOrName) -> Column:
     return F.date_format(_c(ts), "EEEE")
 
 
-def add_days(ts: ColumnOrName, n: int) -> Column:
-    return _c(ts) + F.make_interval(days=F.lit(n))
-
-
 # --- strings ---------------------------------------------------------------------------
 
 def tsql_len(s: ColumnOrName) -> Column:
@@ -77,11 +73,6 @@ def charindex(needle: str, haystack: ColumnOrName) -> Column:
     return F.instr(_c(haystack), needle)
 
 
-def blank_equals(s: ColumnOrName, value: str) -> Column:
-    """String equality that ignores trailing blanks on both sides."""
-    return F.rtrim(_c(s)) == F.lit(value.rstrip(" "))
-
-
 def is_digits(s: ColumnOrName) -> Column:
     """Numeric test restricted to plain digit strings (documented narrowing of ISNUMERIC)."""
     return F.coalesce(_c(s).rlike("^[0-9]+$"), F.lit(False))
@@ -136,9 +127,3 @@ def hundredths(count: ColumnOrName, total: ColumnOrName) -> Column:
     a, b = F.lit(2) * n * F.lit(10000) + t, F.lit(2) * t
     # exact integer floor division: a - pmod(a, b) is a multiple of b
     return ((a - F.pmod(a, b)) / b).cast("long")
-
-
-def percent_text(count: ColumnOrName, total: ColumnOrName) -> Column:
-    """Two-decimal percentage text such as ``'12.34%'`` computed in decimal arithmetic."""
-    pct = (_c(count).cast("decimal(10,2)") / _c(total).cast("decimal(10,0)")) * 100
-    return F.concat(pct.cast("decimal(10,2)").cast("string"), F.lit("%"))

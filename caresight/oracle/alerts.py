@@ -150,7 +150,7 @@ from stats s join entity_of o using (NpiId) left join quality q on q.NPI = s.Npi
     select t.Consultant as name from by_tin t where t.TIN = o.TIN and o.TIN not in (select TIN from by_npi)) c on true
 order by PatientsReceived desc"""
 
-_W = with_clause("users", "staff", "npis", "subs", "alerts", "exclusions", "action_logs", "user_alerts",
+_W = with_clause("beneficiaries", "users", "staff", "npis", "subs", "alerts", "exclusions", "action_logs", "user_alerts",
                  "alert_actions", "tin_consultant", "assignment", "master_view", "practice_mapping")
 
 
@@ -169,6 +169,9 @@ SQL = {
         done_at as CreatedDate from deed where not idle"""),
     "no_action_exclusion": q("select npi_id as NpiId, ben_id as BenId from dismissed"),
     "alerts_kept": q(f"select {_ALERT}, recv as DateReceived from open_alert"),
+    "alert_beneficiaries": q("select * from beneficiaries semi join (select ben_id as BenId from incoming) i using (BenId)"),
+    "first_read_converted": q(f"""select {_ALERT}, user_id as UserId, recv as DateReceived, {_eastern('done_at')} as DateRead
+        from first_event where what = 'read'"""),
     "first_read_per_user": q(f"select {_ALERT}, user_id as UserId, recv as DateReceived, done_at as DateRead from first_event where what = 'read'"),
     "response_buckets": q(f"""select {_ALERT}, user_id as UserId, is_doctor as IsDoctor, recv as DateReceived, done_at as DateAction,
         hours as HoursLapsed, {FLAGS} from timed where what = 'action'"""),

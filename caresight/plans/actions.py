@@ -19,7 +19,7 @@ from caresight.functions.scalars import flag_off
 from caresight.operators.aggregates import percent_of_total, two_level_count, with_total_row
 from caresight.operators.filters import optional_in
 from caresight.operators.joins import exists_chain
-from caresight.operators.windows import latest_with_ties
+from caresight.operators.windows import latest_with_ties, with_grand_total
 from caresight.sources.tables import stage
 
 TOTAL_AVAILABLE = "Total Actions Available"
@@ -45,6 +45,7 @@ class ActionParams:
     start: str | None = None          # None = earliest CreatedDate
     end: str | None = None            # None = latest CreatedDate
     npi_type: Sequence[str] | str | None = None
+    strict: bool = False              # the documented scope instead of the one as written
 
     def values(self, name: str) -> list:
         return values_list(getattr(self, name))
@@ -153,7 +154,8 @@ class ActionCompletion:
 
     # ---------------------------------------------------------------- completed
     def _scoped(self, df: DataFrame) -> DataFrame:
-        return df.where(role_scope(F.col("CreatedBy"), self.role, self.p.login, self.p.values("selected")))
+        scope = role_scope_strict if self.p.strict else role_scope
+        return df.where(scope(F.col("CreatedBy"), self.role, self.p.login, self.p.values("selected")))
 
     def _with_category(self, df: DataFrame) -> DataFrame:
         cat = self.inp["bene_category"].select(F.col("Id").alias("_bc"), F.col("CategoryId").alias("_cid"))
@@ -186,7 +188,7 @@ class ActionCompletion:
     def completed(self) -> DataFrame:
         """Non-OPEN statuses with their count and the grand total over them."""
         d = self.by_status.where(F.col("Status") != OPEN)
-        return d.withColumn("TotalActions", d.select(F.sum("ActionsCount")).scalar())
+        return with_grand_total(d, "ActionsCount", "TotalActions")
 
     @cached_property
     def total_completed(self) -> Column:

@@ -136,6 +136,12 @@ class AlertReport:
         excl = self.inp["exclusions"].where(F.col("BenId").isNotNull())
         return stage(not_in(a, "BenId", excl, "BenId").select("AlertId", "NpiId", "BenId", "DateReceived"))
 
+    @cached_property
+    def beneficiaries(self) -> DataFrame:
+        """Patients with an alert in the window, with payer and member number (one row per patient)."""
+        ids = self.alerts.where(F.col("BenId").isNotNull()).select("BenId")
+        return self.inp["beneficiaries"].join(ids, "BenId", "left_semi").select("BenId", "Payor", "BeneficiaryId")
+
     @cached_property
     def no_action_ids(self) -> DataFrame:
         return self.inp["alert_actions"].where(F.col("Text").like(NO_ACTION_TEXT)).select("AlertActionId")

@@ -31,6 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # files of frames that are gone
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -138,6 +138,10 @@ from {events} where event_type = 'error'""",
     "exclusions": """
 select distinct user_id * 8 as BenId from {events} where user_id % 37 = 5
 union all select cast(null as bigint) as BenId""",
+    # every patient, with or without alerts
+    "beneficiaries": """
+select user_id * 8 + k as BenId, concat('Payer ', cast(user_id % 4 as string)) as Payor, concat('M', cast(user_id * 8 + k as string)) as BeneficiaryId
+from (select distinct user_id, event_id % 8 as k from {events}) e""",
     "action_logs": None,   # generated below (bucketed range join)
     "user_alerts": None,
     "alert_actions": """
