@@ -57,20 +57,26 @@ def filter_code_set(df: DataFrame, col: str, codes: Sequence[str] | DataFrame, t
     return df.where(begins).where(key.isin(*codes))
 
 
-#: Characters of a code that its stored spelling is known by in a scan; codes of a set that are broadcast.
-PREFIX, BROADCAST_CODES = 3, 100_000
+#: Characters of a code that its stored spelling is known by in a scan; estimated size up to which a
+#: code table is broadcast.
+PREFIX, BROADCAST_BYTES = 3, 1 << 20
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a frame's size (from files or literal rows; unknown counts as vast)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _first_hit(df: DataFrame, cols: Sequence[str], codes: DataFrame, code_col: str) -> DataFrame:
     """``df`` with ``_hit``: the position of the first of ``cols`` whose code the table has, or NULL.
 
-    A table of at most ``BROADCAST_CODES`` codes (counted) is broadcast, and probed for each column
-    in one stage. A larger one is met once, whatever the number of columns, by the different
+    A table of at most ``BROADCAST_BYTES`` by estimate is broadcast, and probed for each column in one
+    stage. Any other is met once, whatever the number of columns, by the different
     combinations of codes that the rows hold: their codes as rows go through one semi join, the
     first position comes back per combination, and the rows take it by one join.
     """
     table = code_table(codes, code_col)
-    if table.limit(BROADCAST_CODES + 1).count() <= BROADCAST_CODES:
+    if _estimated_bytes(table) <= BROADCAST_BYTES:
         small = F.broadcast(table)
         for i, c in enumerate(cols):
             df = df.join(small.withColumnRenamed("code", f"_hit{i}"), F.col(c) == F.col(f"_hit{i}"), "left")

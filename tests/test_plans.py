@@ -73,7 +73,7 @@ def test_a_large_code_table_is_met_once(spark, monkeypatch):
     codes = spark.createDataFrame([(f"c{k}",) for k in range(0, 50, 9)] + [(None,), ("c9",)], "code string")
     pairs = [(f"c{k}", f"d{k}") for k in range(6)]
     small = flt.first_matching(df, pairs, codes, "code", "text", keep_unmatched=True)
-    monkeypatch.setattr(flt, "BROADCAST_CODES", 0)
+    monkeypatch.setattr(flt, "BROADCAST_BYTES", 0)
     large = flt.first_matching(df, pairs, codes, "code", "text", keep_unmatched=True)
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, small.collect()), key=key) == sorted(map(tuple, large.collect()), key=key)
