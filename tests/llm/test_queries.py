@@ -4,6 +4,7 @@ import random
 import sys
 
 import duckdb
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, ROOT)
@@ -36,7 +37,10 @@ def test_every_stage_does_its_part(spark):
     docs = corpus_pipeline.table(spark, SF, "documents")
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, kept = kept, corpus_pipeline.written(stage(spark, kept, SF))
+        before = kept
+        if name == "near dedup":  # lines of copies are gone in this small table: a copy is planted that must go
+            before = corpus_pipeline.written(before.union(before.orderBy("doc_id").limit(1).withColumn("doc_id", F.lit(10**9).cast("long")).select(docs.columns)))
+        kept = corpus_pipeline.written(stage(spark, before, SF))
         assert kept.columns == docs.columns and kept.dtypes == docs.dtypes, name
         ids = {r.doc_id for r in kept.select("doc_id").collect()}
         was = {r.doc_id for r in before.select("doc_id").collect()}
