@@ -76,3 +76,26 @@ def test_no_action_exclusion_pairs(spark):
     pairs = {(x.BenId, x.NpiId) for x in r.no_action_pairs.collect()}
     assert pairs == {(1, 9)}
     assert sorted(x.AlertId for x in r.kept.collect()) == [200, 201, 300]
+
+
+def test_every_provider_of_a_practice_repeats_the_report_row(spark, tmp_path, monkeypatch):
+    """Eight practices hold all providers, and a report row comes once for each entry of its practice."""
+    import datetime as dt
+    from caresight.sources.adapters import Inputs
+    ids = list(range(0, 600, 3))
+    events = [(i, u, dt.datetime(2024, 1, 3, 10), "error", 1.0) for i, u in enumerate(ids)]
+    spark.createDataFrame(events, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double").write.parquet(f"file:{tmp_path}/events.parquet")
+    monkeypatch.setattr(AlertReport, "COPIES", 4)  # several runs for each row
+    report = AlertReport(Inputs(spark, f"file:{tmp_path}"), "2023-12-31", "2024-01-31", ["Alice", "Bob"])
+    npis = {r.NpiId: r.NpiNum for r in report.npis.collect()}
+    listed = {}
+    for i in ids:
+        listed[f"T{i % 8}"] = listed.get(f"T{i % 8}", 0) + (i % 4 != 0)
+    got = {}
+    for r in report.report_base.where("TIN is not null").select("NpiId", "TIN").collect():
+        assert r.TIN == f"T{r.NpiId % 8}"
+        got[r.NpiId] = got.get(r.NpiId, 0) + 1
+    assert set(got) <= set(npis) and max(got.values()) > 4
+    assert all(n == max(1, listed[f"T{i % 8}"]) for i, n in got.items())
+    rows = [r.PatientsReceived for r in report.report.collect()]
+    assert rows == sorted(rows, reverse=True) and len(rows) > max(got.values())
