@@ -78,3 +78,18 @@ def test_final_lines_read_staged_courses(spark):
         leaves = plan.collectLeaves()
         assert {leaves.apply(i).nodeName() for i in range(leaves.size())} == {"InMemoryRelation"}
     own.release()
+
+
+def test_event_pairs_by_one_join_are_those_of_two(spark, tmp_path):
+    """Around bucket borders and the turn of the year, with NULL users and times and repeated rows."""
+    from caresight.sources.adapters import ADAPTERS
+    rows = [(i, None if i % 17 == 0 else i % 3, None if i % 19 == 0 else dt.datetime(2023, 11, 1) + dt.timedelta(hours=17 * i),
+             ("error", "click", "view", "purchase")[i * 7 % 4 if i % 5 else 0]) for i in range(240)]
+    events = spark.createDataFrame(rows + rows[:40], "event_id long, user_id long, ts timestamp_ntz, event_type string")
+    events.write.parquet(f"file:{tmp_path}/events.parquet")
+    events.createOrReplaceTempView("pair_events")
+    inputs = Inputs(spark, f"file:{tmp_path}")
+    for name in ("action_logs", "user_alerts"):
+        two = sorted(map(str, spark.sql(ADAPTERS[name].replace("{events}", "pair_events")).collect()))
+        assert sorted(map(str, inputs[name].collect())) == two and two
+        assert inputs[name]._jdf.queryExecution().analyzed().toString().count("Join Inner") == 1
