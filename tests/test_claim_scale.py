@@ -93,3 +93,93 @@ def test_event_pairs_by_one_join_are_those_of_two(spark, tmp_path):
         two = sorted(map(str, spark.sql(ADAPTERS[name].replace("{events}", "pair_events")).collect()))
         assert sorted(map(str, inputs[name].collect())) == two and two
         assert inputs[name]._jdf.queryExecution().analyzed().toString().count("Join Inner") == 1
+
+
+def test_staged_columns_are_kept_as_they_are(spark):
+    """Stored sizes: the text is not put into a dictionary; the session's setting is as before."""
+    from caresight.sources.tables import COMPRESSED, stage
+    before = spark.conf.get(COMPRESSED)
+    df = spark.range(20_000, numPartitions=1).select(F.repeat(F.lit("x"), 50).alias("s"))
+    with Owned() as own:
+        kept = stage(df)
+        assert kept.count() == 20_000
+        assert kept.where(F.col("s") == "x" * 50).count() == 20_000
+        size = int(str(kept._jdf.queryExecution().withCachedData().stats().sizeInBytes()))
+    own.release()
+    assert size > 20_000 * 50 and spark.conf.get(COMPRESSED) == before
+
+
+def test_lines_meet_the_cohort_where_their_claim_is(spark):
+    """No line is shuffled by patient: two narrow shuffles of claims and patients instead, with repeated and NULL keys."""
+    from caresight.plans.oncology import BENE, of_patients
+    rows = [(i % 7 if i % 5 else None, None if i % 11 == 0 else i % 13, f"line {i}") for i in range(300)]
+    lines = spark.createDataFrame(rows, f"cur_clm_uniq_id long, {BENE} long, text string").repartition(4, "cur_clm_uniq_id")
+    patients = spark.createDataFrame([(1,), (2,), (12,), (None,)], f"{BENE} long")
+    found = of_patients(lines, patients)
+    # as a join by patient, but for lines without a claim, which are in no claim's list
+    expected = sorted(str(r) for r in lines.join(patients, BENE, "left_semi").select(*lines.columns).where("cur_clm_uniq_id is not null").collect())
+    assert sorted(map(str, found.collect())) == expected and expected
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = of_patients(lines, patients.hint("merge"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert sum("cur_clm_uniq_id" in x and "REPARTITION" in x for x in shuffles) >= 1
+    assert not any("text" in x for x in plan.splitlines() if f"hashpartitioning({BENE}" in x)
+
+
+def test_one_row_per_key_needs_no_sort_aggregate(spark):
+    from caresight.plans.oncology import one_per_key
+    rows = [(i % 9 or None, i % 2, f"{i * 7 % 5}" if i % 3 else None, i % 4) for i in range(200)]
+    df = spark.createDataFrame(rows, "a long, b long, s string, n long")
+    least = df.groupBy("a", "b").agg(F.min(F.struct("n", "s")).alias("m")).select("a", "b", "m.s", "m.n")
+    once = one_per_key(df, ["a", "b"], ["n"])
+    assert sorted(map(str, once.collect())) == sorted(map(str, least.collect()))
+    assert "SortAggregate" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_as_bits_and_as_sets(spark, monkeypatch):
+    from caresight.operators import scans
+    day = lambda n: dt.date(1969, 11, 1) + dt.timedelta(days=n)
+    left = spark.createDataFrame([(k if k else None, day(n) if n % 29 else None, n) for k in (0, 1, 2) for n in range(0, 400, 3)], "k long, d date, n long")
+    right = spark.createDataFrame([(k if k else None, day(n * n % 397) if n % 7 else None) for k in (0, 1) for n in range(25)], "k long, d date")
+    lefts, rights = left.collect(), right.collect()
+    for lo, hi in ((0, 60), (-5, 4)):
+        pairs = {}
+        for a in lefts:
+            gaps = [(b.d - a.d).days for b in rights if a.k is not None and a.k == b.k and a.d and b.d and lo <= (b.d - a.d).days <= hi]
+            if gaps:
+                pairs[(a.k, a.n)] = min(gaps)
+        for mask in (62, 0):
+            monkeypatch.setattr(scans, "MASK_DAYS", mask)
+            near = scans.nearest_within(left, right, ["k"], "d", "d", lo, hi, out="gap")
+            assert near.columns == ["k", "d", "n", "gap"]
+            assert {(r.k, r.n): r.gap for r in near.collect()} == pairs and pairs
+    monkeypatch.setattr(scans, "MASK_DAYS", 62)
+    assert "collect_set" not in scans.nearest_within(left, right, ["k"], "d", "d", 0, 60)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fewer_staged_columns_change_no_row(spark):
+    """The course and report queries over all columns and over those they read."""
+    from caresight.plans.oncology import COURSE_COLS, REPORT_COLS, OncologyJob as Job
+    with Owned() as own:
+        inputs = Inputs(spark, SF)
+        whole, course, report = (Job(inputs, "1995-03-01", None, c) for c in (None, COURSE_COLS, REPORT_COLS))
+        rows = lambda df: sorted(map(str, df.collect()))
+        assert course.combined.columns == COURSE_COLS and report.combined.columns == REPORT_COLS
+        assert rows(course.grouped) == rows(whole.grouped.select(*COURSE_COLS, "treatment_group"))
+        assert rows(report.final) == rows(whole.final)
+    own.release()
+
+
+def test_part_b_lines_without_a_claim_stay(spark):
+    """They are in no claim's list of patients, and meet the cohort by patient."""
+    from caresight.plans.oncology import BENE, CODE, PART_B_DX, part_b_lines
+    columns = f"{BENE} long, cur_clm_uniq_id long, {CODE} string, " + ", ".join(f"{c} string, {d} string" for c, d in PART_B_DX)
+    rows = [(b, claim, "77263", *(("I10", "x") * 2 + ("C61", "y")  + ("C439", "z") * 1 + ("I10", "x") * 2)) for b, claim in ((1, 5), (1, None), (2, 5), (3, None), (None, None), (1, 5))]
+    part_b = spark.createDataFrame(rows, columns)
+    cancer = spark.createDataFrame([("C61",), ("C439",)], "icd_code string")
+    found = part_b_lines(part_b, spark.createDataFrame([(1,), (None,)], f"{BENE} long"), cancer)
+    assert sorted(((r[BENE], r.cur_clm_uniq_id, r.clm_dgns_cd, r.description) for r in found.collect()), key=str) == sorted(
+        [(1, 5, "C61", "y"), (1, None, "C61", "y"), (1, 5, "C61", "y")], key=str)
