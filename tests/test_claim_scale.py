@@ -183,3 +183,56 @@ def test_part_b_lines_without_a_claim_stay(spark):
     found = part_b_lines(part_b, spark.createDataFrame([(1,), (None,)], f"{BENE} long"), cancer)
     assert sorted(((r[BENE], r.cur_clm_uniq_id, r.clm_dgns_cd, r.description) for r in found.collect()), key=str) == sorted(
         [(1, 5, "C61", "y"), (1, None, "C61", "y"), (1, 5, "C61", "y")], key=str)
+
+
+def test_claim_lines_are_staged_as_numbers(spark):
+    """No text is kept of the numbered lines, and they are sorted once, for their numbers."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with Owned() as own:
+            base = Inputs(spark, SF)["claim_base"]
+            leaves = base._jdf.queryExecution().withCachedData().collectLeaves()
+            assert [leaves.apply(i).nodeName() for i in range(leaves.size())] == ["InMemoryRelation"]
+            assert "string" not in leaves.apply(0).schema().simpleString()
+            plan = base._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall(r"Sort \[l_orderkey", plan)) == 1 and "ShuffledHashJoin" in plan
+        own.release()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_least_rows_by_leading_columns(spark):
+    """Fewer columns are ranked where the wanted ones come first; the rows stay those of all columns."""
+    from caresight.plans.oncology import leading, one_per_key
+    rows = [(i % 9 or None, i % 2, f"{i * 7 % 5}" if i % 3 else None, i % 4, f"{i % 6}") for i in range(200)]
+    df = spark.createDataFrame(rows, "a long, b long, s string, n long, t string")
+    few = leading(df, ["n", "a", "not there"])
+    assert few.columns == ["a", "b", "s", "n"]
+    assert sorted(map(str, one_per_key(few, ["a", "b"]).collect())) == sorted(map(str, one_per_key(df, ["a", "b"]).drop("t").collect()))
+    with Owned() as own:
+        from caresight.plans.oncology import COURSE_COLS
+        lines = OncologyJob(Inputs(spark, SF), "1995-03-01", None, COURSE_COLS).a_lines
+        assert "fac_prvdr_npi_num" not in lines.columns and "clm_line_pmt_amnt" not in lines.columns
+    own.release()
+
+
+def test_course_pass_has_a_task_per_range(spark):
+    """Ranges are dealt by their numbers, not by hashes of them, and one sort serves the numbers and the look-up back."""
+    from caresight.operators.scans import anchor_groups
+    df = spark.range(3000).select((F.col("id") % 7).alias("k"), (F.col("id") % 31).alias("ts"), F.col("id").alias("tie"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = anchor_groups(df, ["k"], "ts", ["tie"], F.col("tie") % 5 == 0, F.lit("backward"), num_partitions=11)
+        rows = [r[0] for r in out.select(F.spark_partition_id()).distinct().collect()]
+        assert len(rows) == 11
+        plan = out._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange HashedRelation")[0]
+        assert len(re.findall(r"Sort \[_scan_pid\S* ASC", plan)) == 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    anchors = sorted((r.k, r.ts, r.tie) for r in df.where("tie % 5 = 0").collect())
+    number = {a: i + 1 for i, a in enumerate(anchors)}
+    for r in out.collect():
+        before = [a for a in anchors if a[0] == r.k and a[1] <= r.ts]
+        day = max((a[1] for a in before), default=None)
+        least = min((number[a] for a in before if a[1] == day), default=None)
+        assert r.group == (number[(r.k, r.ts, r.tie)] if r.tie % 5 == 0 else least)
