@@ -236,3 +236,46 @@ def test_course_pass_has_a_task_per_range(spark):
         day = max((a[1] for a in before), default=None)
         least = min((number[a] for a in before if a[1] == day), default=None)
         assert r.group == (number[(r.k, r.ts, r.tie)] if r.tie % 5 == 0 else least)
+
+
+def test_no_text_of_the_lines_is_shuffled(spark):
+    """Texts that are staged as numbers become numbers where their table is read."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with Owned() as own:
+            leaf = Inputs(spark, SF)["claim_base"]._jdf.queryExecution().withCachedData().collectLeaves().apply(0)
+            joined = leaf.cachedPlan().toString().split("Exchange hashpartitioning(l_orderkey")[0]
+            assert "l_shipdate" in joined and not re.search("p_brand|l_returnflag|l_linestatus", joined)
+        own.release()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_codes_are_probed_by_numbers(spark):
+    """Texts only confirm what one number finds: no table of texts is broadcast, whose counters all tasks write."""
+    from caresight.operators.filters import any_in_set, first_matching
+    rows = [(i, (None, "A", "B", "x", "", "A ")[i % 6], ("B", None, "y")[i % 3]) for i in range(18)]
+    df = spark.createDataFrame(rows, "id long, c string, d string")
+    codes = spark.sql("select * from values ('A'), (' B'), ('A'), (null) as t(code)")
+    wanted = {i: next((v for v in (c, d) if v in ("A", "B")), None) for i, c, d in rows}
+    every = first_matching(df, [("c", "c"), ("d", "d")], codes, "found", "text", keep_unmatched=True)
+    assert {r.id: r.found for r in every.collect()} == wanted and every.count() == 18
+    assert {r.id: r.hit for r in any_in_set(df, ["c", "d"], codes, "hit").collect()} == {i: v is not None for i, v in wanted.items()}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = first_matching(df, [("c", "c"), ("d", "d")], codes, "found", "text")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    keys = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
+    assert len(keys) == 2 and all("xxhash64" in k for k in keys)
+
+
+def test_one_diagnosis_goes_on_to_the_joins(spark):
+    """Part B lines meet the cohort with the diagnosis picked, not with six and their texts; the big methods still compile."""
+    with Owned() as own:
+        job = OncologyJob(Inputs(spark, SF), "1995-03-01")
+        lines = [x for x in job.b_lines._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+        semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x and "_claim" in x)
+        assert any("LeftOuter" in x and "_hit0" in x for x in lines[semi + 1:])
+        assert not any("_hit" in x for x in lines[:semi])
+    own.release()
