@@ -106,7 +106,7 @@ def test_shuffle_files_go_when_a_step_is_written(spark):
     assert [spark.conf.get(k, None) for k in keys] == before
 
 
-@pytest.mark.parametrize("name", ["report_sink", "published_report"])
+@pytest.mark.parametrize("name", ["report_sink", "published_report", "cost_by_area_modality_sql"])
 def test_the_reports_keep_no_blocks(spark, claims, name):
     """Their steps lie in encoded files: nothing of them is persisted, and the course pass carries few columns."""
     from caresight import catalog
